@@ -344,17 +344,20 @@ def first_place_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def rank_of_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _table(spark, sf_dir, "lineitem").withColumn(
-        "revenue", F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    lines = _table(spark, sf_dir, "lineitem").withColumns(
+        {
+            "ship_year": F.year("l_shipdate"),
+            "revenue": F.col("l_extendedprice") * (1 - F.col("l_discount")),
+        }
     )
-    leader = op.rank_of_argmax(
+    return op.rank_of_argmax(
         lines,
         _in_year("l_shipdate", 2000),
+        "ship_year",
         "revenue",
         "l_extendedprice",
         ["l_orderkey", "l_linenumber"],
     )
-    return op.project(leader, "l_orderkey", "l_linenumber", "ranking")
 
 
 # --- columns and unions ------------------------------------------------------
@@ -537,25 +540,28 @@ _PANEL_CTE = """
                round(ln(sum(o_totalprice)), 6) AS gdp,
                round(avg(o_totalprice), 4) AS life
         FROM orders GROUP BY ALL),
-    people AS (
+    snapshot AS (
         SELECT c_name AS country_name, r_name, y.*
         FROM yearly y JOIN customer ON o_custkey = c_custkey
-        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
-    snapshot AS (SELECT * FROM people WHERE year = 2001),
-    history AS (SELECT * FROM people WHERE year < 2001),
-    panel AS (SELECT * FROM people WHERE year <= 2001)
+        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+        WHERE year = 2001),
+    history AS (
+        SELECT c_name AS country_name, y.*
+        FROM yearly y JOIN customer ON o_custkey = c_custkey WHERE year < 2001),
+    panel AS (SELECT * EXCLUDE (r_name) FROM snapshot UNION ALL SELECT * FROM history)
 """
 
 
 def _panel(spark: SparkSession, sf_dir: str) -> Panel:
     orders = _table(spark, sf_dir, "orders")
-    region = F.initcap(F.col("r_name")).alias("region")
-    # Only the given tables' own sizes decide which of these joins broadcast.
-    people = (
-        _table(spark, sf_dir, "customer")
-        .join(_table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    # No join is hinted: the tables' own sizes decide which ones broadcast.
+    people = _table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_nationkey", F.col("c_name").alias("country_name")
+    )
+    regions = (
+        _table(spark, sf_dir, "nation")
         .join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", F.col("c_name").alias("country_name"), region)
+        .select("n_nationkey", F.initcap(F.col("r_name")).alias("regional_indicator"))
     )
 
     def yearly(where: Column) -> DataFrame:
@@ -572,12 +578,16 @@ def _panel(spark: SparkSession, sf_dir: str) -> Panel:
             .join(people, F.col("o_custkey") == F.col("c_custkey"))
         )
 
-    snapshot = yearly(_in_year("o_orderdate", 2001)).select(
-        "country_name",
-        F.col("region").alias("regional_indicator"),
-        F.col("score").alias("ladder_score"),
-        F.col("gdp").alias("logged_gdp_per_capita"),
-        F.col("life").alias("healthy_life_expectancy"),
+    snapshot = (
+        yearly(_in_year("o_orderdate", 2001))
+        .join(regions, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(
+            "country_name",
+            "regional_indicator",
+            F.col("score").alias("ladder_score"),
+            F.col("gdp").alias("logged_gdp_per_capita"),
+            F.col("life").alias("healthy_life_expectancy"),
+        )
     )
     history = yearly(~_from_year("o_orderdate", 2001)).select(
         "country_name",

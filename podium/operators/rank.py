@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -29,7 +30,7 @@ def rank_in_partition(
     measure: str,
     name: str = "ranking",
     *,
-    rows_per_task: int = 1_000_000,
+    rows_per_task: int = 5_000_000,
 ) -> DataFrame:
     """``df`` plus its rank by ``measure``, largest first, inside ``partition``.
 
@@ -41,6 +42,8 @@ def rank_in_partition(
     Needs jobs of its own to size the partitions; ``df`` must give the same
     rows each time it is read.
     """
+    if not isinstance(df.schema[measure].dataType, T.NumericType):
+        raise TypeError(f"measure {measure!r} must be numeric")
     order = F.desc_nulls_last(measure)
     large = materialize(
         df.groupBy(partition)
@@ -102,15 +105,14 @@ def _with_cell(df: DataFrame, measure: str, splits: list[float]) -> DataFrame:
     A cell is a half-open range of doubles, so equal measures never part. NaN
     has the highest cell.
     """
-    if not isinstance(df.schema[measure].dataType, T.NumericType):
-        raise TypeError(f"measure {measure!r} must be numeric")
     bucketizer = Bucketizer(
         splits=[-math.inf, *splits, math.inf],
         inputCol="_v",
         outputCol="_cell",
         handleInvalid="keep",
     )
-    return bucketizer.transform(df.withColumn("_v", _as_double(measure))).drop("_v")
+    cells = bucketizer.transform(df.withColumn("_v", _as_double(measure)))
+    return cells.withColumn("_cell", F.col("_cell").cast("int")).drop("_v")
 
 
 def _cells(df: DataFrame, partition: str, measure: str) -> DataFrame:
@@ -160,22 +162,27 @@ def first_place_counts(
 def rank_of_argmax(
     df: DataFrame,
     where: Column,
+    partition: str,
     pick_by: str,
     rank_by: str,
-    ties: list[str],
+    keys: Sequence[str],
     name: str = "ranking",
 ) -> DataFrame:
-    """The row with the largest ``pick_by`` among ``where``, plus its rank by ``rank_by``.
+    """(keys, name): the row with the largest ``pick_by`` among ``where``, and its
+    rank by ``rank_by`` inside its partition. ``where`` selects whole partitions.
 
-    ``where`` must select one ranking partition. The rank is 1 + the number of
-    its rows with a larger ``rank_by`` (with any value, when the row's own is
-    NULL): two parallel passes instead of a window over the whole partition.
+    The rank is 1 + the number of rows of the partition with a larger ``rank_by``
+    (with any value, when the row's own is NULL), so two parallel passes replace
+    the window. The joined side is the one row of a top-1, hence the broadcast.
     """
     rows = df.where(where)
-    leader = top1(rows, pick_by, ties)
-    own = leader.select(rank_by).scalar()
-    value = F.col(rank_by)
-    ahead = rows.where((value > own) | (own.isNull() & value.isNotNull()))
-    n_ahead = ahead.agg(F.count("*").alias("_n")).scalar()
-    return leader.withColumn(name, n_ahead + 1)
-
+    leader = top1(rows, pick_by, keys).select(
+        F.col(partition).alias("_p"), F.col(rank_by).alias("_own"), *keys
+    )
+    peers = rows.select(F.col(partition).alias("_peer_p"), F.col(rank_by).alias("_v"))
+    ahead = (F.col("_v") > F.col("_own")) | (F.col("_own").isNull() & F.col("_v").isNotNull())
+    return (
+        peers.join(F.broadcast(leader), F.col("_peer_p").eqNullSafe(F.col("_p")))
+        .groupBy(*keys)
+        .agg((F.count_if(ahead) + 1).alias(name))
+    )

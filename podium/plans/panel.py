@@ -91,10 +91,11 @@ class Panel:
         return rank_of_argmax(
             self.history,
             F.col("year") == self.base_year,
+            "year",
             "log_gdp_per_capita",
             "life_ladder",
             ["country_name"],
-        ).select("country_name", "ranking")
+        )
 
     def gdp_change(self) -> DataFrame:
         """Q5: percent change of the mean (logged) GDP, base year to snapshot year."""
@@ -164,15 +165,23 @@ class Panel:
 
 
 def run_report(
-    spark: SparkSession, snapshot_csv: str, history_csv: str, out_dir: str, **options
+    spark: SparkSession,
+    snapshot_csv: str,
+    history_csv: str,
+    out_dir: str,
+    *,
+    snapshot_schema: str | None = None,
+    history_schema: str | None = None,
+    **options,
 ) -> DataFrame:
     """Read both CSV files, write every result below ``out_dir``, return the manifest.
 
     The cleaned tables stay cached until all results are written, so the CSV
-    text is parsed once. ``options`` are those of ``Panel``.
+    text is parsed once (twice without schemas). ``options`` are those of
+    ``Panel``.
     """
-    snapshot = clean_snapshot(read_csv(spark, snapshot_csv))
-    history = clean_history(read_csv(spark, history_csv))
+    snapshot = clean_snapshot(read_csv(spark, snapshot_csv, snapshot_schema))
+    history = clean_history(read_csv(spark, history_csv, history_schema))
     paths = {}
     with persisted(snapshot, history) as (snap, hist):
         for name, result in Panel(snap, hist, **options).results().items():

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+) -> DataFrame:
     """CSV with a header row.
 
     Without ``schema`` the types are inferred, which reads the whole input one
