@@ -8,6 +8,7 @@ exact result (``rank``: ties share a rank, gaps follow, NULL last) without it.
 from __future__ import annotations
 
 import math
+import sys
 from collections import Counter
 from collections.abc import Sequence
 
@@ -86,7 +87,8 @@ def _split_points(df: DataFrame, measure: str, n_rows: int, rows_per_task: int)
     value = df.select(_as_double(measure).alias("_v"))
     sample = value.sample(min(1.0, _SAMPLE_PER_SPLIT * n / n_rows), seed=0)
     cuts = sample.approxQuantile("_v", [i / n for i in range(1, n)], 0.1 / n)
-    points = {0.0}
+    # The largest doubles are cuts too: they leave the infinities on their own.
+    points = {-sys.float_info.max, sys.float_info.max}
     for cut, times in Counter(cuts).items():
         points.add(cut)
         if times > 1:
