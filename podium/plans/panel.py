@@ -5,7 +5,7 @@ answers to the panel's questions out.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +14,9 @@ from podium.functions.classify import Rule, classify
 from podium.functions.continents import continent_rules
 from podium.operators.aggregate import argmax_per_group, pct_change
 from podium.operators.columns import align_and_union, normalize_columns, project
-from podium.operators.layout import persisted
 from podium.operators.rank import first_place_counts, rank_of_argmax
 from podium.operators.topk import best_mean, filtered_top1, top1, winner_rows
+from podium.sources.scratch import materialize
 from podium.sources.tables import read_csv, results_manifest, write_parquet
 
 # The headers of the two input files.
@@ -62,6 +62,18 @@ class Panel:
     no_continent: str | None = "Other"
     digits: int | None = None
 
+    def staged(self) -> Panel:
+        """The same panel, both tables written once to the shared folder.
+
+        Results then read pruned columns and pushed-down years instead of
+        computing the inputs again, and a lost executor recomputes neither.
+        """
+        return replace(
+            self,
+            snapshot=materialize(self.snapshot, "snapshot"),
+            history=materialize(self.history, "history"),
+        )
+
     def happiest(self) -> DataFrame:
         """Q1: the entity with the best score of the snapshot."""
         rows = project(self.snapshot, "country_name", "ladder_score")
@@ -176,15 +188,14 @@ def run_report(
 ) -> DataFrame:
     """Read both CSV files, write every result below ``out_dir``, return the manifest.
 
-    The cleaned tables stay cached until all results are written, so the CSV
-    text is parsed once (twice without schemas). ``options`` are those of
-    ``Panel``.
+    The cleaned tables are staged first, so the CSV text is parsed once (twice
+    without schemas). ``options`` are those of ``Panel``.
     """
     snapshot = clean_snapshot(read_csv(spark, snapshot_csv, snapshot_schema))
     history = clean_history(read_csv(spark, history_csv, history_schema))
+    panel = Panel(snapshot, history, **options).staged()
     paths = {}
-    with persisted(snapshot, history) as (snap, hist):
-        for name, result in Panel(snap, hist, **options).results().items():
-            paths[name] = f"{out_dir}/{name}"
-            write_parquet(result, paths[name])
+    for name, result in panel.results().items():
+        paths[name] = f"{out_dir}/{name}"
+        write_parquet(result, paths[name])
     return results_manifest(spark, paths)

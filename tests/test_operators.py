@@ -12,6 +12,7 @@ from podium import operators as op
 from podium import sources as src
 from podium.functions import Rule, classify, classify_udf
 from podium.functions.continents import AFRICA, EUROPE, continent_rules
+from podium.operators import rank
 from pyspark.sql import functions as F
 
 SCHEMA = "id bigint, p string, m double"
@@ -68,6 +69,17 @@ def test_rank_in_partition_equals_brute_force(spark, rows_per_task):
     assert got == brute_ranks(data)
 
 
+def test_rank_cells_stay_small_under_hot_values(spark):
+    """Rows that need a sort come in groups near the target; ties do not count."""
+    df = spark.createDataFrame(hot_data(9000), SCHEMA)
+    splits = rank._split_points(df, "m", 9000, 100)
+    cells = rank._with_cell(df, "m", splits).groupBy("p", "_cell")
+    sizes = cells.agg(F.count("*").alias("n"), F.min("m").eqNullSafe(F.max("m")).alias("tied"))
+    tied = {r.tied: r.n for r in sizes.groupBy("tied").agg(F.max("n").alias("n")).collect()}
+    assert tied[True] > 500
+    assert tied[False] < 300
+
+
 def test_rank_in_partition_without_broadcast(spark):
     """Cells too large to broadcast: the same result from shuffled joins."""
     data = hot_data(600)

@@ -10,6 +10,7 @@ from podium.functions.continents import (
     continent_rules,
 )
 from podium.plans import Panel, clean_history, clean_snapshot, run_report
+from podium.plans.panel import HISTORY_COLUMNS, SNAPSHOT_COLUMNS
 from podium.sources import list_files, read_csv, read_parquet
 
 
@@ -31,6 +32,11 @@ def rows(df):
     return [tuple(r) for r in df.collect()]
 
 
+def schema_of(columns, strings, ints=0):
+    types = ["string"] * strings + ["int"] * ints + ["double"] * (len(columns) - strings - ints)
+    return ", ".join(f"`{c}` {t}" for c, t in zip(columns, types))
+
+
 def test_happiest(panel):
     assert rows(panel.happiest()) == [("Finland", 7.8)]
 
@@ -97,6 +103,15 @@ def test_report_writes_results_and_manifest(spark, csv_paths, tmp_path):
     assert rows(read_parquet(spark, out + "/happiest")) == [("Finland", 7.8)]
     files = list_files(spark, out).collect()
     assert len(files) >= 8 and all(f.length > 0 for f in files)
-    # Writing again replaces, and nothing stays cached.
-    assert dict(rows(run_report(spark, *csv_paths, out))) == manifest
-    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+    # Writing again replaces; given schemas replace inference.
+    again = run_report(
+        spark,
+        *csv_paths,
+        out,
+        snapshot_schema=schema_of(SNAPSHOT_COLUMNS, strings=2),
+        history_schema=schema_of(HISTORY_COLUMNS, strings=1, ints=1),
+        no_continent="Nowhere",
+    )
+    assert dict(rows(again)) == manifest
+    continents = {r.continent for r in read_parquet(spark, out + "/happiest_per_continent").collect()}
+    assert "Nowhere" in continents and None not in continents
