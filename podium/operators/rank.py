@@ -58,14 +58,17 @@ def rank_in_partition(
         rank = F.rank().over(Window.partitionBy(partition).orderBy(order))
         return df.withColumn(name, rank.cast("bigint"))
 
-    in_large = df.join(large, F.col(partition).eqNullSafe(F.col("_p")), "left_semi")
-    splits = _split_points(in_large, measure, n_large, rows_per_task)
-    cells = materialize(_cells(_with_cell(in_large, measure, splits), partition, measure), "cells")
+    is_large = F.col(partition).eqNullSafe(F.col("_p"))
+    splits = _split_points(df.join(large, is_large, "left_semi"), measure, n_large, rows_per_task)
+    with_cell = _with_cell(df, measure, splits)
+    cells = materialize(
+        _cells(with_cell.join(large, is_large, "left_semi"), partition, measure), "cells"
+    )
 
     # Rows of small partitions match no cell: they keep a NULL cell and rank
     # within the whole partition. Rows of a tied cell rank the same wherever
     # they are, so each input partition keeps its own share of them.
-    rows = _with_cell(df, measure, splits).join(
+    rows = with_cell.join(
         cells,
         F.col(partition).eqNullSafe(F.col("_p")) & F.col("_cell").eqNullSafe(F.col("_c")),
         "left",

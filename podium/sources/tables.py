@@ -25,8 +25,12 @@ def read_csv(
     return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """Parquet. A given schema saves the job that reads it from a file's footer."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

@@ -62,3 +62,9 @@ def test_query_equals_oracle(spark, duck, name):
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(entry_module._SCHEMAS))
+def test_declared_schema_is_the_file_schema(spark, name):
+    declared = entry_module._table(spark, SF_DIR, name)
+    assert declared.dtypes == spark.read.parquet(f"{SF_DIR}/{name}.parquet").dtypes
