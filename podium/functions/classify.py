@@ -50,9 +50,12 @@ def classify(
     rules: Sequence[Rule], region: Column, entity: Column, default: str | None = "Other"
 ) -> Column:
     """The label of the first rule that holds, else ``default`` (which may be None)."""
-    chain = F
-    for rule in rules:
-        chain = chain.when(rule.condition(region, entity), F.lit(rule.label))
+    if not rules:
+        raise ValueError("no rules")
+    first, *rest = [(rule.condition(region, entity), F.lit(rule.label)) for rule in rules]
+    chain = F.when(*first)
+    for branch in rest:
+        chain = chain.when(*branch)
     return chain.otherwise(F.lit(default).cast("string"))
 
 

@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+# Fixed value: the analysis sizes its partitions by this many rows.
 ROWS_PER_PARTITION = 100_000
 # A driver tracks every task of a stage; past this many, partitions grow in
 # rows instead of in number.

@@ -52,6 +52,7 @@ def rank_in_partition(
         .where(F.col("_rows") > rows_per_task)
         .withColumnRenamed(partition, "_p"),
         "large-partitions",
+        true_size=True,
     )
     n_large = large.agg(F.sum("_rows")).head()[0]
     if n_large is None:
@@ -62,7 +63,9 @@ def rank_in_partition(
     splits = _split_points(df.join(large, is_large, "left_semi"), measure, n_large, rows_per_task)
     with_cell = _with_cell(df, measure, splits)
     cells = materialize(
-        _cells(with_cell.join(large, is_large, "left_semi"), partition, measure), "cells"
+        _cells(with_cell.join(large, is_large, "left_semi"), partition, measure),
+        "cells",
+        true_size=True,
     )
 
     # Rows of small partitions match no cell: they keep a NULL cell and rank
@@ -137,7 +140,8 @@ def _cells(df: DataFrame, partition: str, measure: str) -> DataFrame:
             F.count("*").alias("_n"),
             F.min(measure).eqNullSafe(F.max(measure)).alias("_tied"),
         )
-        .select("_p", "_c", "_tied", F.coalesce(F.sum("_n").over(better), F.lit(0)).alias("_better"))
+        .withColumn("_better", F.coalesce(F.sum("_n").over(better), F.lit(0)))
+        .drop("_n")
     )
 
 
@@ -154,7 +158,9 @@ def first_place_counts(
     reach them. A tie of any size is counted where its rows are.
     """
     best = materialize(
-        df.groupBy(F.col(partition).alias("_p")).agg(F.max(measure).alias("_best")), "maxima"
+        df.groupBy(F.col(partition).alias("_p")).agg(F.max(measure).alias("_best")),
+        "maxima",
+        true_size=True,
     )
     firsts = df.join(
         best,

@@ -40,9 +40,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return a reader of the written table."""
+def materialize(df: DataFrame, name: str, *, true_size: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and return a reader of the written table.
+
+    With ``true_size`` the files are neither compressed nor dictionary-encoded,
+    so their size, which Catalyst takes for the table's, is that of the values.
+    Use it for a table that may be broadcast: well-compressed files would hide
+    a table too large for that.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, name) + "/table"
-    df.write.parquet(path)
+    writer = df.write
+    if true_size:
+        writer = writer.options(**{"compression": "none", "parquet.enable.dictionary": "false"})
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

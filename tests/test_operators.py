@@ -295,6 +295,8 @@ def test_classify_native_udf_and_walker_agree(spark, default):
 
 
 def test_classify_without_rules_or_tests(spark):
+    with pytest.raises(ValueError, match="no rules"):
+        classify([], F.col("a"), F.col("b"))
     with pytest.raises(ValueError):
         Rule("empty")
     with pytest.raises(ValueError):
@@ -354,6 +356,19 @@ def test_materialize_cuts_lineage_and_keeps_types(spark):
     assert "podium-test-" in stored.inputFiles()[0]
 
 
+def test_true_size_tables_are_not_broadcast_when_large(spark):
+    """A million equal rows compress to almost nothing, but must count in full."""
+    equal = spark.range(1_000_000).select(F.lit(7).cast("bigint").alias("k"), F.lit(1.5).alias("v"))
+
+    def joined(**options):
+        small = src.materialize(equal, "equal", **options)
+        plan = spark.range(10).join(small, F.col("id") == F.col("k"), "left")
+        return plan._jdf.queryExecution().sparkPlan().toString()
+
+    assert "BroadcastHashJoin" in joined()
+    assert "SortMergeJoin" in joined(true_size=True)
+
+
 def test_scratch_follows_the_session_setting(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     root = src.scratch_root(spark)

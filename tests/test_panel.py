@@ -113,5 +113,6 @@ def test_report_writes_results_and_manifest(spark, csv_paths, tmp_path):
         no_continent="Nowhere",
     )
     assert dict(rows(again)) == manifest
-    continents = {r.continent for r in read_parquet(spark, out + "/happiest_per_continent").collect()}
+    written = read_parquet(spark, out + "/happiest_per_continent").collect()
+    continents = {r.continent for r in written}
     assert "Nowhere" in continents and None not in continents
