@@ -231,14 +231,13 @@ def argmax_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def group_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.group_first(
-        _table(spark, sf_dir, "events"),
-        "event_type",
-        "event_id",
-        ["ts", "event_id"],
-        "first_event",
-        F.max("value").alias("max_value"),
+    events = _table(spark, sf_dir, "events")
+    first = op.group_first(events, "event_type", "event_id", ["ts", "event_id"], "first_event")
+    largest = op.group_max(events, "event_type", "value", "max_value").withColumnRenamed(
+        "event_type", "_type"
     )
+    # Both sides are aggregates of one row per type.
+    return first.join(largest, F.col("event_type").eqNullSafe(F.col("_type"))).drop("_type")
 
 
 @_query(

@@ -1,7 +1,7 @@
 """Group and global aggregates.
 
-Every one is a single partial / final aggregation: tasks reduce their own rows
-before the shuffle, so a hot group costs one row per task, not its row count.
+All are partial / final aggregations: tasks reduce their own rows before the
+shuffle, so a hot group costs one row per task, not its row count.
 """
 
 from __future__ import annotations
@@ -36,29 +36,39 @@ def group_avg(
 
 
 def group_first(
-    df: DataFrame, key: str, value: str, order: Sequence[str], name: str, *extra: Column
+    df: DataFrame, key: str, value: str, order: Sequence[str], name: str, *, prune: bool = True
 ) -> DataFrame:
-    """``value`` of the first row of each group under ``order``.
+    """``value`` of the first row of each group under ``order`` (ascending, NULL first).
 
     The order is part of the aggregate, so the result does not depend on how
-    the rows arrive. ``extra`` are further aggregates of the same pass.
+    the rows arrive. ``prune`` is that of ``argmax_per_group``.
     """
-    first = F.min(F.struct(*order, F.col(value).alias("_value"))).alias("_first")
-    return (
-        df.groupBy(key)
-        .agg(first, *extra)
-        .withColumn("_first", F.col("_first._value"))
-        .withColumnRenamed("_first", name)
-    )
+    lead = F.col(order[0])
+    if prune:
+        latest = df.groupBy(key).agg(F.min(lead).alias("_first")).agg(F.max("_first")).scalar()
+        df = df.where((lead <= latest) | lead.isNull())
+    first = F.min(F.struct(*order, F.col(value).alias("_value")))
+    return df.groupBy(key).agg(first.alias("_best")).select(key, F.col("_best._value").alias(name))
 
 
-def argmax_per_group(df: DataFrame, group: str, entity: str, measure: str) -> DataFrame:
+def argmax_per_group(
+    df: DataFrame, group: str, entity: str, measure: str, *, prune: bool = True
+) -> DataFrame:
     """(group, entity, measure) of the row with the largest measure in each group.
 
     Entity and measure come from the same row. Ties go to the lowest entity; a
     group whose measures are all NULL still names its lowest entity.
+
+    The best row is a minimum over structs, which Spark aggregates by sorting.
+    So a hash aggregate first finds every group's maximum, and rows below the
+    lowest of them, which cannot win anywhere, are dropped before that sort.
+    ``prune=False`` skips this and reads ``df`` once, for costly inputs.
     """
     keys = [k.alias(f"_{i}") for i, k in enumerate(best_first_key(df, measure))]
+    if prune:
+        m = F.col(measure)
+        lowest = df.groupBy(group).agg(F.max(m).alias("_max")).agg(F.min("_max")).scalar()
+        df = df.where((m >= lowest) | m.isNull())
     best = F.min(F.struct(*keys, F.col(entity).alias("_e"), F.col(measure).alias("_m")))
     return (
         df.groupBy(group)

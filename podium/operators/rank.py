@@ -155,14 +155,16 @@ def first_place_counts(
 
     Rank 1 means "equal to the partition's maximum", so no window is needed:
     one aggregate finds the maxima, and a second pass counts the rows that
-    reach them. A tie of any size is counted where its rows are.
+    reach them. A tie of any size is counted where its rows are. No row below
+    the lowest maximum can win, so the second pass drops those before the join.
     """
     best = materialize(
         df.groupBy(F.col(partition).alias("_p")).agg(F.max(measure).alias("_best")),
         "maxima",
         true_size=True,
     )
-    firsts = df.join(
+    lowest = best.agg(F.min("_best")).scalar()
+    firsts = df.where((F.col(measure) >= lowest) | F.col(measure).isNull()).join(
         best,
         F.col(partition).eqNullSafe(F.col("_p")) & F.col(measure).eqNullSafe(F.col("_best")),
         "left_semi",

@@ -85,7 +85,8 @@ class Panel:
             self.rules, F.col("regional_indicator"), F.col("country_name"), self.no_continent
         )
         rows = self.snapshot.withColumn("continent", continent)
-        return argmax_per_group(rows, "continent", "country_name", "ladder_score")
+        # A snapshot is one year: too small for pruning to pay for a second pass.
+        return argmax_per_group(rows, "continent", "country_name", "ladder_score", prune=False)
 
     def first_place_counts(self) -> DataFrame:
         """Q3: how many years each entity was first, snapshot year included."""

@@ -147,8 +147,10 @@ def test_argmax_and_rank_of_argmax(spark, triples):
     def best(candidates, measure):
         return max(candidates, key=lambda r: (worth(r[measure]), -r[0]))
 
-    got = {r.p: r.id for r in op.argmax_per_group(df, "p", "id", "m").collect()}
-    assert got == {p: best([r for r in data if r[1] == p], 2)[0] for p in {r[1] for r in data}}
+    expected = {p: best([r for r in data if r[1] == p], 2)[0] for p in {r[1] for r in data}}
+    for prune in (True, False):
+        winners = op.argmax_per_group(df, "p", "id", "m", prune=prune)
+        assert {r.p: r.id for r in winners.collect()} == expected
 
     group = [r for r in data if r[1] == "a"]
     got = rows(op.rank_of_argmax(df, F.col("p") == "a", "p", "b", "m", ["id"]))
@@ -189,11 +191,13 @@ def test_sort_desc_of_a_whole_table(spark):
     assert got == sorted(got, key=lambda r: (-r[0], r[1]))
 
 
-def test_group_first_ignores_arrival_order(spark):
-    data = [("a", 3, 30), ("a", 1, 10), ("a", 1, 11), ("b", 2, 20)]
+@pytest.mark.parametrize("prune", [True, False])
+def test_group_first_ignores_arrival_order(spark, prune):
+    data = [("a", 3, 30), ("a", 1, 10), ("a", 1, 11), ("b", 2, 20), ("b", 9, 90)]
+    data += [("c", None, 41), ("c", None, 40), ("d", 0, 51), ("d", None, 50), (None, 7, 60)]
     df = spark.createDataFrame(data, "g string, t int, v int").repartition(3)
-    got = set(rows(op.group_first(df, "g", "v", ["t", "v"], "first")))
-    assert got == {("a", 10), ("b", 20)}
+    got = set(rows(op.group_first(df, "g", "v", ["t", "v"], "first", prune=prune)))
+    assert got == {("a", 10), ("b", 20), ("c", 40), ("d", 50), (None, 60)}
 
 
 @pytest.mark.parametrize(
