@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -377,3 +378,14 @@ def test_scratch_follows_the_session_setting(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     root = src.scratch_root(spark)
     assert root == (configured or spark.sparkContext.getCheckpointDir()).rstrip("/")
+
+
+def test_scratch_refuses_a_cluster_without_a_shared_folder():
+    def session(master, setting=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        conf = SimpleNamespace(get=lambda key, default: setting)
+        return SimpleNamespace(sparkContext=context, conf=conf)
+
+    with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
+        src.scratch_root(session("spark://host:7077"))
+    assert src.scratch_root(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
