@@ -747,7 +747,8 @@ def panel_longest_lived_in_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def panel_longest_lived_followup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _panel(spark, sf_dir).longest_lived_followup()
+    # The winner and its rows are two reads of the panel, as above.
+    return _panel(spark, sf_dir).staged().longest_lived_followup()
 
 
 # --- contract ----------------------------------------------------------------
