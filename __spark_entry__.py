@@ -6,6 +6,7 @@ top-1 and top-k operators, where it is the feature.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -751,6 +752,19 @@ def panel_longest_lived_followup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _panel(spark, sf_dir).staged().longest_lived_followup()
 
 
+# --- training-data operators --------------------------------------------------
+# They are optional: without the subpackage and its pipeline, all else still works.
+
+if importlib.util.find_spec("podium.llm") and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline
+    from podium.llm import queries as llm_queries
+
+    _QUERIES.update(llm_queries.QUERIES)
+    _ORACLES.update(llm_queries.ORACLES)
+    _QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        _ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 # --- contract ----------------------------------------------------------------
 
 

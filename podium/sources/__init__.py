@@ -1,4 +1,10 @@
-from podium.sources.scratch import materialize, scratch_dir, scratch_root
+from podium.sources.scratch import (
+    materialize,
+    remove,
+    scratch_dir,
+    scratch_root,
+    scratch_scope,
+)
 from podium.sources.tables import (
     list_files,
     read_csv,
@@ -12,8 +18,10 @@ __all__ = [
     "materialize",
     "read_csv",
     "read_parquet",
+    "remove",
     "results_manifest",
     "scratch_dir",
     "scratch_root",
+    "scratch_scope",
     "write_parquet",
 ]

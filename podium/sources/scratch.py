@@ -1,4 +1,4 @@
-"""Small intermediate tables, written once to storage every executor can read.
+"""Intermediate tables, written once to storage every executor can read.
 
 ``materialize`` cuts lineage: the reduced table is on shared storage, so a lost
 executor never makes a later stage recompute it. It also gives Catalyst the
@@ -8,48 +8,72 @@ measured size whether a join on it is broadcast or shuffled.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``.
+    """The shared folder of ``spark.checkpoint.dir``; unset, a folder of the warehouse.
 
-    Where it is unset, a local session gets a temporary folder; a cluster
-    session is refused, since executors could not read the driver's disk.
+    Both are shared by every executor of a cluster. The session is not changed.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="podium-"))
-        root = sc.getCheckpointDir()
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_podium_scratch"
     return root.rstrip("/")
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new empty folder in the shared folder, deleted when the application ends."""
     path = f"{scratch_root(spark)}/podium-{name}-{uuid.uuid4().hex}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, jvm_path = _hadoop_path(spark, path)
     fs.mkdirs(jvm_path)
     fs.deleteOnExit(jvm_path)
     return path
 
 
-def materialize(df: DataFrame, name: str, *, true_size: bool = False) -> DataFrame:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_dir`` made; one that is gone already is no error."""
+    if not path.startswith(f"{scratch_root(spark)}/podium-"):
+        raise ValueError(f"not a scratch folder: {path}")
+    fs, jvm_path = _hadoop_path(spark, path)
+    fs.delete(jvm_path, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str) -> Iterator[str]:
+    """A scratch folder for the length of a ``with`` block.
+
+    Write or collect every result that reads it inside the block.
+    """
+    path = scratch_dir(spark, name)
+    try:
+        yield path
+    finally:
+        remove(spark, path)
+
+
+def materialize(
+    df: DataFrame, name: str, *, true_size: bool = False, folder: str | None = None
+) -> DataFrame:
     """Write ``df`` to the shared folder and return a reader of the written table.
 
-    With ``true_size`` the files are neither compressed nor dictionary-encoded,
-    so their size, which Catalyst takes for the table's, is that of the values.
-    Use it for a table that may be broadcast: well-compressed files would hide
-    a table too large for that.
+    ``folder`` is one of a ``scratch_scope``; without it the table stays until
+    the application ends. With ``true_size`` the files are neither compressed
+    nor dictionary-encoded, so their size, which Catalyst takes for the
+    table's, is that of the values. Use it for a table that may be broadcast:
+    well-compressed files would hide a table too large for that.
     """
     spark = df.sparkSession
-    path = scratch_dir(spark, name) + "/table"
+    path = scratch_dir(spark, name) + "/table" if folder is None else f"{folder}/{name}"
     writer = df.write
     if true_size:
         writer = writer.options(**{"compression": "none", "parquet.enable.dictionary": "false"})

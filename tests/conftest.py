@@ -12,13 +12,14 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("podium-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
