@@ -7,8 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from podium.llm.brown import score_documents
+from podium.llm.exact_dedup import exact_dedup
+from podium.llm.nbsvm import classify
 from podium.llm.packing import pack_documents
-from podium.llm.tables import table
+from podium.llm.set_join import set_components
+from podium.llm.tables import SCHEMAS, table
 from podium.llm.token_files import token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +31,39 @@ def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@_query(
+    "op2_exact_dedup",
+    r"""
+    SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+           doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
+    FROM (SELECT doc_id,
+                 regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
+          FROM documents)
+    WINDOW g AS (PARTITION BY norm)
+    """,
+)
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A pattern, since a stream takes a single file only as the match of one.
+    files = f"{sf_dir}/document[s].parquet"
+    stream = spark.readStream.schema(SCHEMAS["documents"]).parquet(files)
+    return exact_dedup(stream, table(spark, sf_dir, "documents"))
+
+
+@_query("op4_set_join")
+def op4_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+@_query("op5_brown_model")
+def op5_brown_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_quality_classifier")
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(

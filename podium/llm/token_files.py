@@ -123,8 +123,8 @@ def read_token_files(manifest: DataFrame, folder: str, dtype: str = "<u2") -> Da
                         names=["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 
-    # One part a task: the manifest is dealt out evenly by its own numbers.
-    return parts.repartition(F.col("part")).mapInArrow(read, _READ)
+    # About one part a task.
+    return parts.repartition(max(1, manifest.count()), "part").mapInArrow(read, _READ)
 
 
 def token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
