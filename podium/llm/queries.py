@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from podium.llm.brown import score_documents
 from podium.llm.exact_dedup import exact_dedup
+from podium.llm.line_dedup import MIN_WORDS, dedup_lines
 from podium.llm.nbsvm import classify
 from podium.llm.packing import pack_documents
 from podium.llm.set_join import set_components
@@ -49,6 +50,59 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(stream, table(spark, sf_dir, "documents"))
 
 
+# Every smallest run of MIN_WORDS words, from its first line on or up to its last, by its lines.
+@_query(
+    "op3_line_dedup",
+    rf"""
+    WITH split AS (
+        SELECT doc_id, generate_subscripts(a, 1) - 1 AS line_no, unnest(a) AS line
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
+    l AS (
+        SELECT doc_id, line_no, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line,
+               len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w,
+               row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS pos
+        FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+    c AS (
+        SELECT *, sum(w) OVER d AS after, sum(w) OVER d - w AS before,
+               sum(w) OVER (PARTITION BY doc_id) AS total
+        FROM l WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+    m AS (
+        SELECT *, count(*) OVER (PARTITION BY doc_id ORDER BY before
+                   RANGE BETWEEN CURRENT ROW AND {MIN_WORDS - 1} FOLLOWING) AS ahead,
+               count(*) OVER (PARTITION BY doc_id ORDER BY after
+                   RANGE BETWEEN {MIN_WORDS - 1} PRECEDING AND CURRENT ROW) AS behind
+        FROM c),
+    runs AS (
+        SELECT doc_id, pos AS s, ahead AS m FROM m WHERE total - before >= {MIN_WORDS}
+        UNION SELECT doc_id, pos - behind + 1, behind FROM m WHERE after >= {MIN_WORDS}),
+    texts AS (SELECT doc_id, list(line ORDER BY pos) AS lines FROM l GROUP BY doc_id),
+    keyed AS (
+        SELECT doc_id, s, m, array_to_string(lines[s:s + m - 1], chr(10)) AS run
+        FROM runs JOIN texts USING (doc_id)),
+    later AS (
+        SELECT doc_id, s, m FROM (
+            SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS nth FROM keyed)
+        WHERE nth > 1),
+    gone AS (
+        SELECT DISTINCT doc_id, line_no FROM (
+            SELECT doc_id, unnest(generate_series(s, s + m - 1)) AS pos FROM later)
+        JOIN l USING (doc_id, pos)),
+    kept AS (
+        SELECT doc_id, count(*) AS n_lines, count(g.line_no) AS n_removed,
+               string_agg(s.line, chr(10) ORDER BY s.line_no) FILTER (g.line_no IS NULL) AS rest
+        FROM split s LEFT JOIN gone g USING (doc_id, line_no) GROUP BY doc_id)
+    SELECT doc_id, n_lines, n_removed,
+           CASE WHEN n_removed = 0 THEN text
+                WHEN regexp_matches(coalesce(rest, ''), '[^\x20\x09-\x0D]') THEN rest
+                ELSE '' END AS text
+    FROM documents JOIN kept USING (doc_id)
+    """,
+)
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(documents)
+
+
 @_query("op4_set_join")
 def op4_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_components(table(spark, sf_dir, "documents"), n=3, percent=90)
