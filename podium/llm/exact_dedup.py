@@ -20,8 +20,13 @@ from pyspark.sql import functions as F
 
 from podium.sources import materialize, scratch_dir
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    # Many small stores would each reserve megabytes of disk that they do not fill.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 # Rows of one group that meet one copy of the retained text.
 ROWS_PER_COPY = 64
 
@@ -37,12 +42,14 @@ def sha256(text: Column) -> Column:
 
 @contextmanager
 def _disk_backed_state(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in _STATE_SETTINGS}
+    for name, value in _STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def _located(docs: DataFrame, digest) -> DataFrame:
