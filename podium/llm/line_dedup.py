@@ -221,3 +221,17 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.col("_n").cast("bigint").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_removed"),
     )
+
+
+def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` without later copies of line runs, in its own columns.
+
+    A document that loses all its lines is left out; one that had no words
+    stays. ``n_chars``, where there is such a column, is that of the new text.
+    """
+    cleaned = dedup_lines(docs, min_words)
+    kept = cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    if "n_chars" in docs.columns:
+        changed = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        kept = kept.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
+    return kept.select([F.col(f"`{c}`") for c in docs.columns])

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from podium.llm.brown import score_documents
+from podium.llm.decontaminate import contaminated
 from podium.llm.exact_dedup import exact_dedup
 from podium.llm.line_dedup import MIN_WORDS, dedup_lines
 from podium.llm.nbsvm import classify
@@ -32,6 +33,11 @@ def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@_query("op1_decontamination")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @_query(
     "op2_exact_dedup",
     r"""

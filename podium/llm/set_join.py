@@ -39,7 +39,8 @@ CELL = 4096
 _LEADERS = 3
 
 _SET = (
-    "doc_id bigint, n_shingles int, s1 bigint, s2 bigint, prefix array<bigint>, leads array<bigint>"
+    "doc_id bigint, row_key bigint, n_shingles int, s1 bigint, s2 bigint, prefix array<bigint>,"
+    " leads array<bigint>"
 )
 
 
@@ -120,8 +121,9 @@ def describe_sets(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: tuple[list, ...] = ([], [], [], [], [], [])
-            for doc_id, keys in _sets(batch, n, frequent.value):
+            columns: tuple[list, ...] = ([], [], [], [], [], [], [])
+            row_keys = batch.column(batch.schema.get_field_index("row_key")).to_pylist()
+            for row_key, (doc_id, keys) in zip(row_keys, _sets(batch, n, frequent.value)):
                 size = len(keys)
                 # An empty set shares nothing: its lists are empty.
                 prefix = keys[: prefix_length(size, percent)] if size else keys
@@ -129,17 +131,18 @@ def describe_sets(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
                     int(mix(keys ^ np.uint64(7_919 * (k + 1))).min().view(np.int64))
                     for k in range(_LEADERS if size else 0)
                 ]
-                row = (doc_id, size, *_signature(keys), prefix.view(np.int64), leads)
+                row = (doc_id, row_key, size, *_signature(keys), prefix.view(np.int64), leads)
                 for column, value in zip(columns, row):
                     column.append(value)
             lists = pa.list_(pa.int64())
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), lists, lists]
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), lists, lists]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types)],
-                names=["doc_id", "n_shingles", "s1", "s2", "prefix", "leads"],
+                names=["doc_id", "row_key", "n_shingles", "s1", "s2", "prefix", "leads"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(describe, _SET)
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
+    return rows.mapInArrow(describe, _SET)
 
 
 def verified(
@@ -306,23 +309,15 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     return found.groupBy("a", "b").agg(F.max("derived").alias("derived"))
 
 
-def set_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text).
-
-    Words are runs of anything but ASCII white space, A-Z as a-z. A set holds
-    the distinct ``n``-word shingles; a text with fewer words is one shingle;
-    without words or text the set is empty and linked with nothing. Two rows
-    link when 100 * intersection >= ``percent`` * union; ``component_id`` is
-    the smallest id reachable. Rows that repeat an id stand in one component
-    for each of their texts; null ids do not count as smallest unless there is
-    no other. No rows, no result rows. Other columns are not read.
-    """
+def _labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(doc_id, row_key, n_shingles, component, component_id); ``component`` is a
+    number of its own, null for an empty set."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     frequent = spark.sparkContext.broadcast(Lookup(frequent_grams(docs, n)))
     described = materialize(describe_sets(docs, n, percent, frequent), "described")
     key = ["s1", "s2", "n_shingles"]
-    rows = described.select("doc_id", *key)
+    rows = described.select("doc_id", "row_key", *key)
     # Rows of a class have the same lists: any of them will do.
     grouped = (
         described.where("n_shingles > 0")
@@ -386,8 +381,47 @@ def set_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         ["component"],
         "classes",
     )
-    named = materialize(named.select(*key, "rows", "component_id"), "named")
+    named = materialize(named.select(*key, "rows", "component", "component_id"), "named")
     out = join_groups(rows.where("n_shingles > 0"), named, key, "rows")
-    alone = rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", F.col("n_shingles").cast("bigint").alias("n_shingles"), "component_id"]
+    alone = rows.where("n_shingles = 0").select(
+        "*", F.lit(None).cast("bigint").alias("component"), F.col("doc_id").alias("component_id")
+    )
+    columns = ["doc_id", "row_key", "n_shingles", "component", "component_id"]
     return out.select(columns).unionByName(alone.select(columns))
+
+def set_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text).
+
+    Words are runs of anything but ASCII white space, A-Z as a-z. A set holds
+    the distinct ``n``-word shingles; a text with fewer words is one shingle;
+    without words or text the set is empty and linked with nothing. Two rows
+    link when 100 * intersection >= ``percent`` * union; ``component_id`` is
+    the smallest id reachable. Rows that repeat an id stand in one component
+    for each of their texts; null ids do not count as smallest unless there is
+    no other. No rows, no result rows. Other columns are not read.
+    """
+    labelled = _labelled_rows(docs, n, percent)
+    return labelled.select("doc_id", F.col("n_shingles").cast("bigint").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component of ``docs``, with all its columns: the smallest id's.
+
+    A null id comes after all others; of equal ids the text with the smaller
+    hash stays, of rows with equal ids and texts any one. Texts without words
+    are in no component and all stay.
+    """
+    labelled = materialize(_labelled_rows(docs, n, percent), "labelled-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    first = labelled.where("component is not null").groupBy("component").agg(F.min(order).alias("f"))
+    first = first.select(F.col("f.doc_id").alias("_id"), F.col("f.row_key").alias("_key"))
+    first = materialize(first, "firsts").hint("shuffle_hash")
+    keyed = docs.withColumn("_row_key", F.xxhash64("doc_id", "text"))
+    same = (F.col("_row_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    has_word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = keyed.where(has_word).join(first, same, "left_semi")
+    repeated = labelled.where("component is not null").groupBy("doc_id", "row_key").count()
+    if not repeated.where("count > 1").isEmpty():
+        # Rows that repeat an id and its text: one row for each key, any of them.
+        kept = kept.dropDuplicates(["_row_key"])
+    return kept.drop("_row_key").unionByName(docs.where(~has_word))

@@ -67,9 +67,11 @@ def chunks(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
         start = end
 
 
-def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words_of(
+    raw: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = _IS_WORD
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First byte of each word, the byte after it, and each text's first word plus the end."""
-    is_word = _IS_WORD[raw]
+    is_word = word_bytes[raw]
     cut = np.zeros(len(raw) + 1, bool)
     cut[offsets] = True
     before = np.concatenate([[False], is_word[:-1]]) if len(raw) else is_word
