@@ -1,10 +1,64 @@
-"""The training-data pipeline: its stages in order, each a table in and a table out."""
+"""The training-data pipeline: rejects poor documents, deletes repeated lines, keeps
+one of each group of near copies, drops benchmark leaks, and packs the rest.
+
+Each stage takes (spark, docs, sf_dir) and returns a table, which is written as
+Parquet and read again as the next one's ``docs``; a lost executor, or a job
+that is started anew, goes on from there.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from podium.llm.decontaminate import drop_contaminated
+from podium.llm.line_dedup import drop_repeated_lines
+from podium.llm.nbsvm import keep_good
+from podium.llm.packing import pack_documents
+from podium.llm.set_join import keep_one
+from podium.llm.tables import table
+from podium.sources import materialize
+from pyspark.sql import DataFrame, SparkSession
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the threshold go."""
+    return keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs go, and documents that had nothing else."""
+    return drop_repeated_lines(docs)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at a similarity of 0.8, one stays."""
+    return keep_one(docs, n=5, percent=80)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage near a benchmark item go."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The remaining documents as sequences of at most 1024 tokens."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
+
+# A trained classifier and a tokenizer are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return docs
