@@ -4,6 +4,7 @@ from podium.sources.scratch import (
     scratch_dir,
     scratch_root,
     scratch_scope,
+    session_settings,
 )
 from podium.sources.tables import (
     list_files,
@@ -23,5 +24,6 @@ __all__ = [
     "scratch_dir",
     "scratch_root",
     "scratch_scope",
+    "session_settings",
     "write_parquet",
 ]

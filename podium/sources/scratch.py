@@ -9,7 +9,7 @@ measured size whether a join on it is broadcast or shuffled.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +61,24 @@ def scratch_scope(spark: SparkSession, name: str) -> Iterator[str]:
         remove(spark, path)
 
 
+@contextmanager
+def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Set session settings for the length of a ``with`` block."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+# The shuffle files of a finished write are of no more use: without this they
+# stay on the executors' disks until the driver happens to collect its garbage.
+_CLEAN_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def materialize(
     df: DataFrame, name: str, *, true_size: bool = False, folder: str | None = None
 ) -> DataFrame:
@@ -77,5 +95,6 @@ def materialize(
     writer = df.write
     if true_size:
         writer = writer.options(**{"compression": "none", "parquet.enable.dictionary": "false"})
-    writer.parquet(path)
+    with session_settings(spark, _CLEAN_SHUFFLES):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
