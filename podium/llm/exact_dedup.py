@@ -12,13 +12,10 @@ Only DataFrame operations: no Python on the executors.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from podium.sources import materialize, scratch_dir
+from podium.sources import materialize, scratch_dir, session_settings
 
 _STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -40,18 +37,6 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-@contextmanager
-def _disk_backed_state(spark: SparkSession) -> Iterator[None]:
-    before = {name: spark.conf.get(name, None) for name in _STATE_SETTINGS}
-    for name, value in _STATE_SETTINGS.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
 def _located(docs: DataFrame, digest) -> DataFrame:
     """Each row's id, locator and digest; works on a stream and on a table of files."""
     return docs.select(
@@ -85,7 +70,7 @@ def run_stream(stream: DataFrame, state_dir: str, digest=sha256) -> DataFrame:
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{state_dir}/updates/batch={number}")
 
-    with _disk_backed_state(spark):
+    with session_settings(spark, _STATE_SETTINGS):
         query = (
             state.writeStream.outputMode("update")
             .option("checkpointLocation", f"{state_dir}/checkpoint")

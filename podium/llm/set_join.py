@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from podium.llm.components import components
 from podium.llm.skew import join_groups
 from podium.llm.words import Lookup, chunks, mix, ngram_hashes, word_hashes
-from podium.sources import materialize
+from podium.sources import materialize, scratch_scope
 
 # N-grams that one task counts at a time; those it meets at least ``_REPEATS``
 # times go into the count of all documents.
@@ -87,7 +87,7 @@ def frequent_grams(docs: DataFrame, n: int, most: int = FREQUENT) -> np.ndarray:
 
     counts = docs.select("text").mapInArrow(count, "g bigint, c bigint")
     top = counts.groupBy("g").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "g").limit(most)
-    return top.select("g").toPandas()["g"].to_numpy(np.int64).view(np.uint64)
+    return top.select("g").toArrow()["g"].to_numpy().view(np.uint64)
 
 
 def _keys(grams: np.ndarray, frequent: Lookup) -> np.ndarray:
@@ -167,7 +167,8 @@ def verified(
             )
 
     same_id = docs["doc_id"].eqNullSafe(F.col("rep"))
-    reps = wanted.select(F.col("doc_id").alias("rep")).distinct().hint("shuffle_hash")
+    # Written first: its size decides whether it is broadcast or the texts are exchanged.
+    reps = materialize(wanted.select(F.col("doc_id").alias("rep")).distinct(), "reps", true_size=True)
     texts = docs.join(reps, same_id, "left_semi").select("doc_id", "text")
     # A repeated id brings texts that no pair needs: they meet no class, or one twice.
     sets = texts.mapInArrow(read, "s1 bigint, s2 bigint, n_shingles int, keys binary")
@@ -201,8 +202,7 @@ def _index(classes: DataFrame) -> DataFrame:
     """Prefix entries dealt to cells: a list longer than ``CELL`` is cut into
     groups, and each pair of groups meets in a cell of its own."""
     entries = classes.select(
-        *["cid", "n_shingles", "component", "leader", "n_leader", "overlap"],
-        F.posexplode("prefix").alias("pos", "gram"),
+        "cid", "n_shingles", "component", F.posexplode("prefix").alias("pos", "gram")
     )
     lists = entries.groupBy("gram").agg(F.count("*").alias("entries")).where(F.col("entries") > CELL)
     long_lists = materialize(lists, "long-lists", true_size=True)
@@ -217,30 +217,27 @@ def _index(classes: DataFrame) -> DataFrame:
             F.least("own", "other").alias("cell_a"),
             F.greatest("own", "other").alias("cell_b"),
             "own",
-            F.col("n_shingles").cast("bigint").alias("n"),
-            F.col("pos").cast("bigint").alias("pos"),
+            F.col("n_shingles").alias("n"),
+            "pos",
             "cid",
             "component",
-            "leader",
-            "n_leader",
-            "overlap",
         )
     )
 
 
 def _block_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Candidate pairs within the cells of ``rows``, which is sorted by cell, size, position.
-
-    ``derived`` pairs are linked for certain, by their overlaps with a leader.
-    """
-    cell = rows.groupby(["gram", "cell_a", "cell_b"], sort=False).ngroup().to_numpy()
-    n, pos = rows["n"].to_numpy(), rows["pos"].to_numpy()
+    """Candidate pairs within the cells of ``rows``, which is sorted by cell, size, position."""
+    cell = np.zeros(len(rows), np.int64)
+    for c in ("gram", "cell_a", "cell_b"):
+        cell[1:] |= np.diff(rows[c].to_numpy(np.int64)) != 0
+    cell = np.cumsum(cell)
+    n, pos = rows["n"].to_numpy(np.int64), rows["pos"].to_numpy(np.int64)
     new = np.ones(len(rows), bool)
     new[1:] = (np.diff(cell) != 0) | (np.diff(n) != 0) | (np.diff(pos) != 0)
     start = np.flatnonzero(new)
     size = np.diff(np.append(start, len(rows)))
     bc, bn, bp = cell[start], n[start], pos[start]
-    firsts, seconds = [], []
+    firsts, seconds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     active, d = np.arange(len(start)), 0
     while len(active):
         other = active + d
@@ -260,35 +257,16 @@ def _block_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
                 firsts.append(start[a] + i)
                 seconds.append(start[a] + j)
         d += 1
-    if not firsts:
-        return pd.DataFrame({"a": [], "b": [], "derived": []}).astype(
-            {"a": np.int64, "b": np.int64, "derived": bool}
-        )
     i, j = np.concatenate(firsts), np.concatenate(seconds)
-    own, comp, cid = (rows[c].to_numpy() for c in ("own", "component", "cid"))
-    cell_a, cell_b = rows["cell_a"].to_numpy(), rows["cell_b"].to_numpy()
-    wanted = (comp[i] != comp[j]) & ((own[i] != own[j]) | (cell_a[i] == cell_b[i]))
-    i, j = i[wanted], j[wanted]
-    leader, with_leader = rows["leader"].to_numpy(), rows["overlap"].to_numpy()
-    need = needed(n[i], n[j], percent)
-    same = (leader[i] == leader[j]) & (leader[i] >= 0)
-    # |x & y| lies between |x & L| + |y & L| - |L| and the sum of what both can
-    # share inside and outside of the leader L.
-    inside = np.minimum(with_leader[i], with_leader[j])
-    outside = np.minimum(n[i] - with_leader[i], n[j] - with_leader[j])
-    possible = ~same | (inside + outside >= need)
-    derived = same & (with_leader[i] + with_leader[j] - rows["n_leader"].to_numpy()[i] >= need)
-    return pd.DataFrame(
-        {
-            "a": np.minimum(cid[i], cid[j])[possible],
-            "b": np.maximum(cid[i], cid[j])[possible],
-            "derived": derived[possible],
-        }
-    ).drop_duplicates()
+    own, comp, cid = (rows[c].to_numpy(np.int64) for c in ("own", "component", "cid"))
+    diagonal = rows["cell_a"].to_numpy() == rows["cell_b"].to_numpy()
+    wanted = (comp[i] != comp[j]) & ((own[i] != own[j]) | diagonal[i])
+    i, j = cid[i[wanted]], cid[j[wanted]]
+    return pd.DataFrame({"a": np.minimum(i, j), "b": np.maximum(i, j)}).drop_duplicates()
 
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b, derived): pairs of classes in different components that may be linked."""
+    """(a, b): pairs of classes in different components that may be linked."""
     order = ["gram", "cell_a", "cell_b", "n", "pos", "cid"]
 
     def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -296,8 +274,11 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
         for frame in frames:
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
             # The last cell may go on in the next frame.
-            last = (frame[order[:3]] != frame[order[:3]].iloc[-1]).any(axis=1).to_numpy()
-            whole = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
+            other = np.zeros(len(frame), bool)
+            for c in order[:3]:
+                values = frame[c].to_numpy()
+                other |= values != values[-1]
+            whole = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
             rest = frame.iloc[whole:]
             if whole:
                 yield _block_pairs(frame.iloc[:whole], percent)
@@ -305,67 +286,89 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
             yield _block_pairs(rest, percent)
 
     cells = _index(classes).repartition(*order[:3]).sortWithinPartitions(*order)
-    found = cells.mapInPandas(pair, "a bigint, b bigint, derived boolean")
-    return found.groupBy("a", "b").agg(F.max("derived").alias("derived"))
+    return cells.mapInPandas(pair, "a bigint, b bigint").distinct()
+
+
+def _judged(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Pairs that may still be linked; ``derived`` ones are for certain, since two
+    sets share at least |x & L| + |y & L| - |L|, and at most what they can share
+    inside and outside of L, of a common leader L."""
+    sides = [
+        known.select(F.col("cid").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "leader", "n_leader", "overlap")])
+        for s in ("a", "b")
+    ]
+    rows = pairs.join(sides[0], "a").join(sides[1], "b")
+    n = F.col("n_a") + F.col("n_b")
+    need = -F.floor(-F.lit(percent) * n / (100 + percent))
+    least = F.col("overlap_a") + F.col("overlap_b") - F.col("n_leader_a")
+    most = F.least("overlap_a", "overlap_b") + F.least(
+        F.col("n_a") - F.col("overlap_a"), F.col("n_b") - F.col("overlap_b")
+    )
+    same = F.coalesce(F.col("leader_a") == F.col("leader_b"), F.lit(False))
+    return rows.where(~same | (most >= need)).select("a", "b", (same & (least >= need)).alias("derived"))
 
 
-def _labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, row_key, n_shingles, component, component_id); ``component`` is a
-    number of its own, null for an empty set."""
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    frequent = spark.sparkContext.broadcast(Lookup(frequent_grams(docs, n)))
-    described = materialize(describe_sets(docs, n, percent, frequent), "described")
-    key = ["s1", "s2", "n_shingles"]
-    rows = described.select("doc_id", "row_key", *key)
-    # Rows of a class have the same lists: any of them will do.
-    grouped = (
-        described.where("n_shingles > 0")
-        .groupBy(*key)
-        .agg(
-            F.min("doc_id").alias("doc_id"),
-            F.count("*").alias("rows"),
-            F.first("prefix").alias("prefix"),
-            F.first("leads").alias("leads"),
-        )
-        .withColumn("cid", F.monotonically_increasing_id())
+def _links(
+    full: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, frequent
+) -> DataFrame:
+    """(a, b): links that connect all classes which any links connect; a written table."""
+    # Leaders: the first class with the same minimum hash, for two hashes or more.
+    leads = full.select("cid", "n_shingles", F.explode("leads").alias("lead"))
+    least = leads.groupBy("lead").agg(
+        F.min(F.struct("cid", "n_shingles")).alias("l"), F.count("*").alias("entries")
     )
-    classes = materialize(grouped, "classes")
-
-    # Leaders: the first class with the same minimum hash.
-    leads = classes.select("cid", F.explode("leads").alias("lead"))
-    least = leads.groupBy("lead").agg(F.min("cid").alias("a"), F.count("*").alias("entries"))
     stars = join_groups(leads, materialize(least, "leads"), ["lead"], "entries")
-    stars = materialize(
-        stars.where("a < cid").select("a", F.col("cid").alias("b")).distinct(), "stars"
-    )
+    near = F.least("n_shingles", "l.n_shingles") * 100 >= F.greatest("n_shingles", "l.n_shingles") * percent
+    stars = stars.where((F.col("l.cid") < F.col("cid")) & near)
+    stars = stars.groupBy(F.col("l.cid").alias("a"), F.col("cid").alias("b")).count()
+    stars = materialize(stars.where("count > 1").select("a", "b"), "stars")
     led = materialize(verified(stars, classes, docs, n, percent, frequent), "led")
     first_links = led.where("linked").select("a", "b")
-    known = components(first_links)
+
+    component = components(first_links).withColumnRenamed("node", "cid")
     leader = led.groupBy(F.col("b").alias("cid")).agg(
-        F.min(F.struct(F.col("a").alias("leader"), "n_a", "overlap")).alias("l")
+        F.min(F.struct(F.col("a").alias("leader"), F.col("n_a").alias("n_leader"), "overlap")).alias("l")
     )
-    with_known = (
-        classes.drop("leads")
-        .join(known.withColumnRenamed("node", "cid"), "cid", "left")
-        .join(leader, "cid", "left")
-        .select(
-            *classes.drop("leads").columns,
-            F.coalesce("component", "cid").alias("component"),
-            F.coalesce("l.leader", F.lit(-1)).alias("leader"),
-            F.coalesce("l.n_a", F.lit(0)).alias("n_leader"),
-            F.coalesce("l.overlap", F.lit(0)).alias("overlap"),
-        )
+    grouped = full.join(component, "cid", "left").select(
+        "cid", "n_shingles", "prefix", F.coalesce("component", "cid").alias("component")
     )
-    found = materialize(_candidates(materialize(with_known, "known"), percent), "candidates")
-    # Pairs of a leader were verified above.
-    open_pairs = found.where("not derived").join(led.select("a", "b"), ["a", "b"], "left_anti")
-    more = verified(
-        materialize(open_pairs, "open-pairs"), classes, docs, n, percent, frequent
-    ).where("linked")
-    links = first_links.unionByName(found.where("derived").select("a", "b")).unionByName(
-        more.select("a", "b")
+    pairs = materialize(_candidates(grouped, percent), "pairs")
+    known = classes.join(leader, "cid", "left").select("cid", F.col("n_shingles").alias("n"), "l.*")
+    # Pairs of a leader are verified already.
+    found = _judged(pairs, known, percent).join(led.select("a", "b"), ["a", "b"], "left_anti")
+    found = materialize(found, "candidates")
+    more = verified(found.where("not derived"), classes, docs, n, percent, frequent)
+    every = first_links.unionByName(found.where("derived").select("a", "b")).unionByName(
+        more.where("linked").select("a", "b")
     )
+    return materialize(every, "links")
+
+
+def _labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(doc_id, row_key, n_shingles, component, component_id); ``component`` is a
+    number of its own, null for an empty set."""
+    spark = docs.sparkSession
+    docs = docs.select("doc_id", "text")
+    frequent = spark.sparkContext.broadcast(Lookup(frequent_grams(docs, n)))
+    key = ["s1", "s2", "n_shingles"]
+    with scratch_scope(spark, "set-join") as temp:
+        described = materialize(describe_sets(docs, n, percent, frequent), "described", folder=temp)
+        rows = materialize(described.select("doc_id", "row_key", *key), "rows")
+        # Rows of a class have the same lists: any of them will do.
+        grouped = (
+            described.where("n_shingles > 0")
+            .groupBy(*key)
+            .agg(
+                F.min("doc_id").alias("doc_id"),
+                F.count("*").alias("rows"),
+                F.first("prefix").alias("prefix"),
+                F.first("leads").alias("leads"),
+            )
+            .withColumn("cid", F.monotonically_increasing_id())
+        )
+        full = materialize(grouped, "full", folder=temp)
+        classes = materialize(full.drop("prefix", "leads"), "classes")
+        links = _links(full, classes, docs, n, percent, frequent)
     linked = components(links)
 
     labelled = classes.select(*key, "cid", "rows", "doc_id").join(
