@@ -242,9 +242,9 @@ def train(
 
     # Rows that repeat an id are in the sample as often; it is cut again below.
     sample = rows.mapInArrow(indicate, "doc_id bigint, quality int, own binary")
-    sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("own")).limit(most).toPandas()
-    indicators = [np.frombuffer(x, np.int32) for x in sample["own"]]
-    return fit(indicators, (sample["quality"].to_numpy(np.int64) > 0).astype(np.int64))
+    sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("own")).limit(most).toArrow()
+    indicators = [np.frombuffer(x.as_buffer(), np.int32) for x in sample["own"]]
+    return fit(indicators, (sample["quality"].to_numpy() > 0).astype(np.int64))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
