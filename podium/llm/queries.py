@@ -13,6 +13,7 @@ from podium.llm.exact_dedup import exact_dedup
 from podium.llm.line_dedup import MIN_WORDS, dedup_lines
 from podium.llm.nbsvm import classify
 from podium.llm.packing import pack_documents
+from podium.llm.pseudonyms import pseudonymise
 from podium.llm.set_join import set_components
 from podium.llm.tables import SCHEMAS, table
 from podium.llm.token_files import token_files
@@ -124,6 +125,12 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@_query("op7_pseudonyms")
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(documents, key="key of the registered query")
+
+
 @_query("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(
