@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from podium.llm.brown import score_documents
 from podium.llm.decontaminate import contaminated
 from podium.llm.exact_dedup import exact_dedup
+from podium.llm.licenses import scan_licences
 from podium.llm.line_dedup import MIN_WORDS, dedup_lines
 from podium.llm.nbsvm import classify
 from podium.llm.packing import pack_documents
@@ -131,6 +133,19 @@ def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(documents, key="key of the registered query")
 
 
+@_query("op8_licence_scan")
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The table has no paths: a document's source and number stand for them.
+    path = F.format_string(
+        "%s/%d/%d/%d",
+        F.coalesce("source", F.lit("none")),
+        F.floor(F.col("doc_id") / 1000),
+        F.floor(F.pmod("doc_id", F.lit(1000)) / 50),
+        F.col("doc_id"),
+    )
+    return scan_licences(table(spark, sf_dir, "documents").withColumn("path", path))
+
+
 @_query("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(
