@@ -28,6 +28,11 @@ _FIRST_DAY, _DAYS = "1800-01-01", (189, 773)
 _SOCIAL = (898 * 99, 9999)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _rounds(left: Column, right: Column, step: Callable, invert: bool) -> Column:
     """Run the network: each round adds noise from one half to the other and swaps them."""
     order = F.sequence(F.lit(0), F.lit(ROUNDS - 1))
@@ -55,26 +60,27 @@ def feistel_text(text: Column, alphabet: str, key: str, tag: str, invert: bool =
         seed = F.concat(
             F.lit(f"{key}|{tag}|{base}|"), F.length(text), F.lit("|"), number, F.lit("|"), other
         )
-        # 64 bytes of noise, of which a half takes at most 60.
-        noise = F.sha2(seed, 512)
 
-        def shifted(i: Column) -> Column:
+        def shifted(noise: Column, i: Column) -> Column:
             byte = F.conv(F.substr(noise, 2 * i - 1, F.lit(2)), 16, 10).cast("int")
             at = F.position(F.substr(target, i, F.lit(1)), letters) - 1
             place = F.pmod(at - byte if invert else at + byte, F.lit(base))
             return F.substr(letters, place + 1, F.lit(1))
 
         numbers = F.sequence(F.lit(1), F.greatest(F.length(target), F.lit(1)))
-        return F.when(
-            F.length(target) > 0, F.array_join(F.transform(numbers, shifted), "")
-        ).otherwise(target)
+        # 64 bytes of noise, of which a half takes at most 60.
+        new = _let(
+            F.sha2(seed, 512),
+            lambda noise: F.array_join(F.transform(numbers, lambda i: shifted(noise, i)), ""),
+        )
+        return F.when(F.length(target) > 0, new).otherwise(target)
 
     half = F.floor(F.length(text) / 2).cast("int")
     ends = _rounds(
         F.substr(text, F.lit(1), half), F.substr(text, half + 1, F.length(text)), step, invert
     )
     short = F.length(text).between(1, 120)
-    return F.when(short, F.concat(ends["l"], ends["r"])).otherwise(text)
+    return F.when(short, _let(ends, lambda e: F.concat(e["l"], e["r"]))).otherwise(text)
 
 
 def feistel_number(
@@ -91,23 +97,26 @@ def feistel_number(
 
     number = number.cast("bigint")
     ends = _rounds(F.floor(number / b).cast("bigint"), F.pmod(number, F.lit(b)), step, invert)
-    return ends["l"] * b + ends["r"]
+    return _let(ends, lambda e: e["l"] * b + e["r"])
 
 
 def _filled(shape: Column, characters: str, values: Column) -> Column:
     """``shape`` with its characters of the class ``characters`` replaced, in order, by ``values``."""
 
-    def fill(state: Column, c: Column) -> Column:
+    def fill(new: Column, state: Column, c: Column) -> Column:
         takes = c.rlike(f"[{characters}]")
         return F.struct(
             F.concat(
-                state["out"], F.when(takes, F.substr(values, state["i"], F.lit(1))).otherwise(c)
+                state["out"], F.when(takes, F.substr(new, state["i"], F.lit(1))).otherwise(c)
             ).alias("out"),
             (state["i"] + takes.cast("int")).alias("i"),
         )
 
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("i"))
-    return F.aggregate(F.split(shape, ""), start, fill)["out"]
+    return _let(
+        values,
+        lambda new: F.aggregate(F.split(shape, ""), start, lambda state, c: fill(new, state, c))["out"],
+    )
 
 
 def _digits(value: Column) -> Column:
@@ -128,7 +137,7 @@ def _card(value: Column, key: str, invert: bool) -> Column:
     digits = _digits(value)
     payload = F.substr(digits, F.lit(1), F.length(digits) - 1)
     new = feistel_text(payload, _DIGITS, key, "card", invert)
-    made = _filled(value, "0-9", F.concat(new, _luhn_digit(new)))
+    made = _filled(value, "0-9", _let(new, lambda digits: F.concat(digits, _luhn_digit(digits))))
     return F.when(F.call_function("luhn_check", digits), made)
 
 
@@ -144,9 +153,9 @@ def _address(value: Column, key: str, invert: bool) -> Column:
     octets = F.split(value, r"\.")
     pairs = F.transform(octets, lambda o: F.lpad(F.lower(F.conv(o, 10, 16)), 2, "0"))
     new = feistel_text(F.array_join(pairs, ""), _HEX, key, "address", invert)
-    parts = F.transform(
-        F.sequence(F.lit(1), F.lit(7), F.lit(2)),
-        lambda i: F.conv(F.substr(new, i, F.lit(2)), 16, 10),
+    places = F.sequence(F.lit(1), F.lit(7), F.lit(2))
+    parts = _let(
+        new, lambda h: F.transform(places, lambda i: F.conv(F.substr(h, i, F.lit(2)), 16, 10))
     )
     return F.when(F.forall(octets, lambda o: o.cast("int") <= 255), F.array_join(parts, "."))
 
@@ -156,15 +165,17 @@ def _social(value: Column, key: str, invert: bool) -> Column:
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     place = area - F.when(area > 666, 2).otherwise(1)
     number = (place * 99 + group - 1).cast("bigint") * 9999 + serial - 1
-    new = feistel_number(number, _SOCIAL, key, "social", invert)
-    first = F.floor(new / (99 * 9999))
-    made = F.format_string(
-        "%03d-%02d-%04d",
-        (first + F.when(first >= 665, 2).otherwise(1)).cast("int"),
-        (F.pmod(F.floor(new / 9999), F.lit(99)) + 1).cast("int"),
-        (F.pmod(new, F.lit(9999)) + 1).cast("int"),
-    )
-    return F.when(valid, made)
+
+    def written(new: Column) -> Column:
+        first = F.floor(new / (99 * 9999))
+        return F.format_string(
+            "%03d-%02d-%04d",
+            (first + F.when(first >= 665, 2).otherwise(1)).cast("int"),
+            (F.pmod(F.floor(new / 9999), F.lit(99)) + 1).cast("int"),
+            (F.pmod(new, F.lit(9999)) + 1).cast("int"),
+        )
+
+    return F.when(valid, _let(feistel_number(number, _SOCIAL, key, "social", invert), written))
 
 
 def _date(form: str) -> Callable[[Column, str, bool], Column]:
@@ -198,7 +209,7 @@ class Kind:
 
 # In order of precedence where several match at one place.
 KINDS = (
-    Kind(r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", _mail),
+    Kind(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", _mail),
     Kind(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])", _address),
     Kind(r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?!-?[0-9])", _date("yyyy-MM-dd")),
     Kind(r"(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?!\.?[0-9])", _date("dd.MM.yyyy")),
@@ -210,7 +221,12 @@ KINDS = (
         r"(?<![0-9A-Za-z])(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{16,120}(?![0-9A-Za-z])", _secret
     ),
 )
-_ANY = "|".join(f"(?:{kind.pattern})" for kind in KINDS)
+# Only mail addresses and secrets begin with a letter; the looks ahead pass over most others.
+_ANY = (
+    f"(?:{KINDS[0].pattern})|(?=[0-9+])(?:"
+    + "|".join(f"(?:{kind.pattern})" for kind in KINDS[1:-1])
+    + f")|(?=[0-9a-f])(?:{KINDS[-1].pattern})"
+)
 
 
 def _pseudonym(value: Column, key: str, invert: bool) -> Column:
@@ -237,18 +253,31 @@ def pseudonymise(docs: DataFrame, key: str, *, invert: bool = False) -> DataFram
     columns = [c for c in docs.columns if c != "n_found"]
     may_hold = F.coalesce(F.col("text").rlike("[0-9]|@"), F.lit(False))
     found = F.when(may_hold, F.regexp_extract_all("text", F.lit(_ANY), F.lit(0)))
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns], found.alias("_found"))
-    made = F.transform("_found", lambda v: F.struct(v.alias("v"), _pseudonym(v, key, invert).alias("p")))
-    rows = rows.withColumn("_made", F.when(F.size("_found") > 0, made))
-    gaps = F.split("text", _ANY, -1)
-    joined = F.zip_with(
-        gaps,
-        "_made",
-        lambda gap, m: F.concat(gap, F.coalesce(m["p"], m["v"], F.lit(""))),
+
+    def replaced(made: Column) -> Column:
+        gaps = F.split("text", _ANY, -1)
+        joined = F.zip_with(
+            gaps, made, lambda gap, m: F.concat(gap, F.coalesce(m["p"], m["v"], F.lit("")))
+        )
+        n_found = F.size(F.filter(made, lambda m: m["p"].isNotNull()))
+        any_ = F.coalesce(F.size(made) > 0, F.lit(False))
+        return F.struct(
+            F.when(any_, F.array_join(joined, "")).otherwise(F.col("text")).alias("_text"),
+            F.when(any_, n_found).otherwise(F.lit(0)).cast("bigint").alias("_n_found"),
+        )
+
+    # Lambdas over arrays of one element name what is used more than once, so
+    # that each value is searched for, and permuted, once.
+    pairs = F.transform(
+        F.array(found),
+        lambda values: F.transform(
+            values, lambda v: F.struct(v.alias("v"), _pseudonym(v, key, invert).alias("p"))
+        ),
+    )
+    rows = docs.select(
+        *[F.col(f"`{c}`") for c in columns], F.inline(F.transform(pairs, replaced))
     )
-    text = F.when(F.col("_made").isNull(), F.col("text")).otherwise(F.array_join(joined, ""))
-    n_found = F.coalesce(F.size(F.filter("_made", lambda m: m["p"].isNotNull())), F.lit(0))
     return rows.select(
-        *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in columns],
-        F.greatest(n_found, F.lit(0)).cast("bigint").alias("n_found"),
+        *[F.col("_text").alias("text") if c == "text" else F.col(f"`{c}`") for c in columns],
+        F.col("_n_found").alias("n_found"),
     )
