@@ -39,8 +39,8 @@ CELL = 4096
 _LEADERS = 3
 
 _SET = (
-    "doc_id bigint, row_key bigint, n_shingles int, s1 bigint, s2 bigint, prefix array<bigint>,"
-    " leads array<bigint>"
+    "doc_id bigint, row_key bigint, n_shingles int, s1 bigint, s2 bigint, n_rare int,"
+    " prefix array<bigint>, leads array<bigint>"
 )
 
 
@@ -121,7 +121,7 @@ def describe_sets(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: tuple[list, ...] = ([], [], [], [], [], [], [])
+            columns: tuple[list, ...] = ([], [], [], [], [], [], [], [])
             row_keys = batch.column(batch.schema.get_field_index("row_key")).to_pylist()
             for row_key, (doc_id, keys) in zip(row_keys, _sets(batch, n, frequent.value)):
                 size = len(keys)
@@ -131,14 +131,16 @@ def describe_sets(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
                     int(mix(keys ^ np.uint64(7_919 * (k + 1))).min().view(np.int64))
                     for k in range(_LEADERS if size else 0)
                 ]
-                row = (doc_id, row_key, size, *_signature(keys), prefix.view(np.int64), leads)
+                n_rare = int(np.searchsorted(keys, np.uint64(1 << 63)))
+                row = (doc_id, row_key, size, *_signature(keys), n_rare, prefix.view(np.int64), leads)
                 for column, value in zip(columns, row):
                     column.append(value)
             lists = pa.list_(pa.int64())
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), lists, lists]
+            i32, i64 = pa.int32(), pa.int64()
+            types = [i64, i64, i32, i64, i64, i32, lists, lists]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types)],
-                names=["doc_id", "row_key", "n_shingles", "s1", "s2", "prefix", "leads"],
+                names=["doc_id", "row_key", "n_shingles", "s1", "s2", "n_rare", "prefix", "leads"],
             )
 
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
@@ -308,20 +310,49 @@ def _judged(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     return rows.where(~same | (most >= need)).select("a", "b", (same & (least >= need)).alias("derived"))
 
 
+def _prefix_checked(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The pairs that may be linked, judged by all of their prefixes.
+
+    Up to the smaller of the two prefixes' last n-grams both sets are known, so
+    what they share there is counted; of the rest they share at most all that
+    the smaller rest has. Prefixes are a tenth of the sets, or less.
+    """
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n, m, x, y = (batch.column(i) for i in range(6))
+            n, m = n.to_numpy().astype(np.int64), m.to_numpy().astype(np.int64)
+            need, keep = needed(n, m, percent), np.zeros(batch.num_rows, bool)
+            for i in range(batch.num_rows):
+                p = x[i].values.to_numpy().view(np.uint64)
+                q = y[i].values.to_numpy().view(np.uint64)
+                last = min(p[-1], q[-1])
+                p, q = p[: np.searchsorted(p, last, "right")], q[: np.searchsorted(q, last, "right")]
+                shared = len(np.intersect1d(p, q, assume_unique=True))
+                keep[i] = shared + min(n[i] - len(p), m[i] - len(q)) >= need[i]
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep))
+
+    left = full.select(F.col("cid").alias("a"), F.col("n_shingles").alias("n"), F.col("prefix").alias("x"))
+    right = full.select(F.col("cid").alias("b"), F.col("n_shingles").alias("m"), F.col("prefix").alias("y"))
+    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y")
+    return joined.mapInArrow(check, "a bigint, b bigint")
+
+
 def _links(
     full: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, frequent
 ) -> DataFrame:
     """(a, b): links that connect all classes which any links connect; a written table."""
-    # Leaders: the first class with the same minimum hash, for two hashes or more.
-    leads = full.select("cid", "n_shingles", F.explode("leads").alias("lead"))
-    least = leads.groupBy("lead").agg(
-        F.min(F.struct("cid", "n_shingles")).alias("l"), F.count("*").alias("entries")
+    # Leaders: of the classes with the same minimum hash, for two hashes or more,
+    # the one with the fewest n-grams that others lack, as the original of a group has.
+    leads = full.select("cid", "n_shingles", "n_rare", F.explode("leads").alias("lead"))
+    central = leads.groupBy("lead").agg(
+        F.min(F.struct("n_rare", "cid", "n_shingles")).alias("l"), F.count("*").alias("entries")
     )
-    stars = join_groups(leads, materialize(least, "leads"), ["lead"], "entries")
+    stars = join_groups(leads, materialize(central, "leads"), ["lead"], "entries")
     near = F.least("n_shingles", "l.n_shingles") * 100 >= F.greatest("n_shingles", "l.n_shingles") * percent
-    stars = stars.where((F.col("l.cid") < F.col("cid")) & near)
+    stars = stars.where((F.col("l.cid") != F.col("cid")) & near)
     stars = stars.groupBy(F.col("l.cid").alias("a"), F.col("cid").alias("b")).count()
-    stars = materialize(stars.where("count > 1").select("a", "b"), "stars")
+    stars = materialize(_prefix_checked(stars.where("count > 1"), full, percent), "stars")
     led = materialize(verified(stars, classes, docs, n, percent, frequent), "led")
     first_links = led.where("linked").select("a", "b")
 
@@ -335,9 +366,11 @@ def _links(
     pairs = materialize(_candidates(grouped, percent), "pairs")
     known = classes.join(leader, "cid", "left").select("cid", F.col("n_shingles").alias("n"), "l.*")
     # Pairs of a leader are verified already.
-    found = _judged(pairs, known, percent).join(led.select("a", "b"), ["a", "b"], "left_anti")
+    done = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    found = _judged(pairs, known, percent).join(done, ["a", "b"], "left_anti")
     found = materialize(found, "candidates")
-    more = verified(found.where("not derived"), classes, docs, n, percent, frequent)
+    open_pairs = materialize(_prefix_checked(found.where("not derived"), full, percent), "open-pairs")
+    more = verified(open_pairs, classes, docs, n, percent, frequent)
     every = first_links.unionByName(found.where("derived").select("a", "b")).unionByName(
         more.where("linked").select("a", "b")
     )
@@ -361,13 +394,14 @@ def _labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
             .agg(
                 F.min("doc_id").alias("doc_id"),
                 F.count("*").alias("rows"),
+                F.first("n_rare").alias("n_rare"),
                 F.first("prefix").alias("prefix"),
                 F.first("leads").alias("leads"),
             )
             .withColumn("cid", F.monotonically_increasing_id())
         )
         full = materialize(grouped, "full", folder=temp)
-        classes = materialize(full.drop("prefix", "leads"), "classes")
+        classes = materialize(full.drop("n_rare", "prefix", "leads"), "classes")
         links = _links(full, classes, docs, n, percent, frequent)
     linked = components(links)
 
