@@ -11,6 +11,7 @@ from podium.operators.aggregate import (
 from podium.operators.columns import (
     add_literal,
     align_and_union,
+    free_name,
     normalize_columns,
     project,
     rename,
@@ -41,6 +42,7 @@ __all__ = [
     "filtered_top1",
     "first_place_counts",
     "first_value",
+    "free_name",
     "group_avg",
     "group_count",
     "group_first",

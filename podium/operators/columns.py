@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,3 +58,11 @@ def align_and_union(
     left = project(rename(snapshot, snapshot_names or {}), *columns)
     right = project(rename(history, history_names or {}), *columns)
     return left.unionByName(right)
+
+
+def free_name(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores put behind it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
