@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from podium.llm.tables import map_batches
 from podium.llm.words import Lookup, chunks, hash_words, lower_bytes, mix, text_bytes, words_of
 
 # Share of an item's words that may be edited: a similarity of 0.8 or more.
@@ -288,7 +289,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     Block by block, in the pass that searches: no join, and no key that a row
     would need. Definitions are those of ``contaminated``.
     """
-    spark, names = docs.sparkSession, docs.columns
+    spark = docs.sparkSession
     for block in _blocks(items):
         index = spark.sparkContext.broadcast(Index.of(block))
 
@@ -298,7 +299,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
                     words, first = words_in(part.column(part.schema.get_field_index("text")))
                     keep = np.ones(part.num_rows, bool)
                     keep[[text for text, _ in index.value.hits(words, first)]] = False
-                    yield part.filter(pa.array(keep)).rename_columns(names)
+                    yield part.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = map_batches(docs, clean)
     return docs

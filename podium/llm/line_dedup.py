@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from podium.llm.skew import join_groups
+from podium.operators import free_name
 from podium.sources import materialize
 
 MIN_WORDS = 16
@@ -200,26 +201,28 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .groupBy("doc")
         .agg(F.collect_set("at").alias("gone"))
     )
-    gone = materialize(gone.select(F.col("doc").alias("_doc"), F.col("gone").alias("_gone")), "gone")
+    doc, lines_gone, n = (free_name(docs.columns, c) for c in ("_doc", "_gone", "_n"))
+    gone = materialize(gone.select(F.col("doc").alias(doc), F.col("gone").alias(lines_gone)), "gone")
     rows = docs.select(
         *[F.col(f"`{c}`") for c in columns],
-        _doc_key().alias("_doc"),
-        F.size(_text_lines()).alias("_n"),
+        _doc_key().alias(doc),
+        F.size(_text_lines()).alias(n),
     )
     # The hash table holds the deletions; texts are exchanged, not sorted.
-    rows = rows.join(gone.hint("shuffle_hash"), "_doc", "left")
-    numbers = F.array_except(F.sequence(F.lit(0), F.col("_n") - 1), F.col("_gone"))
+    rows = rows.join(gone.hint("shuffle_hash"), doc, "left")
+    numbers = F.array_except(F.sequence(F.lit(0), F.col(n) - 1), F.col(lines_gone))
     left = F.transform(numbers, lambda i: F.get(_text_lines(), i))
     words = F.exists(left, lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     cleaned = (
-        F.when(F.col("_gone").isNull(), F.col("text"))
+        F.when(F.col(lines_gone).isNull(), F.col("text"))
         .when(words, F.array_join(left, "\n"))
         .otherwise(F.lit(""))
     )
+    n_removed = F.when(F.col(lines_gone).isNull(), F.lit(0)).otherwise(F.size(lines_gone))
     return rows.select(
         *[cleaned.alias("text") if c == "text" else F.col(f"`{c}`") for c in columns],
-        F.col("_n").cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_removed"),
+        F.col(n).cast("bigint").alias("n_lines"),
+        n_removed.cast("bigint").alias("n_removed"),
     )
 
 
@@ -229,9 +232,14 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     A document that loses all its lines is left out; one that had no words
     stays. ``n_chars``, where there is such a column, is that of the new text.
     """
-    cleaned = dedup_lines(docs, min_words)
-    kept = cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    if "n_chars" in docs.columns:
-        changed = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    columns, removed = docs.columns, free_name(docs.columns, "_removed")
+    own = [c for c in columns if c in ("n_lines", "n_removed")]
+    held = {c: free_name(columns, f"_own_{c}") for c in own}
+    cleaned = dedup_lines(docs.withColumnsRenamed(held), min_words)
+    cleaned = cleaned.withColumnRenamed("n_removed", removed).drop("n_lines")
+    cleaned = cleaned.withColumnsRenamed({new: c for c, new in held.items()})
+    kept = cleaned.where((F.col(removed) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    if "n_chars" in columns:
+        changed = F.when(F.col(removed) > 0, F.length("text")).otherwise(F.col("n_chars"))
         kept = kept.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return kept.select([F.col(f"`{c}`") for c in docs.columns])
+    return kept.select([F.col(f"`{c}`") for c in columns])

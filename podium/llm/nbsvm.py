@@ -20,7 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from podium.llm.tables import map_batches
 from podium.llm.words import chunks, hash_words, mix, text_bytes, words_of
+from podium.operators import free_name
 
 # Labelled documents that a model is fitted on at most; about 4 KB each on the driver.
 MAX_FIT_DOCUMENTS = 8_000
@@ -253,10 +255,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Only ``text`` is an input of the score; a null text scores as an empty one,
     by the bias alone. One pass, no exchange.
     """
+    return _scored(docs.drop("score"), model, "score")
+
+
+def _scored(docs: DataFrame, model: Model, name: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    columns = [c for c in docs.columns if c != "score"]
-    rows = docs.select([F.col(f"`{c}`") for c in columns])
-    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, stamp = shared.value, np.zeros(FEATURES, np.int32)
@@ -264,9 +267,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for part in chunks(batch):
                 texts = part.column(part.schema.get_field_index("text"))
                 values = pa.array(own.scores(own.margins(texts, stamp)))
-                yield pa.RecordBatch.from_arrays([*part.columns, values], names=[*columns, "score"])
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, values], names=[*part.schema.names, name]
+                )
 
-    return rows.mapInArrow(add, schema)
+    return map_batches(docs, add, [T.StructField(name, T.DoubleType())])
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -286,6 +291,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, on: DataFrame | None = None) -
     The model is fitted on ``on`` (default ``docs``).
     """
     model = train(docs if on is None else on, labels)
-    marked = score(docs.withColumnRenamed("score", "_score") if "score" in docs.columns else docs, model)
-    good = marked.where(F.col("score") >= THRESHOLD).drop("score")
-    return good.withColumnRenamed("_score", "score") if "score" in docs.columns else good
+    name = free_name(docs.columns, "_score")
+    return _scored(docs, model, name).where(F.col(name) >= THRESHOLD).drop(name)

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from podium.operators import free_name
+
 ROUNDS = 8  # even, so that the halves end where they began
 _DIGITS = "0123456789"
 _HEX = "0123456789abcdef"
@@ -251,6 +253,7 @@ def pseudonymise(docs: DataFrame, key: str, *, invert: bool = False) -> DataFram
     pass, no exchange; each row is treated alone, so repeats do not matter.
     """
     columns = [c for c in docs.columns if c != "n_found"]
+    new_text, new_count = (free_name(docs.columns, c) for c in ("_text", "_n_found"))
     may_hold = F.coalesce(F.col("text").rlike("[0-9]|@"), F.lit(False))
     found = F.when(may_hold, F.regexp_extract_all("text", F.lit(_ANY), F.lit(0)))
 
@@ -262,8 +265,8 @@ def pseudonymise(docs: DataFrame, key: str, *, invert: bool = False) -> DataFram
         n_found = F.size(F.filter(made, lambda m: m["p"].isNotNull()))
         any_ = F.coalesce(F.size(made) > 0, F.lit(False))
         return F.struct(
-            F.when(any_, F.array_join(joined, "")).otherwise(F.col("text")).alias("_text"),
-            F.when(any_, n_found).otherwise(F.lit(0)).cast("bigint").alias("_n_found"),
+            F.when(any_, F.array_join(joined, "")).otherwise(F.col("text")).alias(new_text),
+            F.when(any_, n_found).otherwise(F.lit(0)).cast("bigint").alias(new_count),
         )
 
     # Lambdas over arrays of one element name what is used more than once, so
@@ -278,6 +281,6 @@ def pseudonymise(docs: DataFrame, key: str, *, invert: bool = False) -> DataFram
         *[F.col(f"`{c}`") for c in columns], F.inline(F.transform(pairs, replaced))
     )
     return rows.select(
-        *[F.col("_text").alias("text") if c == "text" else F.col(f"`{c}`") for c in columns],
-        F.col("_n_found").alias("n_found"),
+        *[F.col(new_text).alias("text") if c == "text" else F.col(f"`{c}`") for c in columns],
+        F.col(new_count).alias("n_found"),
     )

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from podium.llm.components import components
 from podium.llm.skew import join_groups
 from podium.llm.words import Lookup, chunks, mix, ngram_hashes, word_hashes
+from podium.operators import free_name
 from podium.sources import materialize, scratch_scope
 
 # N-grams that one task counts at a time; those it meets at least ``_REPEATS``
@@ -451,14 +452,15 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     labelled = materialize(_labelled_rows(docs, n, percent), "labelled-rows")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
     first = labelled.where("component is not null").groupBy("component").agg(F.min(order).alias("f"))
-    first = first.select(F.col("f.doc_id").alias("_id"), F.col("f.row_key").alias("_key"))
+    own_id, own_key, row_key = (free_name(docs.columns, c) for c in ("_id", "_key", "_row_key"))
+    first = first.select(F.col("f.doc_id").alias(own_id), F.col("f.row_key").alias(own_key))
     first = materialize(first, "firsts").hint("shuffle_hash")
-    keyed = docs.withColumn("_row_key", F.xxhash64("doc_id", "text"))
-    same = (F.col("_row_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    keyed = docs.withColumn(row_key, F.xxhash64("doc_id", "text"))
+    same = (F.col(row_key) == F.col(own_key)) & F.col("doc_id").eqNullSafe(F.col(own_id))
     has_word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     kept = keyed.where(has_word).join(first, same, "left_semi")
     repeated = labelled.where("component is not null").groupBy("doc_id", "row_key").count()
     if not repeated.where("count > 1").isEmpty():
         # Rows that repeat an id and its text: one row for each key, any of them.
-        kept = kept.dropDuplicates(["_row_key"])
-    return kept.drop("_row_key").unionByName(docs.where(~has_word))
+        kept = kept.dropDuplicates([row_key])
+    return kept.drop(row_key).unionByName(docs.where(~has_word))
