@@ -6,12 +6,13 @@ shuffle, so a hot group costs one row per task, not its row count.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podium.functions.ordering import best_first_key
+from podium.sources.scratch import materialize
 
 
 def _rounded(value: Column, digits: int | None) -> Column:
@@ -36,19 +37,40 @@ def group_avg(
 
 
 def group_first(
-    df: DataFrame, key: str, value: str, order: Sequence[str], name: str, *, prune: bool = True
+    df: DataFrame,
+    key: str,
+    value: str,
+    order: Sequence[str],
+    name: str,
+    *,
+    prune: bool = True,
+    also: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """``value`` of the first row of each group under ``order`` (ascending, NULL first).
 
     The order is part of the aggregate, so the result does not depend on how
-    the rows arrive. ``prune`` is that of ``argmax_per_group``.
+    the rows arrive. ``prune`` is that of ``argmax_per_group``. ``also`` names
+    further aggregates over all rows of each group; with ``prune`` the pass
+    that finds the groups' first values computes them too.
     """
-    lead = F.col(order[0])
-    if prune:
-        latest = df.groupBy(key).agg(F.min(lead).alias("_first")).agg(F.max("_first")).scalar()
-        df = df.where((lead <= latest) | lead.isNull())
-    first = F.min(F.struct(*order, F.col(value).alias("_value")))
-    return df.groupBy(key).agg(first.alias("_best")).select(key, F.col("_best._value").alias(name))
+    lead, extra = F.col(order[0]), dict(also or {})
+    added = [column.alias(n) for n, column in extra.items()]
+    rows = df.select(F.col(key).alias("k"), F.struct(*order, F.col(value).alias("value")).alias("r"))
+    if not prune:
+        best = df.groupBy(key).agg(
+            F.min(F.struct(*order, F.col(value).alias("value"))).alias("_best"), *added
+        )
+        return best.select(key, F.col("_best.value").alias(name), *extra)
+    first = F.when(F.max(lead.isNull()), None).otherwise(F.min(lead))
+    starts = materialize(df.groupBy(F.col(key).alias("s")).agg(first.alias("lead"), *added), "starts", true_size=True)
+    rows = rows.join(
+        starts.select("s", "lead"),
+        F.col("k").eqNullSafe(F.col("s")) & F.col(f"r.{order[0]}").eqNullSafe(F.col("lead")),
+        "left_semi",
+    )
+    best = rows.groupBy("k").agg(F.min("r").alias("best"))
+    found = best.join(starts, F.col("k").eqNullSafe(F.col("s"))) if extra else best
+    return found.select(F.col("k").alias(key), F.col("best.value").alias(name), *extra)
 
 
 def argmax_per_group(
@@ -59,16 +81,22 @@ def argmax_per_group(
     Entity and measure come from the same row. Ties go to the lowest entity; a
     group whose measures are all NULL still names its lowest entity.
 
-    The best row is a minimum over structs, which Spark aggregates by sorting.
-    So a hash aggregate first finds every group's maximum, and rows below the
-    lowest of them, which cannot win anywhere, are dropped before that sort.
-    ``prune=False`` skips this and reads ``df`` once, for costly inputs.
+    A first hash aggregate finds every group's maximum; only rows that reach
+    their own group's maximum go on to the second, which takes the lowest
+    entity. ``prune=False`` reads ``df`` once instead, with a minimum over
+    structs, which Spark aggregates by sorting: for costly or small inputs.
     """
     keys = [k.alias(f"_{i}") for i, k in enumerate(best_first_key(df, measure))]
     if prune:
-        m = F.col(measure)
-        lowest = df.groupBy(group).agg(F.max(m).alias("_max")).agg(F.min("_max")).scalar()
-        df = df.where((m >= lowest) | m.isNull())
+        rows = df.select(F.col(group).alias("g"), F.col(entity).alias("e"), F.col(measure).alias("m"))
+        best = rows.groupBy(F.col("g").alias("bg")).agg(F.max("m").alias("best"))
+        best = materialize(best, "group-maxima", true_size=True)
+        reached = F.col("g").eqNullSafe(F.col("bg")) & F.col("m").eqNullSafe(F.col("best"))
+        # The maximum of a group is one value: the join brings it along.
+        firsts = rows.join(best, reached, "left_semi").groupBy("g", "m").agg(F.min("e").alias("e"))
+        return firsts.select(
+            F.col("g").alias(group), F.col("e").alias(entity), F.col("m").alias(measure)
+        )
     best = F.min(F.struct(*keys, F.col(entity).alias("_e"), F.col(measure).alias("_m")))
     return (
         df.groupBy(group)

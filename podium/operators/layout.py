@@ -8,33 +8,50 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Fixed value: the analysis sizes its partitions by this many rows.
 ROWS_PER_PARTITION = 100_000
-# A driver tracks every task of a stage; past this many, partitions grow in
-# rows instead of in number.
-MAX_PARTITIONS = 100_000
 
 
 def target_partitions(n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
-    """ceil(rows / rows per partition), at least 1 and at most ``MAX_PARTITIONS``."""
-    return min(max(1, math.ceil(n_rows / rows_per_partition)), MAX_PARTITIONS)
+    """ceil(rows / rows per partition), at least 1."""
+    return max(1, math.ceil(n_rows / rows_per_partition))
+
+
+def _sizes(df: DataFrame) -> tuple[int, int, int]:
+    """Rows, partitions with rows, and rows of the largest one, by one aggregate."""
+    per_partition = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
+    row = per_partition.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.max("n"), F.lit(0)))
+    return tuple(row.head())
 
 
 def partition_count(df: DataFrame) -> int:
-    return df.rdd.getNumPartitions()
+    """Partitions that have rows. An action: it computes ``df``."""
+    return _sizes(df)[1]
 
 
 def repartition_by_rows(
-    df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION, n_rows: int | None = None
+    df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION
 ) -> DataFrame:
-    """Spread ``df`` over partitions of about ``rows_per_partition`` rows.
+    """Spread ``df`` over ceil(rows / ``rows_per_partition``) partitions of at most so many
+    rows, and one more for each partition that it comes from.
 
-    More partitions than now need a shuffle; fewer are merged without one. The
-    row count is a job of its own, so pass ``n_rows`` when it is known.
+    Partitions are merged without a shuffle only where even the largest ones
+    together keep the bound; else the rows are dealt out one by one. One
+    aggregate measures ``df``, which is then computed again: write a costly one
+    first (``materialize``).
     """
-    target = target_partitions(df.count() if n_rows is None else n_rows, rows_per_partition)
-    return df.repartition(target) if target > partition_count(df) else df.coalesce(target)
+    n_rows, n_partitions, largest = _sizes(df)
+    target = target_partitions(n_rows, rows_per_partition)
+    # An input partition without rows may still be merged with others, so the
+    # number of partitions that a merged one is made of is not known: only a
+    # merge of all into one is sure of its size.
+    if target == 1 and n_rows <= rows_per_partition:
+        return df.coalesce(1)
+    if target == n_partitions and largest <= rows_per_partition:
+        return df
+    return df.repartition(target)
 
 
 @contextmanager

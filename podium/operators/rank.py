@@ -8,21 +8,22 @@ exact result (``rank``: ties share a rank, gaps follow, NULL last) without it.
 from __future__ import annotations
 
 import math
-import sys
-from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from podium.operators.columns import free_name
 from podium.operators.topk import sort_desc, top1
 from podium.sources.scratch import materialize
 
-# The most split points, which the driver holds and every task receives.
-MAX_SPLITS = 20_000
-_SAMPLE_PER_SPLIT = 100
+# A value that this share of all rows has is joined by broadcast: at most as many exist.
+_SHARE = 1000
+
+
+def _quoted(column: str) -> str:
+    return f"`{column}`"
 
 
 def rank_in_partition(
@@ -35,114 +36,61 @@ def rank_in_partition(
 ) -> DataFrame:
     """``df`` plus its rank by ``measure``, largest first, inside ``partition``.
 
-    Partitions of at most ``rows_per_task`` rows are ranked by a plain window.
-    A larger one is cut into value ranges ("cells"): a row's rank is the number
-    of rows in the better cells plus its rank in its own cell. Cells whose rows
-    all tie need no sort, so a value of any frequency is spread over tasks.
-
-    Needs jobs of its own to size the partitions; ``df`` must give the same
-    rows each time it is read.
+    A column called ``name`` is replaced, as ``withColumn`` does. A value's rank
+    is 1 + the rows of its partition with a better value. So the rows are
+    counted by (partition, value) first; these counts, one for each distinct
+    value whatever its frequency, are dealt to ranges of about
+    ``rows_per_task`` in their own type and order, and summed up: within each
+    range by a window, and over the ranges before it. The ranks are then joined
+    to the rows. A value with a thousandth of all rows or more is joined by
+    broadcast (there are at most a thousand), so no key of the other join is
+    hot. The plan, the schema and the result are the same at every size.
+
+    Needs jobs of its own; ``df`` must give the same rows each time it is read.
     """
     if not isinstance(df.schema[measure].dataType, T.NumericType):
         raise TypeError(f"measure {measure!r} must be numeric")
-    order = F.desc_nulls_last(measure)
-    large = materialize(
-        df.groupBy(partition)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > rows_per_task)
-        .withColumnRenamed(partition, "_p"),
-        "large-partitions",
-        true_size=True,
-    )
-    n_large = large.agg(F.sum("_rows")).head()[0]
-    if n_large is None:
-        rank = F.rank().over(Window.partitionBy(partition).orderBy(order))
-        return df.withColumn(name, rank.cast("bigint"))
-
-    is_large = F.col(partition).eqNullSafe(F.col("_p"))
-    splits = _split_points(df.join(large, is_large, "left_semi"), measure, n_large, rows_per_task)
-    with_cell = _with_cell(df, measure, splits)
-    cells = materialize(
-        _cells(with_cell.join(large, is_large, "left_semi"), partition, measure),
-        "cells",
-        true_size=True,
-    )
-
-    # Rows of small partitions match no cell: they keep a NULL cell and rank
-    # within the whole partition. Rows of a tied cell rank the same wherever
-    # they are, so each input partition keeps its own share of them.
-    rows = with_cell.join(
-        cells,
-        F.col(partition).eqNullSafe(F.col("_p")) & F.col("_cell").eqNullSafe(F.col("_c")),
-        "left",
+    keys = df.select(F.col(_quoted(partition)).alias("p"), F.col(_quoted(measure)).alias("v"))
+    counts = materialize(keys.groupBy("p", "v").agg(F.count("*").alias("n")), "value-counts")
+    n_values, n_rows = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).head()
+    best_first = F.desc_nulls_last("v")
+    ranges = max(1, math.ceil(n_values / rows_per_task))
+    dealt = counts.repartitionByRange(ranges, F.asc("p"), best_first)
+    dealt = materialize(dealt.withColumn("range", F.spark_partition_id()), "value-ranges")
+    # A row for each partition and range: few.
+    totals = dealt.groupBy("p", "range").agg(F.sum("n").alias("total"))
+    ahead = Window.partitionBy("p").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select("p", "range", F.coalesce(F.sum("total").over(ahead), F.lit(0)).alias("base"))
+    bases = bases.select(F.col("p").alias("bp"), F.col("range").alias("br"), "base")
+    inside = Window.partitionBy("p", "range").orderBy(best_first)
+    better = F.coalesce(
+        F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
-    rows = rows.withColumn("_share", F.when(F.col("_tied"), F.spark_partition_id()))
-    window = Window.partitionBy(partition, "_c", "_share").orderBy(order)
-    rank = F.coalesce(F.col("_better"), F.lit(0)) + F.rank().over(window)
-    return rows.withColumn(name, rank).select(*df.columns, name)
-
-
-def _split_points(df: DataFrame, measure: str, n_rows: int, rows_per_task: int) -> list[float]:
-    """Cut points that leave about ``rows_per_task`` rows between neighbours.
-
-    They come from a sample, as those of Spark's own range partitioner do: the
-    sample affects only how even the cells are, never which rows are ranked. A
-    value that fills several quantiles gets a cell that holds nothing else.
-    """
-    n = min(math.ceil(n_rows / rows_per_task), MAX_SPLITS)
-    value = df.select(_as_double(measure).alias("_v"))
-    sample = value.sample(min(1.0, _SAMPLE_PER_SPLIT * n / n_rows), seed=0)
-    cuts = sample.approxQuantile("_v", [i / n for i in range(1, n)], 0.1 / n)
-    # The largest doubles are cuts too: they leave the infinities on their own.
-    points = {-sys.float_info.max, sys.float_info.max}
-    for cut, times in Counter(cuts).items():
-        points.add(cut)
-        if times > 1:
-            points.add(math.nextafter(cut, math.inf))
-    return sorted(p for p in points if math.isfinite(p))
-
-
-def _as_double(measure: str) -> Column:
-    # Adding 0.0 turns -0.0 into 0.0: the two tie in Spark, but not in a Bucketizer.
-    return F.col(measure).cast("double") + F.lit(0.0)
-
-
-def _with_cell(df: DataFrame, measure: str, splits: list[float]) -> DataFrame:
-    """Add ``_cell``, the number of the value range; NULL for a NULL measure.
-
-    A cell is a half-open range of doubles, so equal measures never part. NaN
-    has the highest cell.
-    """
-    bucketizer = Bucketizer(
-        splits=[-math.inf, *splits, math.inf],
-        inputCol="_v",
-        outputCol="_cell",
-        handleInvalid="keep",
+    ranks = dealt.withColumn("inside", better).join(
+        bases, F.col("p").eqNullSafe(F.col("bp")) & (F.col("range") == F.col("br"))
     )
-    cells = bucketizer.transform(df.withColumn("_v", _as_double(measure)))
-    return cells.withColumn("_cell", F.col("_cell").cast("int")).drop("_v")
-
-
-def _cells(df: DataFrame, partition: str, measure: str) -> DataFrame:
-    """Per non-empty cell: the rows in better cells, and whether all its rows tie.
-
-    The window runs over cells, of which a partition has at most a few times
-    ``MAX_SPLITS``, not over rows.
-    """
-    better = (
-        Window.partitionBy("_p")
-        .orderBy(F.desc_nulls_last("_c"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    own = {c: free_name([*df.columns, name], f"_{c}") for c in ("p", "v", "n", "rank")}
+    ranks = ranks.select(
+        F.col("p").alias(own["p"]),
+        F.col("v").alias(own["v"]),
+        F.col("n").alias(own["n"]),
+        (F.col("base") + F.col("inside") + 1).alias(own["rank"]),
     )
-    return (
-        df.groupBy(F.col(partition).alias("_p"), F.col("_cell").alias("_c"))
-        .agg(
-            F.count("*").alias("_n"),
-            F.min(measure).eqNullSafe(F.max(measure)).alias("_tied"),
-        )
-        .withColumn("_better", F.coalesce(F.sum("_n").over(better), F.lit(0)))
-        .drop("_n")
+    ranks = materialize(ranks, "value-ranks", true_size=True)
+
+    same = F.col(_quoted(partition)).eqNullSafe(F.col(own["p"])) & F.col(
+        _quoted(measure)
+    ).eqNullSafe(F.col(own["v"]))
+    is_large = F.col(own["n"]) * _SHARE >= max(n_rows, _SHARE)
+    large = F.broadcast(ranks.where(is_large))
+    rows = df.join(large, same).unionByName(
+        df.join(large, same, "left_anti").join(ranks.where(~is_large), same)
     )
+    columns = [_quoted(c) for c in df.columns]
+    place = F.col(own["rank"]).alias(name)
+    if name in df.columns:
+        return rows.select(*[place if c == _quoted(name) else F.col(c) for c in columns])
+    return rows.select(*columns, place)
 
 
 def first_place_counts(
@@ -155,47 +103,54 @@ def first_place_counts(
 
     Rank 1 means "equal to the partition's maximum", so no window is needed:
     one aggregate finds the maxima, and a second pass counts the rows that
-    reach them. A tie of any size is counted where its rows are. No row below
-    the lowest maximum can win, so the second pass drops those before the join.
+    reach them. No row below the lowest maximum can win, so the second pass
+    drops those; it counts before the join with the maxima, so a tie of any size
+    leaves a row for each task and entity.
     """
+    keys = df.select(
+        F.col(_quoted(partition)).alias("p"),
+        F.col(_quoted(measure)).alias("v"),
+        F.col(_quoted(entity)).alias("e"),
+    )
     best = materialize(
-        df.groupBy(F.col(partition).alias("_p")).agg(F.max(measure).alias("_best")),
-        "maxima",
-        true_size=True,
+        keys.groupBy(F.col("p").alias("bp")).agg(F.max("v").alias("best")), "maxima", true_size=True
     )
-    lowest = best.agg(F.min("_best")).scalar()
-    firsts = df.where((F.col(measure) >= lowest) | F.col(measure).isNull()).join(
+    lowest = best.agg(F.min("best")).scalar()
+    counts = keys.where((F.col("v") >= lowest) | F.col("v").isNull()).groupBy("p", "v", "e")
+    firsts = counts.agg(F.count("*").alias("n")).join(
         best,
-        F.col(partition).eqNullSafe(F.col("_p")) & F.col(measure).eqNullSafe(F.col("_best")),
+        F.col("p").eqNullSafe(F.col("bp")) & F.col("v").eqNullSafe(F.col("best")),
         "left_semi",
     )
-    return sort_desc(firsts.groupBy(entity).agg(F.count("*").alias(name)), name, [entity])
+    wins = firsts.groupBy(F.col("e").alias(entity)).agg(F.sum("n").alias(name))
+    return sort_desc(wins, name, [entity])
 
 
 def rank_of_argmax(
     df: DataFrame,
-    where: Column,
     partition: str,
+    value: object,
     pick_by: str,
     rank_by: str,
     keys: Sequence[str],
     name: str = "ranking",
 ) -> DataFrame:
-    """(keys, name): the row with the largest ``pick_by`` among ``where``, and its
-    rank by ``rank_by`` inside its partition. ``where`` selects whole partitions.
+    """(keys, name): of the partition ``value``, the row with the largest ``pick_by``,
+    and its rank by ``rank_by`` among all rows of that partition.
 
-    The rank is 1 + the number of rows of the partition with a larger ``rank_by``
-    (with any value, when the row's own is NULL), so two parallel passes replace
-    the window. The joined side is the one row of a top-1, hence the broadcast.
+    The rank is 1 + the number of rows with a larger ``rank_by`` (with any
+    value, when the row's own is NULL), so two parallel passes replace the
+    window. The joined side is the one row of a top-1, hence the broadcast.
     """
-    rows = df.where(where)
+    rows = df.where(F.col(_quoted(partition)).eqNullSafe(F.lit(value)))
+    own, of, v, peer = (free_name(keys, c) for c in ("_own", "_of", "_v", "_peer"))
     leader = top1(rows, pick_by, keys).select(
-        F.col(partition).alias("_p"), F.col(rank_by).alias("_own"), *keys
+        F.col(_quoted(rank_by)).alias(own), F.col(_quoted(partition)).alias(of), *keys
     )
-    peers = rows.select(F.col(partition).alias("_peer_p"), F.col(rank_by).alias("_v"))
-    ahead = (F.col("_v") > F.col("_own")) | (F.col("_own").isNull() & F.col("_v").isNotNull())
+    peers = rows.select(F.col(_quoted(rank_by)).alias(v), F.col(_quoted(partition)).alias(peer))
+    ahead = (F.col(v) > F.col(own)) | (F.col(own).isNull() & F.col(v).isNotNull())
     return (
-        peers.join(F.broadcast(leader), F.col("_peer_p").eqNullSafe(F.col("_p")))
+        peers.join(F.broadcast(leader), F.col(peer).eqNullSafe(F.col(of)))
         .groupBy(*keys)
         .agg((F.count_if(ahead) + 1).alias(name))
     )

@@ -21,6 +21,9 @@ def sort_desc(df: DataFrame, measure: str, ties: Sequence[str] = ()) -> DataFram
 
 
 def top_k(df: DataFrame, measure: str, k: int, ties: Sequence[str] = ()) -> DataFrame:
+    """The best ``k`` rows. They are merged in one task: for a ``k`` of many millions
+    take the first rows of ``sort_desc`` instead.
+    """
     return df.orderBy(*best_first(measure, ties)).limit(k)
 
 
@@ -43,11 +46,14 @@ def best_mean(
 
 
 def winner_rows(df: DataFrame, winner: DataFrame, key: str, where: Column) -> DataFrame:
-    """The rows of ``where`` that belong to the winner of a top-1.
+    """The rows of ``where`` that belong to the winner of a top-1; none without a winner.
 
-    ``winner`` must come from a top-1: one row at most, hence the broadcast.
+    The winner is found when this is called, and its key becomes a filter, which
+    reaches the scan. A ``winner`` of more than one row raises.
     """
-    one = winner.select(F.col(key).alias("_winner")).limit(1)
-    return df.where(where).join(
-        F.broadcast(one), F.col(key).eqNullSafe(F.col("_winner")), "left_semi"
-    )
+    found = winner.select(key).head(2)
+    if len(found) > 1:
+        raise ValueError("winner_rows takes the one row of a top-1")
+    if not found:
+        return df.where(F.lit(False))
+    return df.where(where & F.col(key).eqNullSafe(F.lit(found[0][0])))

@@ -16,7 +16,7 @@ from podium.operators.aggregate import argmax_per_group, pct_change
 from podium.operators.columns import align_and_union, normalize_columns, project
 from podium.operators.rank import first_place_counts, rank_of_argmax
 from podium.operators.topk import best_mean, filtered_top1, top1, winner_rows
-from podium.sources.scratch import materialize
+from podium.sources.scratch import materialize, scratch_scope
 from podium.sources.tables import read_csv, results_manifest, write_parquet
 
 # The headers of the two input files.
@@ -48,8 +48,10 @@ def clean_history(raw: DataFrame) -> DataFrame:
 class Panel:
     """A cleaned snapshot and history, and one method per question.
 
-    Every result is lazy but ``first_place_counts``, which finds the yearly
-    maxima when called.
+    Results are lazy, but for ``first_place_counts`` and
+    ``longest_lived_followup``, which find the yearly maxima and the winner when
+    called. ``costly`` inputs (aggregates, joins) are not computed twice: results
+    that read them twice write the few columns they need first.
     """
 
     snapshot: DataFrame
@@ -61,19 +63,25 @@ class Panel:
     rules: Sequence[Rule] = field(default_factory=continent_rules)
     no_continent: str | None = "Other"
     digits: int | None = None
+    costly: bool = False
 
-    def staged(self) -> Panel:
+    def staged(self, folder: str | None = None) -> Panel:
         """The same panel, both tables written once to the shared folder.
 
         Results then read pruned columns and pushed-down years instead of
         computing the inputs again, and a lost executor recomputes neither.
+        ``folder`` is one of a ``scratch_scope``, which deletes them at its end.
         """
         return replace(
             self,
-            snapshot=materialize(self.snapshot, "snapshot"),
-            history=materialize(self.history, "history"),
+            snapshot=materialize(self.snapshot, "snapshot", folder=folder),
+            history=materialize(self.history, "history", folder=folder),
+            costly=False,
         )
 
+    def _once(self, rows: DataFrame, name: str) -> DataFrame:
+        return materialize(rows, name) if self.costly else rows
+
     def happiest(self) -> DataFrame:
         """Q1: the entity with the best score of the snapshot."""
         rows = project(self.snapshot, "country_name", "ladder_score")
@@ -97,14 +105,18 @@ class Panel:
             cohort=("year", self.snapshot_year),
             snapshot_names={"ladder_score": "life_ladder"},
         )
-        return first_place_counts(rows, "year", "life_ladder", "country_name")
+        return first_place_counts(
+            self._once(rows, "scores"), "year", "life_ladder", "country_name"
+        )
 
     def rank_of_richest(self) -> DataFrame:
         """Q4: the score rank, in the base year, of the entity with the highest GDP."""
+        rows = project(self.history, "country_name", "year", "log_gdp_per_capita", "life_ladder")
+        rows = rows.where(F.col("year") == self.base_year)
         return rank_of_argmax(
-            self.history,
-            F.col("year") == self.base_year,
+            self._once(rows, "base-year"),
             "year",
+            self.base_year,
             "log_gdp_per_capita",
             "life_ladder",
             ["country_name"],
@@ -131,8 +143,11 @@ class Panel:
 
     def longest_lived(self) -> DataFrame:
         """Q6a: the entity with the best mean life expectancy after ``after_year``."""
+        return self._longest_lived(self._life())
+
+    def _longest_lived(self, life: DataFrame) -> DataFrame:
         return best_mean(
-            self._life(),
+            life,
             F.col("year") > self.after_year,
             "country_name",
             "healthy_life_expectancy",
@@ -151,8 +166,9 @@ class Panel:
 
     def longest_lived_followup(self) -> DataFrame:
         """Q6b read literally: the Q6a winner's own value in the lookup year."""
+        life = self._once(self._life(), "life")
         return winner_rows(
-            self._life(), self.longest_lived(), "country_name", F.col("year") == self.lookup_year
+            life, self._longest_lived(life), "country_name", F.col("year") == self.lookup_year
         )
 
     def _life(self) -> DataFrame:
@@ -194,9 +210,10 @@ def run_report(
     """
     snapshot = clean_snapshot(read_csv(spark, snapshot_csv, snapshot_schema))
     history = clean_history(read_csv(spark, history_csv, history_schema))
-    panel = Panel(snapshot, history, **options).staged()
     paths = {}
-    for name, result in panel.results().items():
-        paths[name] = f"{out_dir}/{name}"
-        write_parquet(result, paths[name])
+    with scratch_scope(spark, "panel") as folder:
+        panel = Panel(snapshot, history, **options).staged(folder)
+        for name, result in panel.results().items():
+            paths[name] = f"{out_dir}/{name}"
+            write_parquet(result, paths[name])
     return results_manifest(spark, paths)

