@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from podium.llm.components import components
+from podium.llm.frequent import most_frequent
 from podium.llm.skew import join_groups
 from podium.llm.words import Lookup, chunks, mix, ngram_hashes, word_hashes
 from podium.operators import free_name
@@ -87,8 +88,8 @@ def frequent_grams(docs: DataFrame, n: int, most: int = FREQUENT) -> np.ndarray:
             yield frequent()
 
     counts = docs.select("text").mapInArrow(count, "g bigint, c bigint")
-    top = counts.groupBy("g").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "g").limit(most)
-    return top.select("g").toArrow()["g"].to_numpy().view(np.uint64)
+    counts = materialize(counts.groupBy("g").agg(F.sum("c").alias("c")), "gram-counts")
+    return most_frequent(counts, "g", most)["g"].to_numpy().view(np.uint64)
 
 
 def _keys(grams: np.ndarray, frequent: Lookup) -> np.ndarray:
