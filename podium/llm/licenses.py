@@ -128,19 +128,24 @@ def scan_texts(docs: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES)
         "rid",
         "unit",
         "term",
+        "tf",
         (F.col("tf") * (F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1)) + 1)).alias("w"),
     )
     weighed = materialize(weighed, "weighed")
-    norms = weighed.groupBy("rid", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    norms = weighed.groupBy("rid", "unit").agg(
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.sum("tf").alias("n_terms")
+    )
     # The templates are a fixed list: a few hundred rows.
     dots = (
         weighed.join(F.broadcast(weights), "term")
         .groupBy("rid", "unit", "template", "licence")
-        .agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+        .agg(F.sum(F.col("w") * F.col("weight")).alias("dot"), F.sum("tf").alias("shared"))
     )
     near = dots.join(norms, ["rid", "unit"]).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 6))
     best = (
         near.where(F.col("cosine") >= THRESHOLD)
+        # A licence file is mostly licence: not a short text below a header.
+        .where((F.col("unit") >= 0) | (2 * F.col("shared") >= F.col("n_terms")))
         .groupBy("rid", "unit")
         .agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "licence")).alias("b"))
     )
