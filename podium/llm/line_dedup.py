@@ -138,6 +138,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     level = level.select(
         *_DOC, "pos", "rank", F.col("w").alias("words"), F.col("w").alias("w_first"), F.col("w").alias("w_last")
     )
+    longest = runs.agg(F.coalesce(F.max("m"), F.lit(0))).head()[0]
     found, h = [], 1
     while True:
         # Runs of h to 2h - 1 lines: a block of h from the start and one to the end.
@@ -149,7 +150,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         both = _same_doc(both, block).withColumnRenamed("rank", "rank_b")
         found.append(both.select(*_DOC, "s", "m", "rank_a", "rank_b"))
         h *= 2
-        if h > min_words or runs.where(F.col("m") >= h).isEmpty():
+        if h > longest:
             break
         next_block = Window.partitionBy("doc").orderBy("pos").rangeBetween(h // 2, h // 2)
         pairs = level
