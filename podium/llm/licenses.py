@@ -1,9 +1,9 @@
 """Licence scan: TF-IDF cosine of lines and files to licence templates, and
 inheritance from the nearest directory with a licence file.
 
-A document is a file with a path. Each of its lines is compared with each
-template (a header), and so is the whole document (a licence file). Term
-weights are counted over all documents. A file without a header takes the
+A document is a file with a path. Each of its lines is compared with short
+notices (a header), and the whole document with complete licence texts and with
+the notices (a licence file). Term weights are counted over all documents. A file without a header takes the
 licence of the nearest ancestor directory that has a licence file.
 
 Only DataFrame operations: no Python on the executors.
@@ -15,6 +15,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +57,10 @@ TEMPLATES = {
     ],
     "Proprietary": ["All rights reserved.", "Copyright. All rights reserved."],
 }
+# Complete texts of licences, without a holder's name: what a licence file has.
+FILES = {
+    p.stem: [p.read_text("utf-8")] for p in sorted(Path(__file__).with_name("licence_texts").glob("*.txt"))
+}
 # Least cosine of a match.
 THRESHOLD = 0.6
 _NOT_TERM = r"[^\p{L}\p{N}]+"
@@ -70,24 +75,32 @@ def _template_terms(text: str) -> Counter:
     return Counter(t for t in re.split(r"[^a-z0-9]+", text.lower()) if t)
 
 
-def _anchors(vectors: list[dict[str, float]]) -> list[str]:
-    """Terms of which every line that reaches the threshold has one.
+def _anchors(vectors: list[dict[str, float]], known: Mapping[str, int]) -> list[str]:
+    """Terms of which every text that reaches the threshold has one.
 
-    A line without them shares too little of a template: by the Cauchy-Schwarz
-    inequality its cosine is at most the root of the squared weights left.
+    A text without them shares too little of a template: by the Cauchy-Schwarz
+    inequality its cosine is at most the root of the squared weights left. Terms
+    that are in no document need no place among the anchors; of the others those
+    come first that hold much of the weight and are in few documents (``known``).
     """
     anchors: set[str] = set()
     for vector in vectors:
-        left = sum(w * w for t, w in vector.items() if t not in anchors)
-        for term, weight in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+        left = sum(w * w for t, w in vector.items() if t in known and t not in anchors)
+        for term, weight in sorted(vector.items(), key=lambda x: (-x[1] ** 2 / (known.get(x[0], 0) + 1), x[0])):
             if left < THRESHOLD**2 * 0.999:
                 break
-            if term not in anchors:
+            if term in known and term not in anchors:
                 anchors.add(term)
                 left -= weight * weight
     return sorted(anchors)
 
 
+def _holds(text: Column, anchors: list[str]) -> Column:
+    """Whether ``text`` has one of the anchors as a word."""
+    words = "|".join(re.escape(a) for a in anchors) or "(?!)"
+    return text.rlike(rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{words})(?![\p{{L}}\p{{N}}])")
+
+
 def _frequencies(docs: DataFrame) -> tuple[DataFrame, int]:
     """(term, df) over all documents, written, and the number of documents."""
     terms = docs.select(F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
@@ -95,32 +108,43 @@ def _frequencies(docs: DataFrame) -> tuple[DataFrame, int]:
     return counts, docs.count()
 
 
-def scan_texts(docs: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES) -> DataFrame:
+def scan_texts(
+    docs: DataFrame,
+    templates: Mapping[str, list[str]] = TEMPLATES,
+    files: Mapping[str, list[str]] = FILES,
+) -> DataFrame:
     """(doc_id, path, unit, licence, cosine): the best template of each line, and of each
-    whole text (unit -1), that reaches ``THRESHOLD``. ``docs`` has doc_id, path, text."""
+    whole text (unit -1), that reaches ``THRESHOLD``. ``docs`` has doc_id, path, text.
+
+    Lines have the notices of ``templates``, whole texts also the texts of ``files``.
+    """
     spark = docs.sparkSession
     frequencies, n_docs = _frequencies(docs)
     idf = lambda df: math.log((n_docs + 1) / (df + 1)) + 1
-    counted = [(name, _template_terms(t)) for name, texts in templates.items() for t in texts]
-    wanted = sorted({t for _, terms in counted for t in terms})
+    counted = [
+        (name, full, _template_terms(t))
+        for full, kind in enumerate((templates, files))
+        for name, texts in kind.items()
+        for t in texts
+    ]
+    wanted = sorted({t for _, _, terms in counted for t in terms})
     known = {r.term: r.df for r in frequencies.where(F.col("term").isin(wanted)).collect()}
     vectors = []
-    for _, terms in counted:
+    for _, _, terms in counted:
         raw = {t: n * idf(known.get(t, 0)) for t, n in terms.items()}
         norm = math.sqrt(sum(w * w for w in raw.values()))
         vectors.append({t: w / norm for t, w in raw.items()})
-    rows = [(i, counted[i][0], t, w) for i, v in enumerate(vectors) for t, w in v.items()]
-    weights = spark.createDataFrame(rows, "template int, licence string, term string, weight double")
+    rows = [(i, *counted[i][:2], t, w) for i, v in enumerate(vectors) for t, w in v.items()]
+    weights = spark.createDataFrame(rows, "template int, licence string, full int, term string, weight double")
 
     # Whole texts and lines that hold an anchor as a word.
-    words = "|".join(re.escape(a) for a in _anchors(vectors))
-    anchored = rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{words})(?![\p{{L}}\p{{N}}])"
-    texts = docs.where(F.col("text").rlike(anchored)).select(
+    notices = [v for v, (_, full, _) in zip(vectors, counted) if not full]
+    texts = docs.where(_holds(F.col("text"), _anchors(vectors, known))).select(
         F.monotonically_increasing_id().alias("rid"), "doc_id", "path", "text"
     )
     texts = materialize(texts, "anchored")
     lines = texts.select("rid", F.posexplode(F.split("text", "\n", -1)).alias("unit", "line"))
-    lines = lines.where(F.col("line").rlike(anchored))
+    lines = lines.where(_holds(F.col("line"), _anchors(notices, known)))
     whole = texts.select("rid", F.lit(-1).alias("unit"), F.col("text").alias("line"))
     terms = lines.unionByName(whole).select("rid", "unit", F.explode(_terms(F.col("line"))).alias("term"))
     terms = terms.groupBy("rid", "unit", "term").agg(F.count("*").alias("tf"))
@@ -135,17 +159,18 @@ def scan_texts(docs: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES)
     norms = weighed.groupBy("rid", "unit").agg(
         F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.sum("tf").alias("n_terms")
     )
-    # The templates are a fixed list: a few hundred rows.
+    # The templates are a fixed list: some thousand rows.
     dots = (
         weighed.join(F.broadcast(weights), "term")
-        .groupBy("rid", "unit", "template", "licence")
+        .where("unit < 0 or full = 0")
+        .groupBy("rid", "unit", "template", "licence", "full")
         .agg(F.sum(F.col("w") * F.col("weight")).alias("dot"), F.sum("tf").alias("shared"))
     )
     near = dots.join(norms, ["rid", "unit"]).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 6))
     best = (
         near.where(F.col("cosine") >= THRESHOLD)
-        # A licence file is mostly licence: not a short text below a header.
-        .where((F.col("unit") >= 0) | (2 * F.col("shared") >= F.col("n_terms")))
+        # A file that is a notice is mostly that: not a short text below a header.
+        .where((F.col("unit") >= 0) | (F.col("full") == 1) | (2 * F.col("shared") >= F.col("n_terms")))
         .groupBy("rid", "unit")
         .agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "licence")).alias("b"))
     )
@@ -179,7 +204,11 @@ def nearest_licences(directories: DataFrame, licensed: DataFrame) -> DataFrame:
     return best.select("dir", F.col("b.licence").alias("licence"), F.col("b.up").alias("from_dir"))
 
 
-def scan_licences(docs: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES) -> DataFrame:
+def scan_licences(
+    docs: DataFrame,
+    templates: Mapping[str, list[str]] = TEMPLATES,
+    files: Mapping[str, list[str]] = FILES,
+) -> DataFrame:
     """(doc_id, path, licence, origin, cosine, from_dir) of each row of ``docs`` (doc_id, path, text).
 
     ``origin`` is ``file`` for a licence file, ``header`` for a file with a
@@ -191,7 +220,7 @@ def scan_licences(docs: DataFrame, templates: Mapping[str, list[str]] = TEMPLATE
     Other columns are not read.
     """
     docs = docs.select("doc_id", "path", "text")
-    found = materialize(scan_texts(docs, templates), "found")
+    found = materialize(scan_texts(docs, templates, files), "found")
     files = found.where("unit = -1 and path is not null")
     order = F.struct((-F.col("cosine")).alias("minus"), "licence")
     licensed = (

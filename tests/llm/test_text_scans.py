@@ -125,5 +125,45 @@ def test_lines_are_not_lost_by_the_anchors(spark):
     assert [got[i] for i in range(len(rows))] == names
 
 
+COMPLETE = ["MIT", "BSD-3-Clause", "BSD-2-Clause", "Apache-2.0", "GPL-3.0", "GPL-2.0", "LGPL-2.1", "MPL-2.0", "ISC"]
+
+
+def test_complete_licence_files_reach_their_siblings(spark):
+    """Complete texts, with a holder's lines, are licence files; prose of their length is none."""
+    texts = licenses.FILES
+    filler = "the quick brown fox jumps over lazy dogs again and again without any end of words"
+    rows = [(i, f"p{i}/LICENSE", f"Copyright (c) 2019 Jane Q. Doe and others\n\n{texts[n][0]}") for i, n in enumerate(COMPLETE)]
+    rows += [(100 + i, f"p{i}/src/main.c", f"{filler} {i}") for i in range(len(COMPLETE))]
+    prose = " ".join(f"the owner of the work w{i} gave it to a person w{i % 7} and you may use it or not" for i in range(40))
+    rows += [(200, "q/notes", prose), (201, "q/x.c", filler)]
+    rows += [(300 + i, f"z{i}/f", f"{filler} {i}") for i in range(50)]
+    got = {r.doc_id: (r.licence, r.origin) for r in licenses.scan_licences(paths(spark, rows)).collect()}
+    assert [got[i] for i in range(len(COMPLETE))] == [(n, "file") for n in COMPLETE]
+    assert [got[100 + i] for i in range(len(COMPLETE))] == [(n, "directory") for n in COMPLETE]
+    assert got[200] == got[201] == (None, None) and got[300] == (None, None)
+
+
+def test_the_mit_text_as_usually_written(spark):
+    text = """MIT License
+
+Copyright (c) 2021 Some Company, Inc.
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+    rows = [(1, "a/LICENSE", text), (2, "a/x", "some words")] + [(i, f"z{i}/f", f"other words {i}") for i in range(9, 30)]
+    got = {r.doc_id: (r.licence, r.origin) for r in licenses.scan_licences(paths(spark, rows)).collect()}
+    assert got[1] == ("MIT", "file") and got[2] == ("MIT", "directory") and got[9] == (None, None)
+
+
 def test_empty_table(spark):
     assert licenses.scan_licences(paths(spark, [])).count() == 0
