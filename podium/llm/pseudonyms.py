@@ -22,12 +22,17 @@ from podium.operators import free_name
 ROUNDS = 8  # even, so that the halves end where they began
 _DIGITS = "0123456789"
 _HEX = "0123456789abcdef"
+_BOTH_CASES = _HEX + "ABCDEF"
 _NAME = "0123456789abcdefghijklmnopqrstuvwxyz"
 # Days of the Gregorian cycle of 400 years: 146097 = 189 * 773. The dates of
 # the cycle from here on are permuted among each other.
 _FIRST_DAY, _DAYS = "1800-01-01", (189, 773)
 # Areas 001 to 899 without 666, groups 01 to 99, serials 0001 to 9999.
 _SOCIAL = (898 * 99, 9999)
+# Characters that one hash has noise for.
+_BLOCK = 64
+# Steps of a walk; one in two or more ends inside, so that none gets this far.
+_STEPS = 64
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -51,10 +56,10 @@ def _rounds(left: Column, right: Column, step: Callable, invert: bool) -> Column
 
 
 def feistel_text(text: Column, alphabet: str, key: str, tag: str, invert: bool = False) -> Column:
-    """Permute the strings of one length over ``alphabet``, of up to 120 characters.
+    """Permute the strings of one length over ``alphabet``.
 
     Each character of a half is shifted by two digits of noise from the other
-    half. Longer strings stay as they are.
+    half; noise beyond 64 characters comes from further hashes.
     """
     base, letters = len(alphabet), F.lit(alphabet)
 
@@ -63,17 +68,31 @@ def feistel_text(text: Column, alphabet: str, key: str, tag: str, invert: bool =
             F.lit(f"{key}|{tag}|{base}|"), F.length(text), F.lit("|"), number, F.lit("|"), other
         )
 
-        def shifted(noise: Column, i: Column) -> Column:
+        def shifted(part: Column, noise: Column, i: Column) -> Column:
             byte = F.conv(F.substr(noise, 2 * i - 1, F.lit(2)), 16, 10).cast("int")
-            at = F.position(F.substr(target, i, F.lit(1)), letters) - 1
+            at = F.position(F.substr(part, i, F.lit(1)), letters) - 1
             place = F.pmod(at - byte if invert else at + byte, F.lit(base))
             return F.substr(letters, place + 1, F.lit(1))
 
-        numbers = F.sequence(F.lit(1), F.greatest(F.length(target), F.lit(1)))
-        # 64 bytes of noise, of which a half takes at most 60.
+        def block(first: Column, number: Column) -> Column:
+            noise = F.when(number == 0, first).otherwise(F.sha2(F.concat(first, F.lit("|"), number), 512))
+            part = F.substr(target, number * _BLOCK + 1, F.lit(_BLOCK))
+            return _let(
+                F.struct(part.alias("part"), noise.alias("noise")),
+                lambda b: F.array_join(
+                    F.transform(
+                        F.sequence(F.lit(1), F.length(b["part"])), lambda i: shifted(b["part"], b["noise"], i)
+                    ),
+                    "",
+                ),
+            )
+
+        last = F.floor((F.greatest(F.length(target), F.lit(1)) - 1) / _BLOCK).cast("int")
         new = _let(
             F.sha2(seed, 512),
-            lambda noise: F.array_join(F.transform(numbers, lambda i: shifted(noise, i)), ""),
+            lambda first: F.array_join(
+                F.transform(F.sequence(F.lit(0), last), lambda number: block(first, number)), ""
+            ),
         )
         return F.when(F.length(target) > 0, new).otherwise(target)
 
@@ -81,8 +100,8 @@ def feistel_text(text: Column, alphabet: str, key: str, tag: str, invert: bool =
     ends = _rounds(
         F.substr(text, F.lit(1), half), F.substr(text, half + 1, F.length(text)), step, invert
     )
-    short = F.length(text).between(1, 120)
-    return F.when(short, _let(ends, lambda e: F.concat(e["l"], e["r"]))).otherwise(text)
+    any_ = F.length(text) > 0
+    return F.when(any_, _let(ends, lambda e: F.concat(e["l"], e["r"]))).otherwise(text)
 
 
 def feistel_number(
@@ -102,6 +121,22 @@ def feistel_number(
     return _let(ends, lambda e: e["l"] * b + e["r"])
 
 
+def _walk(start: Column, step: Callable[[Column], Column], inside: Callable[[Column], Column]) -> Column:
+    """Take steps of a permutation from ``start``, which is inside, until inside again.
+
+    So the values inside are permuted among each other, and walked back by the
+    steps of the inverse.
+    """
+
+    def on(state: Column, _: Column) -> Column:
+        next_ = _let(step(state["x"]), lambda x: F.struct(x.alias("x"), inside(x).alias("ok")))
+        return F.when(state["ok"], state).otherwise(next_)
+
+    first = F.struct(start.alias("x"), F.lit(False).alias("ok"))
+    ends = F.aggregate(F.sequence(F.lit(1), F.lit(_STEPS)), first, on)
+    return _let(ends, lambda e: F.when(e["ok"], e["x"]))
+
+
 def _filled(shape: Column, characters: str, values: Column) -> Column:
     """``shape`` with its characters of the class ``characters`` replaced, in order, by ``values``."""
 
@@ -191,6 +226,24 @@ def _date(form: str) -> Callable[[Column, str, bool], Column]:
     return dated
 
 
+def _slash_date(value: Column, key: str, invert: bool) -> Column:
+    """MM/dd/yyyy, or else dd/MM/yyyy: then the day is above 12, and stays so."""
+    origin = F.lit(_FIRST_DAY).cast("date")
+    day = F.date_diff(F.try_to_date(value, "dd/MM/yyyy"), origin).cast("bigint")
+
+    def date_of(number: Column) -> Column:
+        return F.date_add(origin, number.cast("int"))
+
+    new = _walk(
+        day,
+        lambda x: feistel_number(x, _DAYS, key, "date", invert),
+        lambda x: F.dayofmonth(date_of(x)) > 12,
+    )
+    late = day.between(0, _DAYS[0] * _DAYS[1] - 1) & (F.dayofmonth(date_of(day)) > 12)
+    made = F.when(late, F.date_format(date_of(new), "dd/MM/yyyy"))
+    return F.coalesce(_date("MM/dd/yyyy")(value, key, invert), made)
+
+
 def _mail(value: Column, key: str, invert: bool) -> Column:
     local, domain = F.split(F.lower(value), "@")[0], F.split(value, "@")[1]
     new = feistel_text(F.regexp_replace(local, "[^a-z0-9]", ""), _NAME, key, "mail", invert)
@@ -198,7 +251,22 @@ def _mail(value: Column, key: str, invert: bool) -> Column:
 
 
 def _secret(value: Column, key: str, invert: bool) -> Column:
-    return feistel_text(value, _HEX, key, "secret", invert)
+    """Capitals as small letters, and back; both cases together are an alphabet of their own."""
+
+    def permuted(start: Column, alphabet: str, *looks: str) -> Column:
+        inside = "^" + "".join(f"(?=.*{look})" for look in looks)
+        return _walk(
+            start,
+            lambda x: feistel_text(x, alphabet, key, "secret", invert),
+            lambda x: x.rlike(inside),
+        )
+
+    one_case = _let(
+        permuted(F.lower(value), _HEX, "[0-9]", "[a-f]"),
+        lambda new: F.when(value.rlike("[A-F]"), F.upper(new)).otherwise(new),
+    )
+    both = permuted(value, _BOTH_CASES, "[0-9]", "[a-f]", "[A-F]")
+    return F.when(value.rlike("[a-f]") & value.rlike("[A-F]"), both).otherwise(one_case)
 
 
 @dataclass(frozen=True)
@@ -215,19 +283,19 @@ KINDS = (
     Kind(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])", _address),
     Kind(r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?!-?[0-9])", _date("yyyy-MM-dd")),
     Kind(r"(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?!\.?[0-9])", _date("dd.MM.yyyy")),
-    Kind(r"(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?!/?[0-9])", _date("MM/dd/yyyy")),
+    Kind(r"(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?!/?[0-9])", _slash_date),
     Kind(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9])", _social),
     Kind(r"\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])", _phone),
     Kind(r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])", _card),
     Kind(
-        r"(?<![0-9A-Za-z])(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{16,120}(?![0-9A-Za-z])", _secret
+        r"(?<![0-9A-Za-z])(?=[0-9]*[A-Fa-f])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{16,}+(?![0-9A-Za-z])", _secret
     ),
 )
 # Only mail addresses and secrets begin with a letter; the looks ahead pass over most others.
 _ANY = (
     f"(?:{KINDS[0].pattern})|(?=[0-9+])(?:"
     + "|".join(f"(?:{kind.pattern})" for kind in KINDS[1:-1])
-    + f")|(?=[0-9a-f])(?:{KINDS[-1].pattern})"
+    + f")|(?=[0-9A-Fa-f])(?:{KINDS[-1].pattern})"
 )
 
 

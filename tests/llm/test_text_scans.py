@@ -70,6 +70,30 @@ def test_pseudonyms_run_no_python_and_need_no_exchange(spark):
     assert "EvalPython" not in text
 
 
+def test_secrets_of_any_case_and_length_and_days_before_months(spark):
+    capitals = "9233A8EC0B44D1F76A5E3C2B1A0998877E9329BF"
+    texts = [
+        f'TOKEN = "{capitals}" token "{capitals.lower()}"',
+        "key 9233a8EC0B44d1f7 mixed",
+        "hex " + "0a9F" * 60 + " and " + "7b3c" * 500,
+        "write to " + "ab1.c" * 60 + "@mail.example.com",
+        "on 25/12/2020 and 12/25/2020, not 31/13/2020 or 30/02/2020",
+    ]
+    df = frame(spark, enumerate(texts))
+    made = pseudonymise(df, "key")
+    rows = {r.doc_id: r for r in made.collect()}
+    assert [rows[i].n_found for i in range(5)] == [2, 1, 2, 1, 2]
+    upper, lower = re.findall('"(.*?)"', rows[0].text)
+    assert upper != capitals and upper == upper.upper() and upper.lower() == lower
+    assert "9233a8EC" not in rows[1].text and "0a9F0a9F" not in rows[2].text and "7b3c7b3c" not in rows[2].text
+    assert [len(rows[i].text) for i in range(5)] == list(map(len, texts)) and "ab1.cab1.c" not in rows[3].text
+    first, second, *rest = re.findall(r"\d\d/\d\d/\d{4}", rows[4].text)
+    assert first != "25/12/2020" and int(first[:2]) > 12 and int(second[:2]) <= 12
+    assert rest == ["31/13/2020", "30/02/2020"]
+    back = pseudonymise(made, "key", invert=True).select("doc_id", "text").collect()
+    assert sorted(map(tuple, back)) == list(enumerate(texts))
+
+
 def paths(spark, rows):
     return spark.createDataFrame(rows, "doc_id bigint, path string, text string")
 
