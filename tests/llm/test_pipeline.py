@@ -3,7 +3,10 @@ from __future__ import annotations
 import corpus_pipeline
 import pytest
 
-from .helpers import frame, shingles
+from podium.llm.nbsvm import THRESHOLD, classify
+
+from . import test_decontaminate, test_line_dedup
+from .helpers import brute_components, frame, shingles
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -45,3 +48,51 @@ def test_stages_take_empty_tables(spark):
 
 def test_run_is_the_stages_in_order(spark, stages):
     assert corpus_pipeline.run(spark, SF_DIR).count() == len(stages[5])
+
+
+def rows_of(table):
+    return sorted(zip(table.doc_id, table.text))
+
+
+def test_classifier_stage_keeps_what_the_scores_say(spark, stages):
+    docs, labels = (corpus_pipeline.table(spark, SF_DIR, t) for t in ("documents", "labels"))
+    scores = {r.doc_id: r.score for r in classify(docs, labels).collect()}
+    want = [row for row in rows_of(stages[0]) if scores[row[0]] >= THRESHOLD]
+    assert rows_of(stages[1]) == want and 0 < len(want) < len(stages[0])
+
+
+def test_line_stage_equals_brute_force(stages):
+    before = rows_of(stages[1])
+    cleaned = test_line_dedup.brute(before, 16)
+    want = [(i, cleaned[i, t][0]) for i, t in before if not cleaned[i, t][2] or cleaned[i, t][0].split()]
+    assert rows_of(stages[2]) == sorted(want) != before
+
+
+def test_set_join_stage_equals_brute_force(stages):
+    before = rows_of(stages[2])
+    first = brute_components([shingles(t, 5) for _, t in before], 80)
+    assert rows_of(stages[3]) == [row for i, row in enumerate(before) if first[i] == i] != before
+
+
+def test_decontamination_stage_equals_brute_force(spark, stages):
+    items = [tuple(r) for r in corpus_pipeline.table(spark, SF_DIR, "benchmark").collect()]
+    before = rows_of(stages[3])
+    hit = set()
+    for i, t in before:
+        text = test_decontaminate.tokens(t)
+        held = set(text)
+        for _, item in items:
+            own = test_decontaminate.tokens(item)
+            most = int(test_decontaminate.d.EDITS * len(own))
+            # Each word of the item that the text lacks is an edit.
+            if own and sum(w not in held for w in own) <= most:
+                if test_decontaminate.distance(own, text) <= most:
+                    hit.add(i)
+                    break
+    assert hit and rows_of(stages[4]) == [row for row in before if row[0] not in hit]
+
+
+def test_run_is_the_stages_row_by_row(spark, stages):
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    got = corpus_pipeline.run(spark, SF_DIR).select(columns).collect()
+    assert sorted(map(tuple, got)) == sorted(stages[5][columns].itertuples(index=False, name=None))
