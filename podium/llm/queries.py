@@ -15,10 +15,13 @@ from podium.llm.licenses import scan_licences
 from podium.llm.line_dedup import MIN_WORDS, dedup_lines
 from podium.llm.nbsvm import classify
 from podium.llm.packing import pack_documents
+from podium.llm.piece_codec import decode_documents, encode_documents
 from podium.llm.pseudonyms import pseudonymise
+from podium.llm.resample import importance_ranks
 from podium.llm.set_join import set_components
 from podium.llm.tables import SCHEMAS, table
 from podium.llm.token_files import token_files
+from podium.llm.vector_codes import coded_with_errors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,3 +161,81 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2
     )
+
+
+@_query("op11_importance_resampling")
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = importance_ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranks.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def _lloyd_sql(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """Lloyd rounds as one statement: every assignment compares all entries."""
+
+    def assigned(n: int) -> str:
+        # Whole numbers: the products are exact as doubles.
+        return f"""
+    a{n} AS MATERIALIZED (
+        SELECT vec_id, label, part, arg_min(idx, (d, idx)) AS idx, min(d) AS d FROM (
+            SELECT v.*, c.idx, list_inner_product(v.vec, v.vec) - 2 * list_inner_product(v.vec, c.vec)
+                       + list_inner_product(c.vec, c.vec) AS d
+            FROM v JOIN c{n} c USING (part))
+        GROUP BY vec_id, label, part)"""
+
+    def replaced(n: int) -> str:
+        return f"""
+    c{n + 1} AS MATERIALIZED (
+        SELECT part, idx, coalesce(m.vec, c.vec) AS vec FROM c{n} c LEFT JOIN (
+            SELECT part, idx, list(mean ORDER BY pos) AS vec FROM (
+                SELECT part, idx, pos, floor(sum(x) / count(*)) AS mean FROM (
+                    SELECT part, idx, unnest(vec) AS x, generate_subscripts(vec, 1) AS pos
+                    FROM v JOIN a{n} USING (vec_id, part))
+                GROUP BY part, idx, pos)
+            GROUP BY part, idx) m USING (part, idx))"""
+
+    steps = [step for n in range(rounds) for step in (assigned(n), replaced(n))] + [assigned(rounds)]
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS vec,
+               len(embedding) // {parts} AS w
+        FROM embeddings
+        WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+    v AS MATERIALIZED (
+        SELECT vec_id, label, part, vec[part * w + 1:part * w + w] AS vec
+        FROM kept, range({parts}) r(part)),
+    c0 AS MATERIALIZED (
+        SELECT part, idx, vec FROM (
+            SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS idx FROM v)
+        WHERE idx < {entries}),
+    {",".join(steps)},
+    digest AS (
+        SELECT sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY part, idx, pos)) AS codebooks_sha256
+        FROM (SELECT part, idx, unnest(vec) AS x, generate_subscripts(vec, 1) AS pos FROM c{rounds})),
+    coded AS (
+        SELECT vec_id, label, string_agg(format('{{:02x}}', idx), '' ORDER BY part) AS code,
+               sum(d)::BIGINT AS error
+        FROM a{rounds} GROUP BY vec_id, label)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           codebooks_sha256
+    FROM coded, digest
+    """
+
+
+@_query("op12_vector_codes", _lloyd_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded_with_errors(table(spark, sf_dir, "embeddings"))
+
+
+@_query("op13_piece_codec")
+def op13_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = encode_documents(documents, model).drop("text")
+    decoded = decode_documents(encoded, model)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("ids_agree") & F.col("text_agrees")).alias("agrees"),
+    )

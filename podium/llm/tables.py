@@ -15,6 +15,7 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "benchmark": "item_id bigint, text string",
     "labels": "doc_id bigint, quality int, toxic int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
     "pages": "page_id bigint, url string, html string",
 }
 
