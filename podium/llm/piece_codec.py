@@ -3,21 +3,25 @@
 A text's characters start as symbols; of all adjacent pairs whose union is a
 piece, the one with the best score (the leftmost of equals) is merged, until
 there is none. The agenda of these pairs is kept in score order. No piece has a
-space mark behind another character, so no merge crosses the start of a word:
-words are merged on their own and cached. The new words of a batch are merged
-together, each by its own agenda, one merge of every word at a time; very long
-words have a heap. Every Arrow batch can be checked against the library itself.
+space mark behind another character, so no merge crosses the start of a word,
+nor any two characters that stand side by side in no piece: texts are cut at
+these places, and the parts are merged on their own and cached. The new parts
+of a batch are merged together, each by its own agenda, one merge of every part
+at a time; very long parts have a heap. In every Arrow batch the library checks
+the new words, or, if wanted, all texts.
 """
 
 from __future__ import annotations
 
 import codecs
 import heapq
+import itertools
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -27,9 +31,11 @@ from podium.llm.words import chunks
 
 SPACE = "▁"
 # Words in one generation of the cache; two are kept, about 200 bytes each.
-CACHE_WORDS = 300_000
-# Words of more symbols have a heap of their own, and those of more characters are not cached.
+CACHE_WORDS = 200_000
+# Parts of more characters have a heap of their own, and longer words are not cached.
 _WIDTHS = (8, 16, 32, 64)
+# Ids that are decoded together; a longer list is a slice of its own.
+_SLICE_IDS = 1 << 18
 _NONE = np.iinfo(np.int32).max
 
 
@@ -41,6 +47,46 @@ def _one_for_each_byte(error: UnicodeError) -> tuple[str, int]:
 codecs.register_error("podium-each-byte", _one_for_each_byte)
 
 
+class _PairTable:
+    """Rank and union of pairs of symbols, found many at a time by open addressing."""
+
+    def __init__(self, pairs: dict[int, tuple[int, int]]) -> None:
+        keys = np.fromiter(pairs, np.int64, len(pairs))
+        found = np.array(list(pairs.values()), np.int32).reshape(-1, 2)
+        self.shift = np.uint64(64 - max(4, (4 * len(keys)).bit_length()))
+        size = 1 << (64 - int(self.shift))
+        self.last = size - 1
+        self.keys = np.full(size, -1, np.int64)
+        self.rank, self.piece = np.full(size, _NONE, np.int32), np.full(size, -1, np.int32)
+        todo, slot = np.arange(len(keys)), self._slot(keys)
+        while len(todo):
+            free = self.keys[slot[todo]] < 0
+            # Of those that want a free slot, the last one written has it.
+            self.keys[slot[todo[free]]] = keys[todo[free]]
+            placed = self.keys[slot[todo]] == keys[todo]
+            own = todo[placed]
+            self.rank[slot[own]], self.piece[slot[own]] = found[own, 0], found[own, 1]
+            todo = todo[~placed]
+            slot[todo] = (slot[todo] + 1) & self.last
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and union of each pair; ``_NONE`` where there is none. Symbols below 0 have no pairs."""
+        # A negative symbol makes a key that is in no slot.
+        keys = (left.astype(np.int64) << 32) | right
+        keys[right < 0] = -2
+        slot = self._slot(keys)
+        other = np.flatnonzero((self.keys[slot] != keys) & (self.keys[slot] >= 0))
+        while len(other):
+            slot[other] = (slot[other] + 1) & self.last
+            there = self.keys[slot[other]]
+            other = other[(there != keys[other]) & (there >= 0)]
+        hit = self.keys[slot] == keys
+        return np.where(hit, self.rank[slot], _NONE), self.piece[slot]
+
+
 class PieceCodec:
     """Ids of a text by score-ordered merges, and the text of ids.
 
@@ -53,10 +99,9 @@ class PieceCodec:
         sp, size = self.library, len(self.library)
         pieces = [sp.id_to_piece(i) for i in range(size)]
         special = [sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) for i in range(size)]
-        self.unknown = sp.unk_id()
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(pieces) if sp.is_byte(i)}
-        if any(sp.is_unused(i) for i in range(size)):
-            raise ValueError("vocabularies with unused pieces are not supported")
+        if len(self.bytes) < 256 or any(sp.is_unused(i) for i in range(size)):
+            raise ValueError("only vocabularies with all byte pieces and no unused ones are supported")
         plain = [(p, i) for i, p in enumerate(pieces) if not special[i]]
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p, _ in plain):
             raise ValueError("pieces with a space mark inside are not supported")
@@ -79,10 +124,15 @@ class PieceCodec:
                 left, right = symbols.get(p[:k]), symbols.get(p[k:])
                 if left is not None and right is not None:
                     pairs[(left << 32) | right] = (rank, i)
-        self.pairs = pairs
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        found = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int32).reshape(-1, 2)
-        self.pair_rank, self.pair_piece = found[:, 0], found[:, 1]
+        self.pairs, self.table = pairs, _PairTable(pairs)
+        # Characters that stand side by side in some piece, by classes of characters.
+        sides = sorted({p[k : k + 2] for p, _ in plain for k in range(len(p) - 1)})
+        members = sorted({c for pair in sides for c in pair})
+        self.side = np.zeros(0x110000, np.int32)
+        self.side[[ord(c) for c in members]] = np.arange(1, len(members) + 1)
+        self.beside = np.zeros((len(members) + 1, len(members) + 1), bool)
+        for left, right in sides:
+            self.beside[self.side[ord(left)], self.side[ord(right)]] = True
         # What ids decode to. Controls give nothing; the unknown one has a surface of its own.
         text = [p.replace(SPACE, " ").encode() for p in pieces]
         for i in range(size):
@@ -100,49 +150,46 @@ class PieceCodec:
         self.control = np.array([sp.is_control(i) for i in range(size)])
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     # --- encoding ---
 
-    def _found(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and piece of each pair of symbols; ``_NONE`` where the union is no piece."""
-        keys = (left.astype(np.int64) << 32) | right.astype(np.int64)
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        hit = (self.pair_keys[at] == keys) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.pair_rank[at], _NONE), np.where(hit, self.pair_piece[at], -1)
-
     def _merge_together(self, symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Merge words given as rows of ``symbols``, padded behind ``counts``; rows and their counts."""
-        symbols, counts = symbols.copy(), counts.copy()
+        """Merge parts given as rows of ``symbols``, padded behind ``counts``; rows and their counts."""
         n, width = symbols.shape
-        if width < 2 or not len(self.pair_keys):
-            return symbols, counts
-        columns = np.arange(width)
-        # The agenda of each word: rank and union of each symbol and the next one.
-        rank, piece = self._found(symbols[:, :-1], symbols[:, 1:])
-        rank[columns[None, :-1] >= counts[:, None] - 1] = _NONE
-        active = np.flatnonzero((rank != _NONE).any(axis=1))
-        rank, piece, own = rank[active], piece[active], symbols[active]
-        while len(active):
+        out, counts = symbols.copy(), counts.copy()
+        # The agenda of each part: rank and union of each symbol and the next one.
+        rank, piece = self.table.find(symbols[:, :-1].ravel(), symbols[:, 1:].ravel())
+        rank, piece = rank.reshape(n, -1), piece.reshape(n, -1)
+        active, own = np.arange(n), symbols
+        while width > 1:
+            going = np.flatnonzero(rank.min(axis=1) != _NONE)
+            if len(going) < len(active):
+                done = np.ones(len(active), bool)
+                done[going] = False
+                out[active[done], :width] = own[done]
+                active, own, rank, piece = active[going], own[going], rank[going], piece[going]
+            if not len(active):
+                return out, counts
             rows = np.arange(len(active))
             j = rank.argmin(axis=1)
             own[rows, j] = piece[rows, j]
-            # The symbol at j + 1 is gone: all behind it move up by one.
-            shift = np.minimum(columns[None, :] + (columns[None, :] > j[:, None]), width - 1)
-            own = np.take_along_axis(own, shift, 1)
-            gap = np.minimum(columns[None, :-1] + (columns[None, :-1] > j[:, None]), width - 2)
-            rank, piece = np.take_along_axis(rank, gap, 1), np.take_along_axis(piece, gap, 1)
+            # Each row loses one symbol and one pair, so all stay equally wide.
+            stays = np.ones(own.shape, bool)
+            stays[rows, j + 1] = False
+            own = own[stays].reshape(len(active), -1)
+            stays = np.ones(rank.shape, bool)
+            stays[rows, j] = False
+            rank, piece = rank[stays].reshape(len(active), -1), piece[stays].reshape(len(active), -1)
+            width -= 1
             counts[active] -= 1
-            rank[rows, np.minimum(counts[active] - 1, width - 2)] = _NONE
             # Only the pairs of the new symbol with its neighbours are new.
             for first in (j - 1, j):
-                real = (first >= 0) & (first < counts[active] - 1)
-                r, f = rows[real], first[real]
-                rank[r, f], piece[r, f] = self._found(own[r, f], own[r, f + 1])
-            going = rank.min(axis=1) != _NONE
-            done = ~going
-            symbols[active[done]] = own[done]
-            active, own, rank, piece = active[going], own[going], rank[going], piece[going]
-        return symbols, counts
+                real = np.flatnonzero((first >= 0) & (first < width - 1))
+                f = first[real]
+                rank[real, f], piece[real, f] = self.table.find(own[real, f], own[real, f + 1])
+        out[active, :width] = own
+        return out, counts
 
     def _merge_long(self, symbols: list[int]) -> list[int]:
         """Merge one word of any length: a heap of pairs in score order over a linked list."""
@@ -177,18 +224,12 @@ class PieceCodec:
         """Ids of merged symbols; ``points`` are the characters that are in no piece, in order."""
         out: list[int] = []
         chars = iter(points)
-        was_unknown = False
         for s in symbols:
             if 0 <= s < self.size:
                 out.append(s)
-                was_unknown = False
-                continue
-            name = self.names[s] if s >= 0 else chr(next(chars))
-            if self.bytes:
+            else:
+                name = self.names[s] if s >= 0 else chr(next(chars))
                 out += [self.bytes[b] for b in name.encode()]
-            elif not was_unknown:
-                out.append(self.unknown)
-            was_unknown = True
         return out
 
     def _encode_segments(self, segments: list[str]) -> list[bytes]:
@@ -229,8 +270,38 @@ class PieceCodec:
             return [SPACE + w for w in text[1:].split(SPACE)]
         return re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", text)
 
-    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text, as little-endian 32-bit integers; an empty or null text has none."""
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, which starts with its space marks: by parts, equal ones once."""
+        if not words:
+            return []
+        joined = "".join(words)
+        ends = np.cumsum([len(w) for w in words])
+        side = self.side[np.frombuffer(joined.encode("utf-32-le"), "<u4")]
+        cut = ~self.beside[side[:-1], side[1:]]
+        cut[ends[:-1] - 1] = True
+        bounds = [0, *(np.flatnonzero(cut) + 1).tolist(), len(joined)]
+        parts = [joined[a:b] for a, b in zip(bounds, bounds[1:])]
+        known = self.parts
+        new = list(set(parts) - known.keys())
+        if new:
+            if len(known) >= CACHE_WORDS:
+                # What this batch needs goes on.
+                known = self.parts = {p: known[p] for p in set(parts) & known.keys()}
+            known.update(zip(new, self._encode_segments(new)))
+        own = [known[p] for p in parts]
+        # The parts of a word are those up to its end.
+        last = np.searchsorted(bounds, ends).tolist()
+        for p in new:
+            if len(p) > _WIDTHS[-1]:
+                del known[p]
+        return [own[a] if b == a + 1 else b"".join(own[a:b]) for a, b in zip([0, *last], last)]
+
+    def encode_batch(self, texts: list[str | None], check: bool = False) -> tuple[list[bytes], set[int]]:
+        """Ids of each text, as little-endian 32-bit integers; an empty or null text has none.
+
+        With ``check`` the library encodes all words that were not in the cache;
+        the places of texts with words on which it differs are returned too.
+        """
         if len(self.young) >= CACHE_WORDS:
             self.old, self.young = self.young, {}
         split = []
@@ -238,24 +309,31 @@ class PieceCodec:
             normal = self.library.normalize(text) if text else ""
             split.append(self._segments(normal) if normal else [])
         young, old = self.young, self.old
-        new: dict[str, bytes | None] = {}
-        for segments in split:
-            for s in segments:
-                if s not in young:
-                    ids = old.get(s)
-                    if ids is None:
-                        new[s] = None
-                    else:
-                        young[s] = ids
-        words = list(new)
-        encoded = dict(zip(words, self._encode_segments(words)))
-        out = []
-        for segments in split:
-            out.append(b"".join([young[s] if s in young else encoded[s] for s in segments]))
-        for s, ids in encoded.items():
-            if len(s) <= _WIDTHS[-1] and len(young) < 2 * CACHE_WORDS:
-                young[s] = ids
-        return out
+        missing = {s for segments in split for s in segments if s not in young}
+        for s in missing & old.keys():
+            young[s] = old[s]
+        words = [s for s in missing if s not in young]
+        young.update(zip(words, self._encode_words(words)))
+        wrong = self._wrong(words) if check else set()
+        out = [b"".join([young[s] for s in segments]) for segments in split]
+        for s in words:
+            if len(s) > _WIDTHS[-1] or s in wrong:
+                del young[s]
+        return out, {i for i, segments in enumerate(split) if not wrong.isdisjoint(segments)}
+
+    def _wrong(self, words: list[str]) -> set[str]:
+        """Words that the library encodes in another way."""
+        # The library puts a space before a text by itself; it takes that away from a lone one.
+        words = [w for w in words if w != SPACE]
+        skip = int(self.drops_space)
+        wanted = self.library.encode([w[skip:].replace(SPACE, " ") for w in words], num_threads=1)
+        got = [self.young[w] for w in words]
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        if np.array_equal(np.fromiter(map(len, wanted), np.int64, len(wanted)) * 4, sizes):
+            flat = np.fromiter(itertools.chain.from_iterable(wanted), "<i4", int(sizes.sum()) // 4)
+            if flat.tobytes() == b"".join(got):
+                return set()
+        return {w for w, a, b in zip(words, wanted, got) if np.array(a, "<i4").tobytes() != b}
 
     # --- decoding ---
 
@@ -289,14 +367,27 @@ def _texts(batch: pa.RecordBatch, column: str) -> list[str | None]:
     return batch.column(batch.schema.get_field_index(column)).to_pylist()
 
 
-def encode_documents(docs: DataFrame, model_path: str, *, check: bool = True) -> DataFrame:
+def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``_SLICE_IDS`` elements of a list column, a row at least."""
+    lengths = pc.list_value_length(batch.column(batch.schema.get_field_index(column)))
+    ends = np.cumsum(lengths.fill_null(0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + _SLICE_IDS, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
+def encode_documents(docs: DataFrame, model_path: str, *, check: str | None = "words") -> DataFrame:
     """``docs`` with ``ids`` (its text's piece ids) and ``ids_agree``; such named columns are replaced.
 
     No begin or end ids, no sampling. A null or empty text has an empty list.
-    ``ids_agree`` tells whether the library gives the same ids, and is null
-    without ``check``. Texts are taken whole; a batch is worked on in slices of
-    about a megabyte of text, a row at least. One pass, no exchange; rows that
-    repeat are encoded as often.
+    ``ids_agree`` tells whether the library gives the same ids: for each new
+    word of a batch (``check="words"``), or for all whole texts (``"texts"``);
+    it is null without a check. Texts are taken whole; a batch is worked on in
+    slices of about a megabyte of text, a row at least. One pass, no exchange;
+    rows that repeat are encoded as often.
     """
     docs = docs.drop("ids", "ids_agree")
 
@@ -305,15 +396,14 @@ def encode_documents(docs: DataFrame, model_path: str, *, check: bool = True) ->
         for batch in batches:
             for part in chunks(batch):
                 texts = _texts(part, "text")
-                encoded = own.encode_batch(texts)
+                encoded, wrong = own.encode_batch(texts, check == "words")
                 ends = np.cumsum([0, *[len(e) // 4 for e in encoded]])
                 values = pa.array(np.frombuffer(b"".join(encoded), "<i4"), pa.int32())
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-                agree = pa.nulls(len(texts), pa.bool_())
-                if check:
+                if check == "texts":
                     wanted = own.library.encode([t or "" for t in texts], num_threads=1)
-                    same = [np.array(w, "<i4").tobytes() == e for w, e in zip(wanted, encoded)]
-                    agree = pa.array(same, pa.bool_())
+                    wrong = {i for i, w in enumerate(wanted) if np.array(w, "<i4").tobytes() != encoded[i]}
+                agree = pa.array([None if check is None else i not in wrong for i in range(len(texts))], pa.bool_())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, ids, agree], names=[*part.schema.names, "ids", "ids_agree"]
                 )
@@ -326,26 +416,28 @@ def encode_documents(docs: DataFrame, model_path: str, *, check: bool = True) ->
 
 
 def decode_documents(docs: DataFrame, model_path: str, *, check: bool = True) -> DataFrame:
-    """``docs`` with ``decoded``, the text of its ``ids``, and ``text_agrees``, as ``encode_documents`` has it.
+    """``docs`` with ``decoded``, the text of its ``ids``, and ``text_agrees``; such named columns are replaced.
 
-    A null or empty list decodes to an empty text.
+    A null or empty list decodes to an empty text. ``text_agrees`` tells whether
+    the library decodes the same text, and is null without ``check``.
     """
     docs = docs.drop("decoded", "text_agrees")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model_path)
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index("ids"))
-            lists = [np.zeros(0, np.int32) if x is None else x.to_numpy() for x in (c.values for c in column)]
-            texts = [own.decode(ids) for ids in lists]
-            agree = pa.nulls(len(texts), pa.bool_())
-            if check:
-                wanted = own.library.decode([ids.tolist() for ids in lists], num_threads=1)
-                agree = pa.array([w == t for w, t in zip(wanted, texts)], pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string()), agree],
-                names=[*batch.schema.names, "decoded", "text_agrees"],
-            )
+            for part in _slices(batch, "ids"):
+                column = part.column(part.schema.get_field_index("ids"))
+                lists = [np.zeros(0, np.int32) if x is None else x.to_numpy() for x in (c.values for c in column)]
+                texts = [own.decode(ids) for ids in lists]
+                agree = pa.nulls(len(texts), pa.bool_())
+                if check:
+                    wanted = own.library.decode([ids.tolist() for ids in lists], num_threads=1)
+                    agree = pa.array([w == t for w, t in zip(wanted, texts)], pa.bool_())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(texts, pa.string()), agree],
+                    names=[*part.schema.names, "decoded", "text_agrees"],
+                )
 
     return map_batches(
         docs,

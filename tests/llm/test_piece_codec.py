@@ -38,16 +38,26 @@ def random_texts(n=600):
     return ["".join(r.choice("ab ▁\n日😀theing'.,é́") for _ in range(r.randrange(1, 200))) for _ in range(n)]
 
 
-def ids_of(encoded):
+def ids_of(found):
+    encoded, wrong = found
+    assert not wrong
     return [np.frombuffer(e, "<i4").tolist() for e in encoded]
 
 
 def test_ids_equal_the_library(own, library):
     texts = ODD + random_texts()
     want = library.encode([t or "" for t in texts])
-    assert ids_of(own.encode_batch(texts)) == want
+    assert ids_of(own.encode_batch(texts, check=True)) == want
     # From the cache.
-    assert ids_of(own.encode_batch(texts)) == want
+    assert ids_of(own.encode_batch(texts, check=True)) == want
+
+
+def test_the_check_finds_differing_words():
+    own = PieceCodec(PATH)
+    own.parts["▁cat"] = np.array([5], "<i4").tobytes()
+    encoded, wrong = own.encode_batch(["a dog", "a cat, a dog", "cat"], check=True)
+    assert wrong == {1, 2} and "▁cat" not in own.young
+    assert own.encode_batch(["a cat"], check=True)[1] == {0}
 
 
 def test_the_heap_gives_the_same_ids(library, monkeypatch):
@@ -70,10 +80,11 @@ def test_any_ids_decode_as_the_library_does(own, library):
         assert own.decode(np.array(ids, np.int32)) == library.decode(ids), ids
 
 
-def test_documents_round_trip(spark, library):
+@pytest.mark.parametrize("check", ["words", "texts"])
+def test_documents_round_trip(spark, library, check):
     rows = awkward() + [(100 + k, t) for k, t in enumerate(ODD)]
     docs = frame(spark, rows, clashes=True)
-    out = decode_documents(encode_documents(docs, PATH), PATH)
+    out = decode_documents(encode_documents(docs, PATH, check=check), PATH)
     assert out.columns == [*docs.columns, "ids", "ids_agree", "decoded", "text_agrees"]
     got = sorted((str(r.doc_id), r.text or "", tuple(r.ids), r.decoded) for r in out.collect())
     want = []
@@ -85,7 +96,7 @@ def test_documents_round_trip(spark, library):
 
 
 def test_no_check_and_no_documents(spark):
-    out = decode_documents(encode_documents(frame(spark, [(1, "a b")]), PATH, check=False), PATH, check=False)
+    out = decode_documents(encode_documents(frame(spark, [(1, "a b")]), PATH, check=None), PATH, check=False)
     row = out.head()
     assert row.decoded == "a b" and row.ids_agree is None and row.text_agrees is None
     assert decode_documents(encode_documents(frame(spark, []), PATH), PATH).count() == 0
