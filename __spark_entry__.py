@@ -137,7 +137,7 @@ def sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     SELECT l_suppkey, round(avg(l_quantity), 6) AS avg_quantity FROM lineitem
     WHERE year(l_shipdate) > 1998 GROUP BY l_suppkey
-    ORDER BY avg_quantity DESC NULLS LAST, l_suppkey LIMIT 1
+    ORDER BY favg(l_quantity) DESC NULLS LAST, l_suppkey LIMIT 1
     """,
 )
 def avg_since_top1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +155,7 @@ def avg_since_top1(spark: SparkSession, sf_dir: str) -> DataFrame:
     "winner_followup",
     """
     WITH winner AS (
-        SELECT l_suppkey, round(avg(l_quantity), 6) AS m FROM lineitem
+        SELECT l_suppkey, favg(l_quantity) AS m FROM lineitem
         WHERE year(l_shipdate) > 1998 GROUP BY l_suppkey
         ORDER BY m DESC NULLS LAST, l_suppkey LIMIT 1
     )
@@ -279,6 +279,18 @@ def group_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# To 17 digits the mean would depend on the order of additions, but for the exact sum.
+@_query(
+    "group_avg_exact",
+    """
+    SELECT o_custkey, round(favg(o_totalprice), 8) AS avg_price FROM orders GROUP BY o_custkey
+    """,
+)
+def group_avg_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders")
+    return op.group_avg(orders, "o_custkey", "o_totalprice", "avg_price", digits=8, exact=True)
+
+
 @_query(
     "cohort_avg",
     """
@@ -769,7 +781,7 @@ def panel_gdp_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """
     SELECT country_name, round(avg(life), 6) AS avg_healthy_life_expectancy FROM panel
     WHERE year > 1996 GROUP BY country_name
-    ORDER BY avg_healthy_life_expectancy DESC NULLS LAST, country_name LIMIT 1
+    ORDER BY favg(life) DESC NULLS LAST, country_name LIMIT 1
     """,
 )
 def panel_longest_lived(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -793,7 +805,7 @@ def panel_longest_lived_in_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     _PANEL_CTE
     + """
     , winner AS (
-        SELECT country_name, round(avg(life), 6) AS m FROM panel WHERE year > 1996
+        SELECT country_name, favg(life) AS m FROM panel WHERE year > 1996
         GROUP BY country_name ORDER BY m DESC NULLS LAST, country_name LIMIT 1)
     SELECT country_name, life AS healthy_life_expectancy, year FROM panel
     WHERE year = 1999 AND country_name IN (SELECT country_name FROM winner)

@@ -13,9 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted(column: str) -> str:
+    """``column`` as a name to look up, whatever characters it has."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def best_first(measure: str, ties: Sequence[str] = ()) -> list[Column]:
     """Arguments for ``orderBy``: best measure first, ties by ``ties``."""
-    return [F.desc_nulls_last(measure), *(F.asc_nulls_first(t) for t in ties)]
+    return [F.desc_nulls_last(quoted(measure)), *(F.asc_nulls_first(quoted(t)) for t in ties)]
 
 
 def best_first_key(df: DataFrame, measure: str) -> list[Column]:
@@ -24,7 +29,7 @@ def best_first_key(df: DataFrame, measure: str) -> list[Column]:
     They make the order usable inside an aggregate, where ``min`` of a struct
     gives the best row without a window or a sort by the measure.
     """
-    m = F.col(measure)
+    m = F.col(quoted(measure))
     dtype = df.schema[measure].dataType
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return [m.isNull(), ~F.isnan(m), -m]

@@ -10,8 +10,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from podium.functions.ordering import best_first_key
+from podium.functions.exact import exact_mean, exact_sums
+from podium.functions.ordering import best_first_key, quoted
+from podium.operators.columns import free_name
 from podium.sources.scratch import materialize
 
 
@@ -22,18 +25,28 @@ def _rounded(value: Column, digits: int | None) -> Column:
 
 
 def group_max(df: DataFrame, key: str, measure: str, name: str) -> DataFrame:
-    return df.groupBy(key).agg(F.max(measure).alias(name))
+    return df.groupBy(quoted(key)).agg(F.max(quoted(measure)).alias(name))
 
 
 def group_count(df: DataFrame, key: str, name: str = "count") -> DataFrame:
-    return df.groupBy(key).agg(F.count("*").alias(name))
+    return df.groupBy(quoted(key)).agg(F.count("*").alias(name))
 
 
 def group_avg(
-    df: DataFrame, key: str, measure: str, name: str, digits: int | None = None
+    df: DataFrame, key: str, measure: str, name: str, digits: int | None = None, *, exact: bool = False
 ) -> DataFrame:
-    """Mean of ``measure`` per key; NULLs are skipped."""
-    return df.groupBy(key).agg(_rounded(F.avg(measure), digits).alias(name))
+    """Mean of ``measure`` per key; NULLs are skipped.
+
+    With ``exact`` it is the double nearest to the exact mean of a numeric
+    measure, the same bits however the rows are dealt; without, its last digits
+    may change with the order of the additions, and ``digits`` rounds them off.
+    A decimal is summed exactly in both cases, and its mean is a decimal.
+    """
+    dtype = df.schema[measure].dataType
+    if not exact or isinstance(dtype, T.DecimalType):
+        return df.groupBy(quoted(key)).agg(_rounded(F.avg(quoted(measure)), digits).alias(name))
+    sums = exact_sums(df, {"key": F.col(quoted(key))}, F.col(quoted(measure)), dtype)
+    return sums.select(F.col("key").alias(key), _rounded(exact_mean(), digits).alias(name))
 
 
 def group_first(
@@ -53,24 +66,30 @@ def group_first(
     further aggregates over all rows of each group; with ``prune`` the pass
     that finds the groups' first values computes them too.
     """
-    lead, extra = F.col(order[0]), dict(also or {})
+    lead, extra = F.col(quoted(order[0])), dict(also or {})
     added = [column.alias(n) for n, column in extra.items()]
-    rows = df.select(F.col(key).alias("k"), F.struct(*order, F.col(value).alias("value")).alias("r"))
+    own_key, own_lead, best = (free_name([*extra, key, name], n) for n in ("_key", "_lead", "_best"))
+    # Numbered, as two columns of the order may differ only in what a struct's fields cannot.
+    row = F.struct(
+        *[F.col(quoted(c)).alias(f"o{i}") for i, c in enumerate(order)], F.col(quoted(value)).alias("value")
+    )
+    extras = [F.col(quoted(n)) for n in extra]
     if not prune:
-        best = df.groupBy(key).agg(
-            F.min(F.struct(*order, F.col(value).alias("value"))).alias("_best"), *added
-        )
-        return best.select(key, F.col("_best.value").alias(name), *extra)
+        found = df.groupBy(F.col(quoted(key)).alias(own_key)).agg(F.min(row).alias(best), *added)
+        return found.select(F.col(own_key).alias(key), F.col(f"{best}.value").alias(name), *extras)
     first = F.when(F.max(lead.isNull()), None).otherwise(F.min(lead))
-    starts = materialize(df.groupBy(F.col(key).alias("s")).agg(first.alias("lead"), *added), "starts", true_size=True)
-    rows = rows.join(
-        starts.select("s", "lead"),
-        F.col("k").eqNullSafe(F.col("s")) & F.col(f"r.{order[0]}").eqNullSafe(F.col("lead")),
+    starts = df.groupBy(F.col(quoted(key)).alias(own_key)).agg(first.alias(own_lead), *added)
+    starts = materialize(starts, "starts", true_size=True)
+    rows = df.select(F.col(quoted(key)).alias("k"), row.alias("r")).join(
+        starts.select(own_key, own_lead),
+        F.col("k").eqNullSafe(F.col(own_key)) & F.col("r.o0").eqNullSafe(F.col(own_lead)),
         "left_semi",
     )
-    best = rows.groupBy("k").agg(F.min("r").alias("best"))
-    found = best.join(starts, F.col("k").eqNullSafe(F.col("s"))) if extra else best
-    return found.select(F.col("k").alias(key), F.col("best.value").alias(name), *extra)
+    k, r = free_name(starts.columns, "k"), free_name(starts.columns, "r")
+    found = rows.groupBy(F.col("k").alias(k)).agg(F.min("r").alias(r))
+    if extra:
+        found = found.join(starts, F.col(k).eqNullSafe(F.col(own_key)))
+    return found.select(F.col(k).alias(key), F.col(f"{r}.value").alias(name), *extras)
 
 
 def argmax_per_group(
@@ -88,7 +107,9 @@ def argmax_per_group(
     """
     keys = [k.alias(f"_{i}") for i, k in enumerate(best_first_key(df, measure))]
     if prune:
-        rows = df.select(F.col(group).alias("g"), F.col(entity).alias("e"), F.col(measure).alias("m"))
+        rows = df.select(
+            F.col(quoted(group)).alias("g"), F.col(quoted(entity)).alias("e"), F.col(quoted(measure)).alias("m")
+        )
         best = rows.groupBy(F.col("g").alias("bg")).agg(F.max("m").alias("best"))
         best = materialize(best, "group-maxima", true_size=True)
         reached = F.col("g").eqNullSafe(F.col("bg")) & F.col("m").eqNullSafe(F.col("best"))
@@ -97,14 +118,14 @@ def argmax_per_group(
         return firsts.select(
             F.col("g").alias(group), F.col("e").alias(entity), F.col("m").alias(measure)
         )
-    best = F.min(F.struct(*keys, F.col(entity).alias("_e"), F.col(measure).alias("_m")))
+    best = F.min(F.struct(*keys, F.col(quoted(entity)).alias("_e"), F.col(quoted(measure)).alias("_m")))
     return (
-        df.groupBy(group)
-        .agg(best.alias("_best"))
+        df.groupBy(F.col(quoted(group)).alias("g"))
+        .agg(best.alias("best"))
         .select(
-            group,
-            F.col("_best._e").alias(entity),
-            F.col("_best._m").alias(measure),
+            F.col("g").alias(group),
+            F.col("best._e").alias(entity),
+            F.col("best._m").alias(measure),
         )
     )
 
@@ -114,7 +135,7 @@ def overall_avg(
 ) -> DataFrame:
     """One row: the mean of ``measure`` over the rows of one cohort, or over all."""
     rows = df if where is None else df.where(where)
-    return rows.agg(_rounded(F.avg(measure), digits).alias(name))
+    return rows.agg(_rounded(F.avg(quoted(measure)), digits).alias(name))
 
 
 def pct_change(
@@ -134,8 +155,8 @@ def pct_change(
     measure it is the change of the mean logarithm.
     """
     means = df.where(previous | current).agg(
-        F.avg(F.when(previous, F.col(measure))).alias("_prev"),
-        F.avg(F.when(current, F.col(measure))).alias("_curr"),
+        F.avg(F.when(previous, F.col(quoted(measure)))).alias("_prev"),
+        F.avg(F.when(current, F.col(quoted(measure)))).alias("_curr"),
     )
     pct = F.try_divide(F.col("_curr") - F.col("_prev"), F.col("_prev")) * 100
     direction = (

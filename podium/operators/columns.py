@@ -8,10 +8,12 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from podium.functions.ordering import quoted
+
 
 def project(df: DataFrame, *columns: str) -> DataFrame:
     """Keep the named columns; a missing one raises."""
-    return df.select(*(F.col(f"`{c}`") for c in columns))
+    return df.select(*(F.col(quoted(c)) for c in columns))
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:

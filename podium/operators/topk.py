@@ -8,8 +8,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from podium.functions.ordering import best_first
+from podium.functions.exact import exact_mean, exact_order, exact_sums
+from podium.functions.ordering import best_first, quoted
 from podium.operators.aggregate import group_avg
 
 
@@ -41,8 +43,25 @@ def filtered_top1(
 def best_mean(
     df: DataFrame, where: Column, key: str, measure: str, name: str, digits: int | None = None
 ) -> DataFrame:
-    """(key, name) of the key with the largest mean over the rows of ``where``."""
-    return top1(group_avg(df.where(where), key, measure, name, digits), name, [key])
+    """(key, name) of the key with the largest mean over the rows of ``where``.
+
+    Means are compared exactly, also where they are one double or round to one
+    at ``digits``, which concerns the output alone; equal means go to the
+    lowest key. So the winner does not depend on the order of the rows. The
+    means of decimals are compared as Spark gives them.
+    """
+    dtype = df.schema[measure].dataType
+    rows = df.where(where)
+    if isinstance(dtype, T.DecimalType):
+        means = group_avg(rows, key, measure, "mean").select(
+            F.col(quoted(key)).alias("key"), "mean", F.col("mean").alias("place")
+        )
+    else:
+        sums = exact_sums(rows, {"key": F.col(quoted(key))}, F.col(quoted(measure)), dtype)
+        means = sums.select("key", exact_mean().alias("mean"), exact_order().alias("place"))
+    best = means.orderBy(*best_first("place", ["key"])).limit(1)
+    mean = F.col("mean") if digits is None else F.round("mean", digits)
+    return best.select(F.col("key").alias(key), mean.alias(name))
 
 
 def winner_rows(df: DataFrame, winner: DataFrame, key: str, where: Column) -> DataFrame:
@@ -51,9 +70,9 @@ def winner_rows(df: DataFrame, winner: DataFrame, key: str, where: Column) -> Da
     The winner is found when this is called, and its key becomes a filter, which
     reaches the scan. A ``winner`` of more than one row raises.
     """
-    found = winner.select(key).head(2)
+    found = winner.select(quoted(key)).head(2)
     if len(found) > 1:
         raise ValueError("winner_rows takes the one row of a top-1")
     if not found:
         return df.where(F.lit(False))
-    return df.where(where & F.col(key).eqNullSafe(F.lit(found[0][0])))
+    return df.where(where & F.col(quoted(key)).eqNullSafe(F.lit(found[0][0])))

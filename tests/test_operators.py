@@ -436,3 +436,28 @@ def test_scratch_scope_deletes_its_folder(spark):
     assert not os.path.exists(folder.removeprefix("file:"))
     with pytest.raises(ValueError, match="scratch"):
         src.remove(spark, "/somewhere/else")
+
+
+@pytest.mark.parametrize("prune", [True, False])
+def test_group_first_with_any_names(spark, prune):
+    df = spark.createDataFrame([("a", 2, 1.0), ("a", 1, 2.0), ("b", 3, 3.0)], "k string, `t.x` int, m double")
+    also = {n: F.max("m") for n in ("lead", "s", "best", "k", "r", "_key", "_lead", "o0")}
+    got = op.group_first(df.withColumnRenamed("k", "g.h"), "g.h", "m", ["t.x"], "value", prune=prune, also=also)
+    assert got.columns == ["g.h", "value", *also]
+    assert sorted(rows(got)) == [("a", 2.0, *[2.0] * 8), ("b", 3.0, *[3.0] * 8)]
+
+
+def test_names_with_dots_and_spaces_everywhere(spark):
+    df = spark.createDataFrame([("x", 1.0, 3), ("x", 2.0, 4), ("y", 5.0, 1)], "`a.b` string, `m m` double, `t.t` int")
+    assert sorted(rows(op.group_max(df, "a.b", "m m", "o.o"))) == [("x", 2.0), ("y", 5.0)]
+    assert sorted(rows(op.group_count(df, "a.b", "n.n"))) == [("x", 2), ("y", 1)]
+    assert sorted(rows(op.group_avg(df, "a.b", "m m", "o.o"))) == [("x", 1.5), ("y", 5.0)]
+    for prune in (True, False):
+        got = op.argmax_per_group(df, "a.b", "t.t", "m m", prune=prune)
+        assert got.columns == ["a.b", "t.t", "m m"] and sorted(rows(got)) == [("x", 4, 2.0), ("y", 1, 5.0)]
+    assert rows(op.top_k(df, "m m", 2, ["t.t"])) == [("y", 5.0, 1), ("x", 2.0, 4)]
+    assert rows(op.best_mean(df, F.col("`t.t`") > 0, "a.b", "m m", "o")) == [("y", 5.0)]
+    assert rows(op.overall_avg(df, "m m", "o.o")) == [(8 / 3,)]
+    change = op.pct_change(df, "m m", F.col("`t.t`") == 1, F.col("`t.t`") == 4).head()
+    assert change.direction == "down" and change.pct_change == -60.0
+    assert rows(op.winner_rows(df, op.top1(df, "m m"), "a.b", F.lit(True))) == [("y", 5.0, 1)]
