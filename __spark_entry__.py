@@ -109,6 +109,20 @@ def topk_by_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.top_k(orders, "o_totalprice", 10, ["o_orderkey"])
 
 
+@_query(
+    "topk_large",
+    """
+    SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+    ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey, l_linenumber
+    LIMIT (SELECT count(*) // 10 FROM lineitem)
+    """,
+)
+def topk_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["l_orderkey", "l_linenumber", "l_extendedprice"]
+    lines = op.project(_table(spark, sf_dir, "lineitem"), *columns)
+    return op.top_rows(lines, "l_extendedprice", lines.count() // 10, columns[:2], rows_per_range=10_000)
+
+
 @_query(
     "filter_eq_top1",
     """
@@ -362,6 +376,20 @@ def rank_in_partition_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Strings, and partitions by date: nothing but the order of the types is used.
+@_query(
+    "rank_in_partition_text",
+    """
+    SELECT o_orderkey, o_orderdate, o_orderpriority,
+           rank() OVER (PARTITION BY o_orderdate ORDER BY o_orderpriority DESC NULLS LAST) AS ranking
+    FROM orders
+    """,
+)
+def rank_in_partition_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = op.project(_table(spark, sf_dir, "orders"), "o_orderkey", "o_orderdate", "o_orderpriority")
+    return op.rank_in_partition(orders, "o_orderdate", "o_orderpriority", rows_per_task=10_000)
+
+
 @_query(
     "first_place_counts",
     """

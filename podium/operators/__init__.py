@@ -31,6 +31,7 @@ from podium.operators.topk import (
     sort_desc,
     top1,
     top_k,
+    top_rows,
     winner_rows,
 )
 
@@ -63,5 +64,6 @@ __all__ = [
     "target_partitions",
     "top1",
     "top_k",
+    "top_rows",
     "winner_rows",
 ]

@@ -7,24 +7,18 @@ exact result (``rank``: ties share a rank, gaps follow, NULL last) without it.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from podium.functions.ordering import quoted
 from podium.operators.columns import free_name
+from podium.operators.ranges import Ranges, free_names, range_count, splitter_value, value_ranges
 from podium.operators.topk import sort_desc, top1
 from podium.sources.scratch import materialize
 
-# A value that this share of all rows has is joined by broadcast: at most as many exist.
-_SHARE = 1000
-
-
-def _quoted(column: str) -> str:
-    return f"`{column}`"
-
 
 def rank_in_partition(
     df: DataFrame,
@@ -36,61 +30,59 @@ def rank_in_partition(
 ) -> DataFrame:
     """``df`` plus its rank by ``measure``, largest first, inside ``partition``.
 
-    A column called ``name`` is replaced, as ``withColumn`` does. A value's rank
-    is 1 + the rows of its partition with a better value. So the rows are
-    counted by (partition, value) first; these counts, one for each distinct
-    value whatever its frequency, are dealt to ranges of about
-    ``rows_per_task`` in their own type and order, and summed up: within each
-    range by a window, and over the ranges before it. The ranks are then joined
-    to the rows. A value with a thousandth of all rows or more is joined by
-    broadcast (there are at most a thousand), so no key of the other join is
-    hot. The plan, the schema and the result are the same at every size.
-
-    Needs jobs of its own; ``df`` must give the same rows each time it is read.
+    Both columns may be of any type that Spark can order: numbers, dates,
+    timestamps, strings, booleans, structs. A column called ``name`` is
+    replaced, as ``withColumn`` does.
+
+    The rows are dealt once, to ranges of (partition, measure) of about
+    ``rows_per_task`` rows, and ranked there. A partition that goes on in the
+    ranges behind adds these ranges' rows of it, which are all better: prefix
+    sums over a row for each such range, at most as many as ranges, hence the
+    broadcast. A value that fills ranges by itself has one of its own, dealt to
+    several tasks; its rows share their rank.
+
+    Needs jobs of its own (row count, sample); ``df`` must give the same rows
+    each time it is read.
     """
-    if not isinstance(df.schema[measure].dataType, T.NumericType):
-        raise TypeError(f"measure {measure!r} must be numeric")
-    keys = df.select(F.col(_quoted(partition)).alias("p"), F.col(_quoted(measure)).alias("v"))
-    counts = materialize(keys.groupBy("p", "v").agg(F.count("*").alias("n")), "value-counts")
-    n_values, n_rows = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).head()
-    best_first = F.desc_nulls_last("v")
-    ranges = max(1, math.ceil(n_values / rows_per_task))
-    dealt = counts.repartitionByRange(ranges, F.asc("p"), best_first)
-    dealt = materialize(dealt.withColumn("range", F.spark_partition_id()), "value-ranges")
-    # A row for each partition and range: few.
-    totals = dealt.groupBy("p", "range").agg(F.sum("n").alias("total"))
-    ahead = Window.partitionBy("p").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("p", "range", F.coalesce(F.sum("total").over(ahead), F.lit(0)).alias("base"))
-    bases = bases.select(F.col("p").alias("bp"), F.col("range").alias("br"), "base")
-    inside = Window.partitionBy("p", "range").orderBy(best_first)
-    better = F.coalesce(
-        F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    ranks = dealt.withColumn("inside", better).join(
-        bases, F.col("p").eqNullSafe(F.col("bp")) & (F.col("range") == F.col("br"))
+    rows = df.drop(name) if name in df.columns and name not in (partition, measure) else df
+    n_rows = df.count()
+    ranges = value_ranges(df, [partition, measure], n_rows, range_count(df, n_rows, rows_per_task))
+    number, part, inside, own, at, ahead = free_names(
+        df.withColumn(name, F.lit(0)), "_range", "_part", "_inside", "_own", "_at", "_ahead"
     )
-    own = {c: free_name([*df.columns, name], f"_{c}") for c in ("p", "v", "n", "rank")}
-    ranks = ranks.select(
-        F.col("p").alias(own["p"]),
-        F.col("v").alias(own["v"]),
-        F.col("n").alias(own["n"]),
-        (F.col("base") + F.col("inside") + 1).alias(own["rank"]),
-    )
-    ranks = materialize(ranks, "value-ranks", true_size=True)
-
-    same = F.col(_quoted(partition)).eqNullSafe(F.col(own["p"])) & F.col(
-        _quoted(measure)
-    ).eqNullSafe(F.col(own["v"]))
-    is_large = F.col(own["n"]) * _SHARE >= max(n_rows, _SHARE)
-    large = F.broadcast(ranks.where(is_large))
-    rows = df.join(large, same).unionByName(
-        df.join(large, same, "left_anti").join(ranks.where(~is_large), same)
-    )
-    columns = [_quoted(c) for c in df.columns]
-    place = F.col(own["rank"]).alias(name)
+    p, best_first = F.col(quoted(partition)), F.desc_nulls_last(quoted(measure))
+    dealt = ranges.deal(rows, number, part)
+    ranked = dealt.withColumn(inside, F.rank().over(Window.partitionBy(part, p).orderBy(best_first)))
+    place = F.col(inside).cast("bigint")
+    if ranges.count > 1:
+        crossing = _crossing(df, partition, ranges).select(
+            F.col("p").alias(own), F.col("range").alias(at), F.col("ahead").alias(ahead)
+        )
+        same = p.eqNullSafe(F.col(own)) & (F.col(number) == F.col(at))
+        ranked = ranked.join(F.broadcast(crossing), same, "left")
+        place = place + F.coalesce(F.col(ahead), F.lit(0))
+    columns = [F.col(quoted(c)) for c in df.columns]
     if name in df.columns:
-        return rows.select(*[place if c == _quoted(name) else F.col(c) for c in columns])
-    return rows.select(*columns, place)
+        return ranked.select(*[place.alias(name) if c == name else F.col(quoted(c)) for c in df.columns])
+    return ranked.select(*columns, place.alias(name))
+
+
+def _crossing(df: DataFrame, partition: str, ranges: Ranges) -> DataFrame:
+    """(p, range, ahead): rows of partition ``p`` in the ranges behind each range, where there are any.
+
+    Only partitions of a splitter can go on in another range, so the others are
+    not counted where a splitter surely holds the partition's own value.
+    """
+    kind = df.schema[partition].dataType
+    p = F.col(quoted(partition))
+    found = df.select(p.alias("p"), ranges.find().alias("range"))
+    if isinstance(kind, (T.NumericType, T.StringType, T.DateType, T.BooleanType)):
+        edges = df.sparkSession.range(1).select(F.explode(ranges.splitters).alias("s"))
+        edges = edges.select(F.col("s.c0").alias("e")).distinct()
+        found = found.join(F.broadcast(edges), splitter_value(F.col("p"), kind).eqNullSafe(F.col("e")), "left_semi")
+    counts = found.groupBy("p", "range").agg(F.count("*").alias("n"))
+    behind = Window.partitionBy("p").orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("ahead", F.sum("n").over(behind)).where("ahead > 0")
 
 
 def first_place_counts(
@@ -108,9 +100,9 @@ def first_place_counts(
     leaves a row for each task and entity.
     """
     keys = df.select(
-        F.col(_quoted(partition)).alias("p"),
-        F.col(_quoted(measure)).alias("v"),
-        F.col(_quoted(entity)).alias("e"),
+        F.col(quoted(partition)).alias("p"),
+        F.col(quoted(measure)).alias("v"),
+        F.col(quoted(entity)).alias("e"),
     )
     best = materialize(
         keys.groupBy(F.col("p").alias("bp")).agg(F.max("v").alias("best")), "maxima", true_size=True
@@ -142,12 +134,12 @@ def rank_of_argmax(
     value, when the row's own is NULL), so two parallel passes replace the
     window. The joined side is the one row of a top-1, hence the broadcast.
     """
-    rows = df.where(F.col(_quoted(partition)).eqNullSafe(F.lit(value)))
+    rows = df.where(F.col(quoted(partition)).eqNullSafe(F.lit(value)))
     own, of, v, peer = (free_name(keys, c) for c in ("_own", "_of", "_v", "_peer"))
     leader = top1(rows, pick_by, keys).select(
-        F.col(_quoted(rank_by)).alias(own), F.col(_quoted(partition)).alias(of), *keys
+        F.col(quoted(rank_by)).alias(own), F.col(quoted(partition)).alias(of), *keys
     )
-    peers = rows.select(F.col(_quoted(rank_by)).alias(v), F.col(_quoted(partition)).alias(peer))
+    peers = rows.select(F.col(quoted(rank_by)).alias(v), F.col(quoted(partition)).alias(peer))
     ahead = (F.col(v) > F.col(own)) | (F.col(own).isNull() & F.col(v).isNotNull())
     return (
         peers.join(F.broadcast(leader), F.col(peer).eqNullSafe(F.col(of)))

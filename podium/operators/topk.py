@@ -1,10 +1,11 @@
 """Sorts and top-k. ``orderBy`` + ``limit`` plans as TakeOrderedAndProject: each
-task keeps its own best k rows, and only those are merged.
+task keeps its own best k rows, and only those are merged. ``top_rows`` selects
+a large k without a merge.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from pyspark.sql import types as T
 from podium.functions.exact import exact_mean, exact_order, exact_sums
 from podium.functions.ordering import best_first, quoted
 from podium.operators.aggregate import group_avg
+from podium.operators.columns import free_name
+from podium.operators.ranges import range_count, value_ranges
 
 
 def sort_desc(df: DataFrame, measure: str, ties: Sequence[str] = ()) -> DataFrame:
@@ -23,12 +26,85 @@ def sort_desc(df: DataFrame, measure: str, ties: Sequence[str] = ()) -> DataFram
 
 
 def top_k(df: DataFrame, measure: str, k: int, ties: Sequence[str] = ()) -> DataFrame:
-    """The best ``k`` rows. They are merged in one task: for a ``k`` of many millions
-    take the first rows of ``sort_desc`` instead.
-    """
+    """The best ``k`` rows, in order. They are merged in one task: for a large ``k`` see ``top_rows``."""
     return df.orderBy(*best_first(measure, ties)).limit(k)
 
 
+def top_rows(
+    df: DataFrame, measure: str, k: int, ties: Sequence[str] = (), *, rows_per_range: int = 1_000_000
+) -> DataFrame:
+    """The best ``k`` rows of ``df`` for a ``k`` of any size, in no order (``sort_desc`` gives one).
+
+    The measure's ranges are counted, best first, up to the one in which the
+    k-th row lies. The rows of better ranges are taken as they are; no row is
+    exchanged for that. Of the k-th row's range, of about ``rows_per_range``
+    rows, the best ones are found as in ``top_k``. Where that range holds a
+    single value, the same is done with the first of ``ties``, and so on; of
+    rows that are equal in all of them, each partition gives its first ones,
+    up to the number that is missing.
+
+    All columns may be of any type that Spark can order. Needs jobs of its own,
+    a count for each column in the order at most; ``df`` must give the same
+    rows, in the same partitions, each time it is read.
+    """
+    if k <= 0:
+        return df.limit(0)
+    order = [(measure, True), *((t, False) for t in ties)]
+    number = free_name(df.columns, "_range")
+    n_rows = df.count()
+    if n_rows <= k:
+        return df
+    taken: DataFrame | None = None
+    rows = df
+    while True:
+        column, descending = order[0]
+        ranges = value_ranges(rows, [column], n_rows, range_count(rows, n_rows, rows_per_range))
+        found = rows.withColumn(number, ranges.find())
+        counts = dict(found.groupBy(number).agg(F.count("*")).collect())
+        in_order = range(ranges.count - 1, -1, -1) if descending else range(ranges.count)
+        edge, before = _edge(counts, in_order, k)
+        better = F.col(number) > edge if descending else F.col(number) < edge
+        whole = found.where(better).drop(number)
+        taken = whole if taken is None else taken.unionByName(whole)
+        rows, k, n_rows = found.where(F.col(number) == edge).drop(number), k - before, counts[edge]
+        if k == n_rows:
+            return taken.unionByName(rows)
+        if not ranges.is_single[edge]:
+            (first, down), *rest = order
+            keys = [F.desc_nulls_last(quoted(first)) if down else F.asc_nulls_first(quoted(first))]
+            keys += [F.asc_nulls_first(quoted(t)) for t, _ in rest]
+            return taken.unionByName(rows.orderBy(*keys).limit(k))
+        order = order[1:]
+        if not order:
+            return taken.unionByName(_some(rows, k))
+
+
+def _edge(counts: dict[int, int], in_order: Iterable[int], k: int) -> tuple[int, int]:
+    """The range in which the ``k``-th row lies, and the rows in the ranges before it."""
+    before = 0
+    for r in in_order:
+        if before + counts.get(r, 0) >= k:
+            return r, before
+        before += counts.get(r, 0)
+    raise ValueError("fewer rows than counted: the table must give the same rows each time it is read")
+
+
+def _some(rows: DataFrame, k: int) -> DataFrame:
+    """``k`` rows of ``rows``: the first ones of each partition, as many as are missing. No exchange."""
+    pid, place = free_name(rows.columns, "_pid"), free_name(rows.columns, "_place")
+    sizes = rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+    quota, left = {}, k
+    for p, n in sorted(sizes):
+        quota[p] = min(n, left)
+        left -= quota[p]
+    numbered = rows.withColumns(
+        {pid: F.spark_partition_id(), place: F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}
+    )
+    most = F.split(F.lit(",".join(str(quota.get(p, 0)) for p in range(max(quota) + 1))), ",").cast("array<bigint>")
+    fits = F.col(place) < F.coalesce(F.get(most, F.col(pid)), F.lit(0))
+    return numbered.where(fits).drop(pid, place)
+
+
 def top1(df: DataFrame, measure: str, ties: Sequence[str] = ()) -> DataFrame:
     return top_k(df, measure, 1, ties)
 

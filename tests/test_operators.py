@@ -95,14 +95,12 @@ def test_rank_of_wide_types(spark):
         assert {r.id: r.ranking for r in ranked.collect()} == want
 
 
-def test_rank_in_partition_without_broadcast(spark):
-    """Cells too large to broadcast: the same result from shuffled joins."""
+def test_ranks_need_no_join_threshold(spark):
     data = hot_data(600)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = spark.createDataFrame(data, SCHEMA)
         ranked = op.rank_in_partition(df, "p", "m", rows_per_task=10)
-        assert "SortMergeJoin" in ranked._jdf.queryExecution().toString()
         assert {r.id: r.ranking for r in ranked.collect()} == brute_ranks(data)
         firsts = op.first_place_counts(df, "p", "m", "id")
         assert firsts.count() == sum(r == 1 for r in brute_ranks(data).values())
@@ -112,6 +110,73 @@ def test_rank_in_partition_without_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("rows_per_task", [8, 10**6])
+def test_rank_exchanges_rows_once(spark, rows_per_task):
+    df = spark.createDataFrame(hot_data(600), SCHEMA).repartition(4)
+    text = op.rank_in_partition(df, "p", "m", rows_per_task=rows_per_task)._jdf.queryExecution().executedPlan().toString()
+    rows_side = [line for line in text.split("\n") if "Exchange" in line and "Broadcast" not in line]
+    # Of the rows: the exchange they come from, and one more. The others count by partition and range.
+    assert sum("passthrough" in line or "SinglePartition" in line for line in rows_side) == 1
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+
+
+@pytest.mark.parametrize(
+    "kind", ["int", "string", "date", "timestamp", "timestamp_ntz", "boolean", "decimal(20,3)", "binary", "float", "struct<a:int,b:string>"]
+)
+def test_ranks_and_top_rows_of_any_type(spark, kind):
+    """A third of all rows hold one value, a third one partition; ranks and top rows as Spark's own."""
+    rng = random.Random(5)
+    data = []
+    for i in range(900):
+        pick = rng.random()
+        v = None if pick < 0.05 else 77 if pick < 0.4 else rng.randrange(400)
+        data.append((i, rng.choice([1, 1, 2, None, 3 + i % 60]), v))
+    df = spark.createDataFrame(data, "id int, p int, v int").repartition(5)
+    of = {
+        "int": "{0}", "string": "concat(repeat('prefix', 50), lpad({0}, 4, '0'), 'é')", "date": "date_add(date'1990-01-01', {0})",
+        "timestamp": "timestamp_micros({0} * 1001L + 999)", "timestamp_ntz": "cast(timestamp_micros({0} * 7L) as timestamp_ntz)",
+        "boolean": "{0} > 100", "decimal(20,3)": "cast({0} * 1.001 as decimal(20,3))", "binary": "cast(lpad({0}, 4, '0') as binary)",
+        "float": "cast({0} / 3 as float)", "struct<a:int,b:string>": "if({0} is null, null, named_struct('a', {0} div 10, 'b', cast({0} as string)))",
+    }[kind]
+    df = df.selectExpr("id", f"{of.format('p')} AS p", f"{of.format('v')} AS m")
+    want = df.selectExpr("id", "rank() OVER (PARTITION BY p ORDER BY m DESC NULLS LAST) AS r")
+    want = {r.id: r.r for r in want.collect()}
+    for rows_per_task in (12,):
+        ranked = op.rank_in_partition(df, "p", "m", rows_per_task=rows_per_task)
+        assert {r.id: r.ranking for r in ranked.collect()} == want
+    in_order = [r.id for r in df.orderBy(F.desc_nulls_last("m"), "id").collect()]
+    for k in (1, 300, 899):
+        top = op.top_rows(df, "m", k, ["id"], rows_per_range=20)
+        assert top.columns == df.columns and sorted(r.id for r in top.collect()) == sorted(in_order[:k])
+
+
+def test_top_rows_of_equal_rows(spark):
+    data = [(i, 5.0 if i % 3 else float(i % 50), "same") for i in range(1200)]
+    df = spark.createDataFrame(data, "id bigint, m double, _range string").repartition(7)
+    for k in (0, 30, 500, 1100):
+        got = [r.m for r in op.top_rows(df, "m", k, ["_range"], rows_per_range=10).collect()]
+        assert sorted(got) == sorted(sorted((r[1] for r in data), reverse=True)[:k])
+    same = spark.range(1000).selectExpr("1 AS m").repartition(6)
+    assert op.top_rows(same, "m", 333, rows_per_range=5).count() == 333
+    assert op.top_rows(same.limit(0), "m", 3).count() == 0
+
+
+def test_top_rows_exchange_no_rows(spark):
+    df = spark.range(20_000).selectExpr("id", "hash(id) AS m")
+    text = op.top_rows(df, "m", 2000, ["id"], rows_per_range=100)._jdf.queryExecution().executedPlan().toString()
+    # The rows within the last range are merged; the others stay where they are.
+    assert "Exchange" not in text and text.count("TakeOrderedAndProject") == 1
+
+
+def test_hot_values_are_dealt_to_several_tasks(spark):
+    from podium.operators.ranges import value_ranges
+
+    df = spark.range(0, 9000, 1, 12).selectExpr("if(id % 3 = 0, 5, id % 500) AS v", "'p' AS p")
+    ranges = value_ranges(df, ["p", "v"], 9000, 30)
+    sizes = [r["n"] for r in ranges.deal(df, "r", "q").groupBy("q").agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 9000 / 30 * 4 and max(ranges.parts) >= 5
+
+
 def test_rank_of_integers_beyond_double_precision(spark):
     big = 2**60
     data = [(i, "p", big + i % 40) for i in range(200)]
@@ -128,10 +193,10 @@ def test_rank_of_empty_and_of_all_null(spark):
     assert {r.ranking for r in ranks.collect()} == {1}
 
 
-def test_rank_needs_a_numeric_measure(spark):
-    df = spark.createDataFrame([(i, "p", "x") for i in range(9)], "id int, p string, m string")
-    with pytest.raises(TypeError):
-        op.rank_in_partition(df, "p", "m", rows_per_task=2)
+def test_rank_of_a_map_raises(spark):
+    df = spark.range(9).selectExpr("id", "'p' AS p", "map(id, 1) AS m")
+    with pytest.raises(Exception, match="(?i)order|sort"):
+        op.rank_in_partition(df, "p", "m", rows_per_task=2).collect()
 
 
 def test_first_place_counts_equals_brute_force(spark):

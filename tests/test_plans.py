@@ -53,10 +53,13 @@ def test_few_large_partitions_meet_no_window(spark, name):
     assert "Window" not in plan(spark, name)
 
 
-@pytest.mark.parametrize("name", ["rank_in_partition", "rank_in_partition_cells"])
-def test_rank_joins_large_values_by_broadcast_and_needs_no_row_window(spark, name):
+@pytest.mark.parametrize("name", ["rank_in_partition_text", "rank_in_partition_cells"])
+def test_rank_deals_rows_once_and_joins_offsets_by_broadcast(spark, name):
     text = plan(spark, name)
-    assert "BroadcastHashJoin" in text and "Window" not in text
+    assert text.count("passthrough") == 1 and "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+    # Nothing but the dealt rows is below the ranking window.
+    window = text[text.index("Window [rank") :].split("\n")
+    assert "Sort" in window[1] and "passthrough" in window[2]
 
 
 @pytest.mark.parametrize(
