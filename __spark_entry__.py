@@ -570,7 +570,7 @@ def results_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT g.rows_per_partition, count(l_orderkey) AS n_rows,
            greatest(CAST(ceil(count(l_orderkey) / CAST(g.rows_per_partition AS DOUBLE)) AS BIGINT), 1)
                AS n_partitions,
-           true AS bound_held
+           least(g.rows_per_partition, count(l_orderkey)) AS largest
     FROM (VALUES (CAST(10000 AS BIGINT)), (CAST(1000000000000 AS BIGINT))) g(rows_per_partition)
     LEFT JOIN lineitem ON true GROUP BY g.rows_per_partition
     """,
@@ -587,15 +587,33 @@ def repartition_by_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(bound).cast("bigint").alias("rows_per_partition"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
             F.greatest(F.count("*"), F.lit(1)).alias("n_partitions"),
-            # Rows that are dealt out one by one: one more for each partition they come from.
-            F.coalesce(F.max("n") <= bound + 64, F.lit(True)).alias("bound_held"),
+            # All partitions but the last are full.
+            F.coalesce(F.max("n"), F.lit(0)).alias("largest"),
         )
 
-    # A growing case, and one that merges all partitions into one.
+    # A case that deals rows, and one that merges all partitions into one.
     shrinking = sizes(lines.repartition(16), 10**12)
     return sizes(lines, 10_000).unionByName(shrinking)
 
 
+# Of a reduced number of partitions, none is exchanged: neighbours are merged.
+@_query(
+    "merge_partitions",
+    """
+    SELECT count(*) AS n_rows, CAST(40 AS BIGINT) AS before,
+           CAST(ceil(count(*) / 100000.0) AS BIGINT) AS after FROM lineitem
+    """,
+)
+def merge_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spread = _table(spark, sf_dir, "lineitem").repartition(40)
+    merged = op.repartition_by_rows(spread, merge="always")
+    return merged.agg(
+        F.count("*").alias("n_rows"),
+        F.lit(op.partition_count(spread)).cast("bigint").alias("before"),
+        F.lit(op.partition_count(merged)).cast("bigint").alias("after"),
+    )
+
+
 @_query(
     "persist_reuse",
     """
@@ -616,6 +634,26 @@ def persist_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
 
+@_query(
+    "release_all",
+    """
+    SELECT 'orders' AS cached, count(*) AS n_rows, true AS held_before, false AS held_after FROM orders
+    UNION ALL
+    SELECT 'customer', count(*), true, false FROM customer
+    """,
+)
+def release_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {name: _table(spark, sf_dir, name) for name in ("orders", "customer")}
+    counts, before = {}, {}
+    for name, df in tables.items():
+        df.cache()
+        counts[name] = df.count()
+        before[name] = df.storageLevel.useMemory
+    op.release_all(spark)
+    rows = [(name, counts[name], before[name], df.storageLevel.useMemory) for name, df in tables.items()]
+    return spark.createDataFrame(rows, "cached string, n_rows bigint, held_before boolean, held_after boolean")
+
+
 # --- the panel analysis ------------------------------------------------------
 # Entities are suppliers, their years come from the lines they shipped: the score
 # is the largest price, the GDP the logarithm of the year's sales, the life

@@ -17,7 +17,9 @@ from podium.operators.columns import (
     rename,
 )
 from podium.operators.layout import (
+    filled_partition_count,
     partition_count,
+    partition_sizes,
     persisted,
     release,
     release_all,
@@ -41,6 +43,7 @@ __all__ = [
     "argmax_per_group",
     "best_mean",
     "filtered_top1",
+    "filled_partition_count",
     "first_place_counts",
     "first_value",
     "free_name",
@@ -51,6 +54,7 @@ __all__ = [
     "normalize_columns",
     "overall_avg",
     "partition_count",
+    "partition_sizes",
     "pct_change",
     "persisted",
     "project",

@@ -11,8 +11,9 @@ results built on them are exact, whatever the sample was.
 from __future__ import annotations
 
 import itertools
+import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -52,24 +53,29 @@ class Ranges:
     def is_single(self) -> tuple[bool, ...]:
         return tuple(n > 1 for n in self.parts)
 
+    def _own_key(self) -> Column:
+        return _key([F.col(quoted(c)) for c in self.columns], F.lit(0), F.lit(_LAST))
+
     def find(self) -> Column:
-        """The range of a row: how many splitters its key has reached."""
+        """The range of a row: how many splitters its key has reached, by halving steps."""
         if self.splitters is None:
             return F.lit(0)
-        key = _key([F.col(quoted(c)) for c in self.columns], F.lit(0), F.lit(_LAST))
-        splitters = self.splitters
+        key, splitters = self._own_key(), self.splitters
+        steps = _integers(1 << k for k in reversed(range((self.count - 1).bit_length())))
+
+        def go_on(reached: Column, step: Column) -> Column:
+            # Behind the last splitter there is null, which no key reaches.
+            return F.when(key >= F.get(splitters, reached + step - 1), reached + step).otherwise(reached)
 
-        def halve(bounds: Column, _: Column) -> Column:
-            low, high = bounds["low"], bounds["high"]
-            middle = F.floor((low + high) / 2).cast("int")
-            upper = F.struct((middle + 1).alias("low"), high.alias("high"))
-            lower = F.struct(low.alias("low"), middle.alias("high"))
-            reached = key >= F.element_at(splitters, middle + 1)
-            return F.when(low >= high, bounds).when(reached, upper).otherwise(lower)
+        return F.aggregate(steps, F.lit(0), go_on)
 
-        whole = F.struct(F.lit(0).alias("low"), F.lit(self.count - 1).alias("high"))
-        steps = F.sequence(F.lit(1), F.lit(max(1, math.ceil(math.log2(self.count)))))
-        return F.aggregate(steps, whole, halve)["low"]
+    def reaches(self, number: int) -> Column:
+        """Whether a row lies in range ``number`` or behind it; a comparison with one constant."""
+        if number <= 0:
+            return F.lit(True)
+        if number >= self.count:
+            return F.lit(False)
+        return self._own_key() >= F.get(self.splitters, F.lit(number - 1))
 
     def deal(self, df: DataFrame, range_name: str, part_name: str) -> DataFrame:
         """``df`` with its ``range_name``, and in one exchange dealt to partitions numbered ``part_name``.
@@ -80,18 +86,18 @@ class Ranges:
         """
         df = df.withColumn(range_name, self.find())
         first = _integers(itertools.accumulate(self.parts[:-1], initial=0))
-        place = F.element_at(first, F.col(quoted(range_name)) + 1)
+        place = F.get(first, F.col(quoted(range_name)))
         if max(self.parts) > 1:
             # Types without a hash (maps) take no part in it.
             hashed = [F.col(quoted(f.name)) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
             spread = F.pmod(
-                F.xxhash64(*hashed, F.spark_partition_id()), F.element_at(_integers(self.parts), F.col(quoted(range_name)) + 1)
+                F.xxhash64(*hashed, F.spark_partition_id()), F.get(_integers(self.parts), F.col(quoted(range_name)))
             )
             place = place + spread.cast("int")
         return df.withColumn(part_name, place).repartitionById(sum(self.parts), F.col(quoted(part_name)))
 
 
-def _integers(numbers) -> Column:
+def _integers(numbers: Iterable[int]) -> Column:
     return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<int>")
 
 
@@ -134,24 +140,37 @@ def value_ranges(df: DataFrame, columns: Sequence[str], n_rows: int, ranges: int
     keys = df.select(_key(values, F.lit(0), F.lit(1)).alias("k"))
     if share < 1:
         keys = keys.sample(fraction=share, seed=17)
-    in_order = keys.agg(F.sort_array(F.collect_list("k")).alias("all"))
     step = F.lit(SAMPLED) if share < 1 else F.greatest(F.floor(F.size("all") / ranges).cast("int"), F.lit(1))
-    chosen = in_order.select("all", step.alias("step")).select(
-        F.explode(F.filter("all", lambda _, i: (i + 1) % F.col("step") == 0)).alias("k")
-    )
-    counted = chosen.groupBy("k").agg(F.count("*").cast("int").alias("n"))
-    fields = [F.col(f"k.c{i}") for i in range(len(columns))]
-    at, behind = _key(fields, F.lit(0), F.col("n")), _key(fields, F.lit(1), F.lit(1))
-    own = F.when(F.col("n") > 1, F.array(at, behind)).otherwise(F.array(at))
-    splitters = counted.agg(F.sort_array(F.flatten(F.collect_list(own))).alias("s"))
-    found = splitters.select(
-        F.to_json("s", _FORMATS).alias("text"), F.transform("s", lambda x: x["parts"]).alias("parts")
-    ).head()
-    if not found["parts"]:
+    in_order = keys.agg(F.sort_array(F.collect_list("k")).alias("all")).withColumn("step", step)
+    chosen = in_order.select(F.filter("all", lambda _, i: (i + 1) % F.col("step") == 0).alias("s"))
+    text = chosen.select(F.to_json("s", _FORMATS).alias("text")).head()["text"]
+    parts, splitters = [1], []
+    for key, same in itertools.groupby(_elements(text)):
+        n = sum(1 for _ in same)
+        body = key.removesuffix(_END.format(0, 1))
+        splitters.append(body + _END.format(0, n))
+        parts.append(n)
+        if n > 1:
+            splitters.append(body + _END.format(1, 1))
+            parts.append(1)
+    if not splitters:
         return Ranges(columns, None, (1,))
     # Sorted anew: a type that loses digits in the text may lose its order too.
-    array = F.sort_array(F.from_json(F.lit(found["text"]), splitters.schema["s"].dataType, _FORMATS))
-    return Ranges(columns, array, (1, *found["parts"]))
+    array = F.from_json(F.lit("[" + ",".join(splitters) + "]"), chosen.schema["s"].dataType, _FORMATS)
+    return Ranges(columns, F.sort_array(array), tuple(parts))
+
+
+# The last fields of a splitter's text.
+_END = '"after":{},"parts":{}}}'
+
+
+def _elements(text: str) -> Iterator[str]:
+    """The text of each element of a JSON array."""
+    decoder, at = json.JSONDecoder(), 1
+    while text[at] != "]":
+        _, end = decoder.raw_decode(text, at)
+        yield text[at:end]
+        at = end + (text[end] == ",")
 
 
 def free_names(df: DataFrame, *names: str) -> list[str]:

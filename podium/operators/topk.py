@@ -59,14 +59,13 @@ def top_rows(
     while True:
         column, descending = order[0]
         ranges = value_ranges(rows, [column], n_rows, range_count(rows, n_rows, rows_per_range))
-        found = rows.withColumn(number, ranges.find())
-        counts = dict(found.groupBy(number).agg(F.count("*")).collect())
+        counts = dict(rows.groupBy(ranges.find().alias(number)).agg(F.count("*")).collect())
         in_order = range(ranges.count - 1, -1, -1) if descending else range(ranges.count)
         edge, before = _edge(counts, in_order, k)
-        better = F.col(number) > edge if descending else F.col(number) < edge
-        whole = found.where(better).drop(number)
+        behind = ranges.reaches(edge + 1)
+        whole = rows.where(behind if descending else ~ranges.reaches(edge))
         taken = whole if taken is None else taken.unionByName(whole)
-        rows, k, n_rows = found.where(F.col(number) == edge).drop(number), k - before, counts[edge]
+        rows, k, n_rows = rows.where(ranges.reaches(edge) & ~behind), k - before, counts[edge]
         if k == n_rows:
             return taken.unionByName(rows)
         if not ranges.is_single[edge]:

@@ -423,7 +423,7 @@ def test_repartition_by_rows(spark):
     shrunk = op.repartition_by_rows(df, rows_per_partition=600)
     assert (op.partition_count(shrunk), shrunk.count()) == (2, 1000)
     empty = op.repartition_by_rows(spark.range(0))
-    assert (op.partition_count(empty), empty.count()) == (0, 0)
+    assert (op.partition_count(empty), op.filled_partition_count(empty), empty.count()) == (1, 0, 0)
     one = op.repartition_by_rows(df, rows_per_partition=1000)
     assert (op.partition_count(one), one.count()) == (1, 1000)
 
@@ -433,7 +433,48 @@ def test_repartition_keeps_its_bound_when_one_partition_has_all_rows(spark, boun
     df = spark.range(0, 1000, 1, 4).where("id < 0").union(spark.range(0, 1000, 1, 1))
     spread = op.repartition_by_rows(df, bound)
     sizes = [r[1] for r in rows(spread.groupBy(F.spark_partition_id()).count())]
-    assert len(sizes) == n and sum(sizes) == 1000 and max(sizes) <= bound + 1
+    assert len(sizes) == n and sum(sizes) == 1000 and max(sizes) <= bound
+
+
+def test_partition_count_computes_no_rows(spark):
+    def fail(batches):
+        raise AssertionError("computed")
+
+    df = spark.range(0, 100, 1, 64).where("id < 2").mapInArrow(fail, "id bigint")
+    assert op.partition_count(df) == 64
+    assert op.filled_partition_count(spark.range(0, 100, 1, 64).where("id < 2")) == 2
+
+
+@pytest.mark.parametrize("bound", [7, 100, 333])
+def test_all_partitions_but_the_last_are_full(spark, bound):
+    """Skewed and empty partitions, rows in order; columns of the operator's own names."""
+    skewed = spark.range(0, 600, 1, 1).union(spark.range(600, 603, 1, 3)).union(spark.range(0, 9, 1, 3).where("id < 0"))
+    df = skewed.union(spark.range(603, 1000, 1, 17)).select("id", F.lit("own").alias("_place"))
+    spread = op.repartition_by_rows(df, bound)
+    sizes = op.partition_sizes(spread)
+    assert spread.columns == ["id", "_place"] and sorted(r.id for r in spread.collect()) == list(range(1000))
+    n = math.ceil(1000 / bound)
+    assert op.partition_count(spread) == n and sizes == {i: min(bound, 1000 - i * bound) for i in range(n)}
+
+
+def test_shrinking_merges_without_an_exchange(spark):
+    df = spark.range(0, 64_000, 1, 64)
+
+    def exchanged(spread):
+        return "Exchange" in spread._jdf.queryExecution().executedPlan().toString()
+
+    bounded = op.repartition_by_rows(df, 7_000)
+    assert not exchanged(bounded) and op.partition_count(bounded) == 10
+    assert max(op.partition_sizes(bounded).values()) <= 7_000
+    # Twenty of 3.2 partitions each: four of them are too many for the bound.
+    assert exchanged(op.repartition_by_rows(df, 3_200))
+    assert max(op.partition_sizes(op.repartition_by_rows(df, 3_200)).values()) == 3_200
+    always = op.repartition_by_rows(df, 3_200, merge="always")
+    assert not exchanged(always) and op.partition_count(always) == 20 and always.count() == 64_000
+    same = op.repartition_by_rows(df, 1_000)
+    assert not exchanged(same) and op.partition_count(same) == 64
+    with pytest.raises(ValueError, match="merge"):
+        op.repartition_by_rows(df, 10, merge="never")
 
 
 def test_persisted_scope(spark):
