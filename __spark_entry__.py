@@ -6,7 +6,6 @@ top-1 and top-k operators, where it is the feature.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -18,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from podium import operators as op  # noqa: E402
 from podium import sources as src  # noqa: E402
-from podium.functions import Rule, classify, classify_udf  # noqa: E402
+from podium.functions import Rule, classify, classify_udf, register_classifier  # noqa: E402
 from podium.plans import Panel  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,11 +218,18 @@ def classify_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("classify_rules_udf", f"SELECT p_partkey, {_PART_CASE} AS category FROM part")
 def classify_rules_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.udf.register("part_category", classify_udf(_PART_RULES, "other"))
+    register_classifier(spark, "part_category", _PART_RULES, "other")
     part = _table(spark, sf_dir, "part")
     return part.select("p_partkey", F.expr("part_category(p_type, p_brand)").alias("category"))
 
 
+@_query("classify_rules_arrow", f"SELECT p_partkey, {_PART_CASE} AS category FROM part")
+def classify_rules_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.udf.register("part_category_arrow", classify_udf(_PART_RULES, "other"))
+    part = _table(spark, sf_dir, "part")
+    return part.select("p_partkey", F.expr("part_category_arrow(p_type, p_brand)").alias("category"))
+
+
 # --- aggregates --------------------------------------------------------------
 
 
@@ -488,6 +494,24 @@ def align_and_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A declared schema with a whole number for a price: fractions have no place in it.
+@_query(
+    "conform_or_reject",
+    """
+    SELECT o_orderkey, o_totalprice = floor(o_totalprice) AS fits,
+           CASE WHEN o_totalprice = floor(o_totalprice) THEN CAST(o_totalprice AS BIGINT) END AS price
+    FROM orders
+    """,
+)
+def conform_or_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders")
+    clean, rejects = op.conform_or_reject(orders, "o_orderkey bigint, o_totalprice bigint")
+    kept = clean.select("o_orderkey", F.lit(True).alias("fits"), F.col("o_totalprice").alias("price"))
+    return kept.unionByName(
+        rejects.select("o_orderkey", F.lit(False).alias("fits"), F.lit(None).cast("bigint").alias("price"))
+    )
+
+
 # --- sources, sinks and layout -----------------------------------------------
 
 _CSV_SQL = """
@@ -521,6 +545,38 @@ def csv_roundtrip_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Debts in parentheses, as accounts write them: no number to a CSV reader.
+@_query(
+    "csv_with_rejects",
+    """
+    SELECT c_custkey AS customer_key, c_acctbal >= 0 AS is_clean,
+           CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS account_balance,
+           CASE WHEN c_acctbal < 0 THEN 'not of the column''s type: Account Balance' END AS reason
+    FROM customer
+    """,
+)
+def csv_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    balance = F.col("c_acctbal").cast("string")
+    path = src.scratch_dir(spark, "csv") + "/accounts"
+    _table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("Customer Key"),
+        F.when(F.col("c_acctbal") < 0, F.concat(F.lit("("), F.abs("c_acctbal"), F.lit(")")))
+        .otherwise(balance)
+        .alias("Account Balance"),
+    ).write.option("header", True).csv(path)
+    clean, rejects = src.read_csv_checked(spark, path, "`Customer Key` bigint, `Account Balance` double")
+    kept = op.normalize_columns(clean).select(
+        "customer_key", F.lit(True).alias("is_clean"), "account_balance", F.lit(None).cast("string").alias("reason")
+    )
+    lost = rejects.select(
+        F.substring_index("line", ",", 1).cast("bigint").alias("customer_key"),
+        F.lit(False).alias("is_clean"),
+        F.lit(None).cast("double").alias("account_balance"),
+        "reason",
+    )
+    return kept.unionByName(lost)
+
+
 def _supplier_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.group_avg(
         _table(spark, sf_dir, "lineitem"), "l_suppkey", "l_quantity", "avg_quantity", digits=6
@@ -540,6 +596,26 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.read_parquet(spark, path)
 
 
+# The second version is read; the first is still there, by its number.
+@_query(
+    "published_versions",
+    """
+    SELECT 'newest' AS version, l_suppkey, round(avg(l_quantity), 6) AS avg_quantity
+    FROM lineitem GROUP BY l_suppkey
+    UNION ALL
+    SELECT 'first', l_suppkey, round(avg(l_quantity), 6)
+    FROM lineitem WHERE year(l_shipdate) < 2000 GROUP BY l_suppkey
+    """,
+)
+def published_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = src.scratch_dir(spark, "published") + "/supplier_means"
+    lines = _table(spark, sf_dir, "lineitem")
+    for rows in (lines.where(~_from_year("l_shipdate", 2000)), lines):
+        src.publish_parquet(op.group_avg(rows, "l_suppkey", "l_quantity", "avg_quantity", digits=6), path)
+    newest, first = src.read_published(spark, path), src.read_published(spark, path, 1)
+    return newest.withColumn("version", F.lit("newest")).unionByName(first.withColumn("version", F.lit("first")))
+
+
 @_query(
     "results_manifest",
     """
@@ -884,10 +960,13 @@ def panel_longest_lived_followup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- training-data operators --------------------------------------------------
 # They are optional: without the subpackage and its pipeline, all else still works.
 
-if importlib.util.find_spec("podium.llm") and importlib.util.find_spec("corpus_pipeline"):
+try:
     import corpus_pipeline
     from podium.llm import queries as llm_queries
-
+except ImportError:
+    # Without the subpackage, the pipeline or a library that they need.
+    pass
+else:
     _QUERIES.update(llm_queries.QUERIES)
     _ORACLES.update(llm_queries.ORACLES)
     _QUERIES["pipeline"] = corpus_pipeline.run

@@ -2,8 +2,8 @@
 
 The rules are data. ``classify`` compiles them to one CASE expression, which
 Catalyst optimises and whole-stage codegen runs without a Python worker.
-``classify_udf`` gives the same result as a vectorised UDF, for callers that
-need a function registered for SQL text.
+``register_classifier`` makes the same a function for SQL text, and
+``classify_udf`` a vectorised UDF, for sessions that take only those.
 """
 
 from __future__ import annotations
@@ -12,9 +12,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from podium.functions.names import quoted
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -88,3 +90,42 @@ def classify_udf(rules: Sequence[Rule], default: str | None = "Other"):
         return out
 
     return label
+
+
+def sql_text(value: str | None) -> str:
+    """``value`` as a literal of SQL text: all but plain letters and digits by their code points."""
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    plain = (c if c.isascii() and (c.isalnum() or c == " ") else f"\\U{ord(c):08X}" for c in value)
+    return "'" + "".join(plain) + "'"
+
+
+def classify_sql(rules: Sequence[Rule], region: str, entity: str, default: str | None = "Other") -> str:
+    """``classify`` as SQL text over two expressions of SQL."""
+    if not rules:
+        raise ValueError("no rules")
+    branches = []
+    for rule in rules:
+        tests = []
+        if rule.contains is not None:
+            tests.append(f"contains(coalesce({region}, ''), {sql_text(rule.contains)})")
+        if rule.members:
+            tests.append(f"coalesce({entity} IN ({', '.join(map(sql_text, rule.members))}), false)")
+        both = (" AND " if rule.need == "all" else " OR ").join(tests)
+        branches.append(f"WHEN {both} THEN {sql_text(rule.label)}")
+    return f"CASE {' '.join(branches)} ELSE {sql_text(default)} END"
+
+
+def register_classifier(
+    spark: SparkSession, name: str, rules: Sequence[Rule], default: str | None = "Other"
+) -> None:
+    """Register ``name(region, entity)`` for SQL text, as a function of the session.
+
+    Its body is SQL too, so Catalyst puts it in place of the call: no Python,
+    and filters on it can be pushed and folded. A function of that name is replaced.
+    """
+    body = classify_sql(rules, "region", "entity", default)
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {quoted(name)}(region STRING, entity STRING)"
+        f" RETURNS STRING RETURN {body}"
+    )

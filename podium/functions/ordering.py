@@ -12,10 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def quoted(column: str) -> str:
-    """``column`` as a name to look up, whatever characters it has."""
-    return "`" + column.replace("`", "``") + "`"
+from podium.functions.names import quoted
 
 
 def best_first(measure: str, ties: Sequence[str] = ()) -> list[Column]:

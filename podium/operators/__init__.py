@@ -11,10 +11,14 @@ from podium.operators.aggregate import (
 from podium.operators.columns import (
     add_literal,
     align_and_union,
+    conform,
+    conform_or_reject,
     free_name,
     normalize_columns,
     project,
+    quoted,
     rename,
+    widens,
 )
 from podium.operators.layout import (
     filled_partition_count,
@@ -42,6 +46,8 @@ __all__ = [
     "align_and_union",
     "argmax_per_group",
     "best_mean",
+    "conform",
+    "conform_or_reject",
     "filtered_top1",
     "filled_partition_count",
     "first_place_counts",
@@ -58,6 +64,7 @@ __all__ = [
     "pct_change",
     "persisted",
     "project",
+    "quoted",
     "rank_in_partition",
     "rank_of_argmax",
     "release",
@@ -69,5 +76,6 @@ __all__ = [
     "top1",
     "top_k",
     "top_rows",
+    "widens",
     "winner_rows",
 ]

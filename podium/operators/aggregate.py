@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from podium.functions.exact import exact_mean, exact_sums
-from podium.functions.ordering import best_first_key, quoted
-from podium.operators.columns import free_name
+from podium.functions.names import free_name, quoted
+from podium.functions.ordering import best_first_key
 from podium.sources.scratch import materialize
 
 

@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.operators.columns import free_name
+from podium.functions.names import free_name
 
 # Fixed value: the analysis sizes its partitions by this many rows.
 ROWS_PER_PARTITION = 100_000

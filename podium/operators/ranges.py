@@ -20,8 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from podium.functions.ordering import quoted
-from podium.operators.columns import free_name
+from podium.functions.names import free_name, quoted
 
 # Sampled keys for each range, and most ranges: so many times as many keys, 64 bytes or so
 # each, are sorted in one task, and two splitters a range are part of the plan.

@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from podium.functions.ordering import quoted
-from podium.operators.columns import free_name
+from podium.functions.names import free_name, quoted
 from podium.operators.ranges import Ranges, free_names, range_count, splitter_value, value_ranges
 from podium.operators.topk import sort_desc, top1
 from podium.sources.scratch import materialize

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from podium.functions.exact import exact_mean, exact_order, exact_sums
-from podium.functions.ordering import best_first, quoted
+from podium.functions.names import free_name, quoted
+from podium.functions.ordering import best_first
 from podium.operators.aggregate import group_avg
-from podium.operators.columns import free_name
 from podium.operators.ranges import range_count, value_ranges
 
 

@@ -18,15 +18,20 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; unset, a folder of the warehouse.
 
-    Both are shared by every executor of a cluster. The session is not changed.
+    The session is not changed. On a cluster that names no checkpoint folder, a
+    warehouse on the local disk raises: each executor would write to its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_podium_scratch"
+        fs, _ = hadoop_path(spark, root)
+        if fs.getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return root.rstrip("/")
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of ``path`` and ``path`` as it takes it."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
@@ -34,7 +39,7 @@ def _hadoop_path(spark: SparkSession, path: str):
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new empty folder in the shared folder, deleted when the application ends."""
     path = f"{scratch_root(spark)}/podium-{name}-{uuid.uuid4().hex}"
-    fs, jvm_path = _hadoop_path(spark, path)
+    fs, jvm_path = hadoop_path(spark, path)
     fs.mkdirs(jvm_path)
     fs.deleteOnExit(jvm_path)
     return path
@@ -44,7 +49,7 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that ``scratch_dir`` made; one that is gone already is no error."""
     if not path.startswith(f"{scratch_root(spark)}/podium-"):
         raise ValueError(f"not a scratch folder: {path}")
-    fs, jvm_path = _hadoop_path(spark, path)
+    fs, jvm_path = hadoop_path(spark, path)
     fs.delete(jvm_path, True)
 
 

@@ -34,7 +34,8 @@ def test_top1_keeps_one_row_per_task(spark):
 
 def test_classifier_stays_in_the_jvm(spark):
     assert "Python" not in plan(spark, "classify_rules")
-    assert "ArrowEvalPython" in plan(spark, "classify_rules_udf")
+    assert "Python" not in plan(spark, "classify_rules_udf")
+    assert "ArrowEvalPython" in plan(spark, "classify_rules_arrow")
 
 
 @pytest.mark.parametrize("name", ["filter_eq_top1", "cohort_avg", "avg_since_top1", "pct_change"])
