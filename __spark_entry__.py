@@ -382,18 +382,21 @@ def rank_in_partition_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Strings, and partitions by date: nothing but the order of the types is used.
+# Strings: nothing but the order of the type is used.
 @_query(
     "rank_in_partition_text",
     """
-    SELECT o_orderkey, o_orderdate, o_orderpriority,
-           rank() OVER (PARTITION BY o_orderdate ORDER BY o_orderpriority DESC NULLS LAST) AS ranking
+    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority,
+           rank() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m')
+                        ORDER BY o_orderpriority DESC NULLS LAST) AS ranking
     FROM orders
     """,
 )
 def rank_in_partition_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = op.project(_table(spark, sf_dir, "orders"), "o_orderkey", "o_orderdate", "o_orderpriority")
-    return op.rank_in_partition(orders, "o_orderdate", "o_orderpriority", rows_per_task=10_000)
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderpriority"
+    )
+    return op.rank_in_partition(orders, "month", "o_orderpriority", rows_per_task=10_000)
 
 
 @_query(
