@@ -1,10 +1,15 @@
 """Best-fit packing of token pieces, certified by lower bounds.
 
 Each partition packs its own pieces by best-fit decreasing. Dual-feasible
-functions give a lower bound on the sequences that its pieces need at least. A
-partition that meets its bound is optimal and done. Those with a gap keep their
-full sequences, and the documents of the others are dealt out anew among fewer
-partitions and packed again, as long as that saves sequences.
+functions give a lower bound on the sequences that its pieces need at least, and
+one on those that all pieces need. As long as the number of sequences is above
+the latter, partitions keep their well-filled sequences, and the documents of
+the others are dealt out anew among fewer partitions and packed again; of a
+partition that meets its own bound, these are what the rounding up of that
+bound leaves. That ends when the number is certified by the bound of all
+pieces, when all that is left is packed in one partition, or when several
+exchanges in a row have not brought the number down; the best packing met is
+the result.
 """
 
 from __future__ import annotations
@@ -25,11 +30,14 @@ from podium.sources import materialize
 CAPACITY = 1024
 # Pieces that one partition packs; about 50 bytes each in its task.
 PIECES_PER_PARTITION = 65_536
-# Rounds of exchange after the first packing; all documents stay packed at any number.
-ROUNDS = 4
+# Exchanges in a row that may save nothing, and all exchanges at most.
+PATIENCE = 5
+ROUNDS = 40
+# Room that a sequence which takes no part in the next exchange may have.
+_ROOM = CAPACITY // 100
 
 _PIECES = "rid bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-_PACKED = _PIECES + ", sequence_id bigint, offset bigint, fill bigint, gap bigint"
+_PACKED = _PIECES + ", sequence_id bigint, offset bigint, fill bigint, partition_gap bigint"
 
 
 def piece_lengths(n_tokens: int, capacity: int = CAPACITY) -> list[int]:
@@ -76,7 +84,12 @@ def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     count as whole and those below ``e`` as nothing, for every ``e``; and
     lengths rounded to multiples of ``1 / k``.
     """
-    count = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    return histogram_bound(np.bincount(lengths, minlength=capacity + 1).astype(np.int64))
+
+
+def histogram_bound(count: np.ndarray) -> int:
+    """``lower_bound`` of ``count[n]`` pieces of each length ``n`` up to the capacity."""
+    capacity = len(count) - 1
     size = np.arange(capacity + 1)
     best = -(-int(count @ size) // capacity)
     for e in range(1, capacity // 2 + 1):
@@ -132,7 +145,7 @@ def _pack_round(pieces: DataFrame, n_pieces: int, number: int, per_partition: in
             sequence_id=first + bins,
             offset=offsets,
             fill=fill[bins],
-            gap=len(fill) - lower_bound(lengths),
+            partition_gap=len(fill) - lower_bound(lengths),
         )
 
     partitions = max(1, -(-n_pieces // per_partition))
@@ -143,48 +156,72 @@ def _pack_round(pieces: DataFrame, n_pieces: int, number: int, per_partition: in
 def best_fit_pack(
     pieces: DataFrame, *, per_partition: int = PIECES_PER_PARTITION, rounds: int = ROUNDS
 ) -> DataFrame:
-    """Each piece with its ``sequence_id`` and its ``offset`` there, gapless from 0.
+    """Each piece with its ``sequence_id``, its ``offset`` there, gapless from 0, and ``partition_gap``.
 
     ``pieces`` is a table such as ``token_pieces`` gives. Full pieces are
-    sequences of their own. An empty table packs into nothing.
+    sequences of their own. An empty table packs into nothing. A length that is
+    null, below 1 or above the capacity raises: no piece is left out.
+    ``partition_gap`` is how many sequences the partition that the piece was
+    packed in has above its bound: 0 certifies that it needs no fewer.
     """
+    length = F.col("length")
+    fits = F.coalesce((length >= 1) & (length <= CAPACITY), F.lit(False))
+    # A row for each length.
+    counts = pieces.groupBy(F.when(fits, length).alias("length")).agg(F.count("*").alias("n")).collect()
+    count = np.zeros(CAPACITY + 1, np.int64)
+    for row in counts:
+        if row["length"] is None:
+            raise ValueError(f"{row['n']} pieces have no length from 1 to {CAPACITY}")
+        count[row["length"]] = row["n"]
+    n_full, n_pieces = int(count[CAPACITY]), int(count[:CAPACITY].sum())
     kept = [
-        pieces.where(F.col("length") == CAPACITY).select(
-            "*", (-F.col("rid") - 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")
+        pieces.where(length == CAPACITY).select(
+            "*",
+            (-F.col("rid") - 1).alias("sequence_id"),
+            F.lit(0).cast("bigint").alias("offset"),
+            F.lit(0).cast("bigint").alias("partition_gap"),
         )
     ]
     columns = kept[0].columns
-
-    def totals(packed: DataFrame) -> tuple[int, int]:
-        row = packed.agg(F.count("*"), F.count_if(F.col("offset") == 0)).head()
-        return row[0], row[1]
-
-    pool = pieces.where(F.col("length") < CAPACITY)
-    n_pieces = pool.count()
     if n_pieces == 0:
         return kept[0]
-    packed = _pack_round(pool, n_pieces, 0, per_partition)
-    for number in range(1, rounds + 1):
-        open_bins = (F.col("gap") > 0) & (F.col("fill") < CAPACITY)
-        pool = packed.where(open_bins)
-        n_pieces, n_bins = totals(pool)
-        kept.append(packed.where(~open_bins).select(columns))
-        if n_pieces == 0:
-            break
-        again = _pack_round(pool.select(pieces.columns), n_pieces, number, per_partition)
-        saved = totals(again)[1] < n_bins
-        if not saved:
-            kept.append(pool.select(columns))
+    bound = histogram_bound(count)
+    first = F.col("offset") == 0
+    # Sequences that are done, the least number of all met so far, and the tables of that packing.
+    n_done, least, best, since = n_full, None, kept, 0
+    pool = pieces.where(length < CAPACITY)
+    for number in range(rounds + 1):
+        packed = _pack_round(pool.select(pieces.columns), n_pieces, number, per_partition)
+        open_ = F.col("fill") < CAPACITY - _ROOM
+        n, n_open, left = packed.agg(
+            F.count_if(first), F.count_if(first & open_), F.count_if(open_)
+        ).head()
+        if least is None or n_done + n < least:
+            least, best, since = n_done + n, [*kept, packed.select(columns)], 0
+        else:
+            since += 1
+        if least == bound or left == 0 or n_pieces <= per_partition or since >= PATIENCE:
             break
-        packed = again
-    else:
-        kept.append(packed.select(columns))
-    out = kept[0]
-    for part in kept[1:]:
+        kept = [*kept, packed.where(~open_).select(columns)]
+        n_done, pool, n_pieces = n_done + n - n_open, packed.where(open_), left
+    out = best[0]
+    for part in best[1:]:
         out = out.unionByName(part)
     return out
 
 
+def certificate(packed: DataFrame, capacity: int = CAPACITY) -> tuple[int, int]:
+    """(sequences of a packing, the least that any packing of its pieces has by the bounds).
+
+    Equal numbers prove the packing optimal. The driver gets a row for each length.
+    """
+    lengths = packed.groupBy("length").agg(F.count("*").alias("n"), F.count_if(F.col("offset") == 0).alias("firsts"))
+    count, n = np.zeros(capacity + 1, np.int64), 0
+    for row in lengths.collect():
+        count[row["length"]], n = row["n"], n + row["firsts"]
+    return n, histogram_bound(count) if n else 0
+
+
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece."""
+    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset, partition_gap) of every piece."""
     return best_fit_pack(token_pieces(docs, tokenizer_path, end_id)).drop("rid")

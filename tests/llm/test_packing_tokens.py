@@ -133,3 +133,30 @@ def test_exchange_between_partitions_saves_sequences(spark, per_partition):
     bound = packing.lower_bound(np.array(lengths))
     assert bound <= together <= alone
     assert together <= 1.03 * bound + 2 if per_partition >= 40 else True
+
+
+def test_certificate_and_lengths_that_fit_no_sequence(spark):
+    rows = [(i, i, 0, 0, n, 0) for i, n in enumerate([600] * 9 + [424] * 9 + [1024] * 2)]
+    packed = packing.best_fit_pack(spark.createDataFrame(rows, packing._PIECES), per_partition=7)
+    n = len(check_packing(packed.collect()))
+    assert packing.certificate(packed) == (n, 11) and n <= 13
+    whole = packing.best_fit_pack(spark.createDataFrame(rows, packing._PIECES))
+    assert packing.certificate(whole) == (11, 11)
+    assert {r.partition_gap for r in whole.collect()} == {0}
+    assert packing.certificate(whole.limit(0)) == (0, 0)
+    for wrong in (None, 0, 1025):
+        bad = spark.createDataFrame([*rows, (99, 99, 0, 0, wrong, 0)], packing._PIECES)
+        with pytest.raises(ValueError, match="1 pieces"):
+            packing.best_fit_pack(bad)
+
+
+def test_every_round_keeps_all_pieces(spark):
+    rng = random.Random(3)
+    rows = [(i, i, 0, 0, rng.choice([200, 300, 350, 500, 700, 900]), 0) for i in range(500)]
+    pieces = spark.createDataFrame(rows, packing._PIECES)
+    totals = []
+    for rounds in (0, 1, 3, 40):
+        packed = packing.best_fit_pack(pieces, per_partition=25, rounds=rounds).collect()
+        assert sorted(r.rid for r in packed) == list(range(500))
+        totals.append(len(check_packing(packed)))
+    assert totals == sorted(totals, reverse=True)
