@@ -24,7 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.tokens import encoder, rows_of
+from podium.llm.tokens import SLICE_BYTES, encoder
+from podium.llm.words import chunks
 from podium.sources import materialize
 
 CAPACITY = 1024
@@ -57,13 +58,15 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataF
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(tokenizer_path, end_id, "<u2")
         rid = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for part in (p for batch in batches for p in chunks(batch, size=SLICE_BYTES)):
             rows = []
-            for doc_id, text in rows_of(batch, "doc_id", "text"):
-                ids = np.frombuffer(code.encode(text), "<u2").astype("<u4")
+            doc_ids, texts = (part.column(part.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "text"))
+            every, ends = code.encode_batch(texts)
+            every = every.astype("<u4")
+            for doc_id, begin, end in zip(doc_ids, ends[:-1].tolist(), ends[1:].tolist()):
                 start = 0
-                for piece, length in enumerate(piece_lengths(len(ids))):
-                    crc = zlib.crc32(ids[start : start + length].tobytes())
+                for piece, length in enumerate(piece_lengths(end - begin)):
+                    crc = zlib.crc32(every[begin + start : begin + start + length])
                     rows.append((rid, doc_id, piece, start, length, crc))
                     start += length
                     rid += 1

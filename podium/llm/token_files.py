@@ -23,7 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.llm.tokens import encoder, rows_of
+from podium.llm.tokens import SLICE_BYTES, encoder, rows_of
+from podium.llm.words import chunks
 from podium.sources import materialize, scratch_dir
 
 _MANIFEST = "part int, path string, n_docs bigint, n_tokens bigint"
@@ -49,7 +50,6 @@ def write_token_files(
     itself on shared storage, names those of the attempt that counted.
     """
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
-    width = np.dtype(dtype).itemsize
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(tokenizer_path, end_id, dtype)
@@ -58,18 +58,21 @@ def write_token_files(
         path, index, at = f"part-{part:06d}-{uuid.uuid4().hex}", [], 0
         out = None
         for batch in batches:
-            for doc_id, text in rows_of(batch, "doc_id", "text"):
+            for rows in chunks(batch, size=SLICE_BYTES):
                 if out is None:
                     out = fs.open_output_stream(f"{base}/{path}.bin")
-                ids = code.encode(text)
-                out.write(ids)
-                at += len(ids) // width
-                index += (doc_id or 0, int(doc_id is None), at)
+                doc_ids, texts = (rows.column(rows.schema.get_field_index(c)) for c in ("doc_id", "text"))
+                ids, ends = code.encode_batch(texts.to_pylist())
+                out.write(ids.tobytes())
+                numbers, null = doc_ids.fill_null(0).to_numpy(), doc_ids.is_null().to_numpy(zero_copy_only=False)
+                index.append(np.stack([numbers, null, at + ends[1:]], 1).astype("<i8"))
+                at += len(ids)
         if out is not None:
             out.close()
+            n_docs = sum(map(len, index))
             with fs.open_output_stream(f"{base}/{path}.idx") as f:
-                f.write(np.array(index, "<i8").tobytes())
-            row = [[part], [path], [len(index) // 3], [at]]
+                f.write(np.concatenate(index).tobytes())
+            row = [[part], [path], [n_docs], [at]]
             types = [pa.int32(), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(row, types)],

@@ -55,14 +55,14 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``CHUNK_BYTES`` of text, a row at least."""
+def chunks(batch: pa.RecordBatch, text: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of text, a row at least."""
     lengths = pc.binary_length(batch.column(batch.schema.get_field_index(text)))
     ends = np.cumsum(lengths.fill_null(0).to_numpy(zero_copy_only=False))
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(ends, before + CHUNK_BYTES, "right")))
+        end = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
         yield batch.slice(start, end - start)
         start = end
 
@@ -124,6 +124,31 @@ def ngram_hashes(
     return mix(h), out_first
 
 
+def split_distinct(texts: list[str], separator: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct words of texts cut at a separator, which of them each word is, and each text's
+    first word plus the end."""
+    lists = pc.split_pattern(pa.array(texts, pa.large_string()), separator)
+    coded = lists.flatten().dictionary_encode()
+    offsets = lists.offsets.to_numpy()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), offsets - offsets[0]
+
+
+def gathered(parts: list[bytes], which: np.ndarray, first: np.ndarray, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """``parts[w]`` of all words ``which``, end to end, and where each text's begin, plus the end.
+
+    ``parts`` are bytes of integers of ``dtype``; a text's words are those from its ``first`` on.
+    """
+    width = np.dtype(dtype).itemsize
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // width
+    starts = np.cumsum(sizes) - sizes
+    flat = np.frombuffer(b"".join(parts), dtype)
+    own = sizes[which]
+    ends = np.concatenate([[0], np.cumsum(own)])
+    at = np.repeat(starts[which] - ends[:-1], own)
+    at += np.arange(len(at))
+    return flat[at], ends[first]
+
+
 class Lookup:
     """Finds 64-bit hashes in a list of distinct ones, many at a time.
 

@@ -39,15 +39,18 @@ def random_texts(n=600):
 
 
 def ids_of(found):
-    encoded, wrong = found
+    ids, ends, wrong = found
     assert not wrong
-    return [np.frombuffer(e, "<i4").tolist() for e in encoded]
+    return [ids[a:b].tolist() for a, b in zip(ends, ends[1:])]
 
 
 def test_ids_equal_the_library(own, library):
     texts = ODD + random_texts()
     want = library.encode([t or "" for t in texts])
     assert ids_of(own.encode_batch(texts, check=True)) == want
+    regular = [t for t in texts if t is None or not t or ("  " not in t and t[-1] != " " and "▁" not in t)]
+    assert ids_of(own.encode_batch(regular, check=True)) == library.encode([t or "" for t in regular])
+    assert ids_of(own.encode_batch([])) == [] and ids_of(own.encode_batch([None, ""])) == [[], []]
     # From the cache.
     assert ids_of(own.encode_batch(texts, check=True)) == want
 
@@ -55,9 +58,9 @@ def test_ids_equal_the_library(own, library):
 def test_the_check_finds_differing_words():
     own = PieceCodec(PATH)
     own.parts["▁cat"] = np.array([5], "<i4").tobytes()
-    encoded, wrong = own.encode_batch(["a dog", "a cat, a dog", "cat"], check=True)
+    wrong = own.encode_batch(["a dog", "a cat, a dog", "cat"], check=True)[2]
     assert wrong == {1, 2} and "▁cat" not in own.young
-    assert own.encode_batch(["a cat"], check=True)[1] == {0}
+    assert own.encode_batch(["a cat"], check=True)[2] == {0}
 
 
 def test_the_heap_gives_the_same_ids(library, monkeypatch):
