@@ -8,7 +8,7 @@ nor any two characters that stand side by side in no piece: texts are cut at
 these places, and the parts are merged on their own and cached. The new parts
 of a batch are merged together, each by its own agenda, one merge of every part
 at a time; very long parts have a heap. In every Arrow batch the library checks
-the new words, or, if wanted, all texts.
+the new parts, or, if wanted, all texts.
 """
 
 from __future__ import annotations
@@ -135,6 +135,12 @@ class PieceCodec:
         self.beside = np.zeros((len(members) + 1, len(members) + 1), bool)
         for left, right in sides:
             self.beside[self.side[ord(left)], self.side[ord(right)]] = True
+        # A character that the library leaves as it is, and that is in no piece.
+        alone = (c for c in "\n\ue000\uf8ff" if self.char[ord(c)] < 0 and sp.normalize(c).endswith(c))
+        self.apart = next(alone, None)
+        if self.apart is None:
+            raise ValueError("no character is left that joins no other")
+        self.apart_ids = np.array(sp.encode(self.apart), "<i4").tobytes()
         # What ids decode to. Controls give nothing; the unknown one has a surface of its own.
         text = [p.replace(SPACE, " ").encode() for p in pieces]
         for i in range(size):
@@ -266,31 +272,40 @@ class PieceCodec:
             out[i] = np.array(self._ids(symbols, points[self.char[points] < 0].tolist()), "<i4").tobytes()
         return out
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word, which starts with its space marks: by parts, equal ones once."""
+    def _encode_words(self, words: list[str], check: bool) -> tuple[list[bytes], set[str]]:
+        """Ids of each word, by parts, equal ones once; and the words on which the library differs.
+
+        With ``check``, all parts are checked that were not in the cache.
+        """
         if not words:
-            return []
+            return [], set()
         joined = "".join(words)
-        ends = np.cumsum([len(w) for w in words])
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
         side = self.side[np.frombuffer(joined.encode("utf-32-le"), "<u4")]
         cut = ~self.beside[side[:-1], side[1:]]
         cut[ends[:-1] - 1] = True
         bounds = [0, *(np.flatnonzero(cut) + 1).tolist(), len(joined)]
         parts = [joined[a:b] for a, b in zip(bounds, bounds[1:])]
         known = self.parts
-        new = list(set(parts) - known.keys())
+        distinct = set(parts)
+        new = list(distinct - known.keys())
+        wrong: set[str] = set()
         if new:
             if len(known) >= CACHE_WORDS:
                 # What this batch needs goes on.
-                known = self.parts = {p: known[p] for p in set(parts) & known.keys()}
+                known = self.parts = {p: known[p] for p in distinct & known.keys()}
             known.update(zip(new, self._encode_segments(new)))
+            wrong = self._wrong(new) if check else set()
         own = [known[p] for p in parts]
         # The parts of a word are those up to its end.
         last = np.searchsorted(bounds, ends).tolist()
+        spans = list(zip([0, *last], last))
+        out = [own[a] if b == a + 1 else b"".join(own[a:b]) for a, b in spans]
+        bad = {w for w, (a, b) in zip(words, spans) if not wrong.isdisjoint(parts[a:b])} if wrong else set()
         for p in new:
-            if len(p) > _WIDTHS[-1]:
+            if len(p) > _WIDTHS[-1] or p in wrong:
                 del known[p]
-        return [own[a] if b == a + 1 else b"".join(own[a:b]) for a, b in zip([0, *last], last)]
+        return out, bad
 
     def _split(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Distinct words of the normalised texts, which of them each word is, and each text's first word.
@@ -317,8 +332,8 @@ class PieceCodec:
         """Ids of all texts end to end, and where each one's begin, plus the end.
 
         An empty or null text has none. With ``check`` the library encodes all
-        words that were not in the cache; the places of texts with words on
-        which it differs are returned too.
+        parts of words that were not in the cache; the places of texts with
+        parts on which it differs are returned too.
         """
         words, which, first = self._split(texts)
         if len(self.young) >= CACHE_WORDS:
@@ -328,8 +343,8 @@ class PieceCodec:
         found = {w: old[w] for w in missing if w in old}
         young.update(found)
         new = [w for w in missing if w not in found]
-        young.update(zip(new, self._encode_words(new)))
-        wrong = self._wrong(new) if check else set()
+        encoded, wrong = self._encode_words(new, check)
+        young.update(zip(new, encoded))
         ids, ends = gathered([young[w] for w in words], which, first, "<i4")
         texts_wrong: set[int] = set()
         if wrong:
@@ -340,19 +355,16 @@ class PieceCodec:
                 del young[w]
         return ids, ends, texts_wrong
 
-    def _wrong(self, words: list[str]) -> set[str]:
-        """Words that the library encodes in another way."""
-        # The library puts a space before a text by itself; it takes that away from a lone one.
-        words = [w for w in words if w != SPACE]
-        skip = int(self.drops_space)
-        wanted = self.library.encode([w[skip:].replace(SPACE, " ") for w in words], num_threads=1)
-        got = [self.young[w] for w in words]
+    def _wrong(self, parts: list[str]) -> set[str]:
+        """Parts that the library encodes in another way, behind a character that joins no other."""
+        wanted = self.library.encode([self.apart + p.replace(SPACE, " ") for p in parts], num_threads=1)
+        got = [self.apart_ids + self.parts[p] for p in parts]
         sizes = np.fromiter(map(len, got), np.int64, len(got))
         if np.array_equal(np.fromiter(map(len, wanted), np.int64, len(wanted)) * 4, sizes):
             flat = np.fromiter(itertools.chain.from_iterable(wanted), "<i4", int(sizes.sum()) // 4)
             if flat.tobytes() == b"".join(got):
                 return set()
-        return {w for w, a, b in zip(words, wanted, got) if np.array(a, "<i4").tobytes() != b}
+        return {p for p, a, b in zip(parts, wanted, got) if np.array(a, "<i4").tobytes() != b}
 
     # --- decoding ---
 
@@ -398,13 +410,13 @@ def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         start = end
 
 
-def encode_documents(docs: DataFrame, model_path: str, *, check: str | None = "words") -> DataFrame:
+def encode_documents(docs: DataFrame, model_path: str, *, check: str | None = "parts") -> DataFrame:
     """``docs`` with ``ids`` (its text's piece ids) and ``ids_agree``; such named columns are replaced.
 
     No begin or end ids, no sampling. A null or empty text has an empty list.
     ``ids_agree`` tells whether the library gives the same ids: for each new
-    word of a batch (``check="words"``), or for all whole texts (``"texts"``);
-    it is null without a check. Texts are taken whole; a batch is worked on in
+    part of a word in a batch (``check="parts"``), or for all whole texts
+    (``"texts"``); it is null without a check. Texts are taken whole; a batch is worked on in
     slices of about two megabytes of text, a row at least. One pass, no exchange;
     rows that repeat are encoded as often.
     """
@@ -415,7 +427,7 @@ def encode_documents(docs: DataFrame, model_path: str, *, check: str | None = "w
         for batch in batches:
             for part in chunks(batch, size=_SLICE_BYTES):
                 texts = _texts(part, "text")
-                flat, ends, wrong = own.encode_batch(texts, check == "words")
+                flat, ends, wrong = own.encode_batch(texts, check == "parts")
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
                 if check == "texts":
                     wanted = own.library.encode([t or "" for t in texts], num_threads=1)
