@@ -27,12 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from podium.llm.tables import map_batches
-from podium.llm.words import chunks, gathered, split_distinct
+from podium.llm.words import chunks, gathered
 
 SPACE = "▁"
-# Words in one generation of the cache; two are kept, about 200 bytes each.
-CACHE_WORDS = 100_000
-# Parts of more characters have a heap of their own, and longer words are not cached.
+# Parts in the cache, and those of one batch besides, about 200 bytes each.
+CACHE_PARTS = 200_000
+# Parts of more characters have a heap of their own, and are not cached.
 _WIDTHS = (8, 16, 32, 64)
 # Bytes of text that are encoded together; a longer text is a slice of its own.
 _SLICE_BYTES = 1 << 21
@@ -156,8 +156,6 @@ class PieceCodec:
         self.drops_space = marked is not None and not sp.decode([marked]).startswith(" ")
         self.marked = np.array([p.startswith(SPACE) and not s for p, s in zip(pieces, special)])
         self.control = np.array([sp.is_control(i) for i in range(size)])
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     # --- encoding ---
@@ -272,87 +270,50 @@ class PieceCodec:
             out[i] = np.array(self._ids(symbols, points[self.char[points] < 0].tolist()), "<i4").tobytes()
         return out
 
-    def _encode_words(self, words: list[str], check: bool) -> tuple[list[bytes], set[str]]:
-        """Ids of each word, by parts, equal ones once; and the words on which the library differs.
-
-        With ``check``, all parts are checked that were not in the cache.
-        """
-        if not words:
-            return [], set()
-        joined = "".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        side = self.side[np.frombuffer(joined.encode("utf-32-le"), "<u4")]
-        cut = ~self.beside[side[:-1], side[1:]]
-        cut[ends[:-1] - 1] = True
-        bounds = [0, *(np.flatnonzero(cut) + 1).tolist(), len(joined)]
-        parts = [joined[a:b] for a, b in zip(bounds, bounds[1:])]
-        known = self.parts
-        distinct = set(parts)
-        new = list(distinct - known.keys())
-        wrong: set[str] = set()
-        if new:
-            if len(known) >= CACHE_WORDS:
-                # What this batch needs goes on.
-                known = self.parts = {p: known[p] for p in distinct & known.keys()}
-            known.update(zip(new, self._encode_segments(new)))
-            wrong = self._wrong(new) if check else set()
-        own = [known[p] for p in parts]
-        # The parts of a word are those up to its end.
-        last = np.searchsorted(bounds, ends).tolist()
-        spans = list(zip([0, *last], last))
-        out = [own[a] if b == a + 1 else b"".join(own[a:b]) for a, b in spans]
-        bad = {w for w, (a, b) in zip(words, spans) if not wrong.isdisjoint(parts[a:b])} if wrong else set()
-        for p in new:
-            if len(p) > _WIDTHS[-1] or p in wrong:
-                del known[p]
-        return out, bad
-
-    def _split(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Distinct words of the normalised texts, which of them each word is, and each text's first word.
-
-        A word starts with all the space marks before it.
-        """
-        normal = [self.library.normalize(t) if t else "" for t in texts]
-        if all(not t or (t[0] == SPACE and t[-1] != SPACE and SPACE * 2 not in t) for t in normal):
-            # Single space marks only: cut there, and leave out what is before a text's first.
-            words, which, first = split_distinct([t[1:] for t in normal], SPACE)
-            empty = np.array([not t for t in normal])
-            if empty.any():
-                stays = np.ones(len(which), bool)
-                stays[first[:-1][empty]] = False
-                which = which[stays]
-                first = np.concatenate([[0], np.cumsum(np.diff(first) - empty)])
-            return [SPACE + w for w in words], which, first
-        lists = [re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", t) for t in normal]
-        place: dict[str, int] = {}
-        which = np.array([place.setdefault(w, len(place)) for words in lists for w in words], np.int64)
-        return list(place), which, np.cumsum([0, *map(len, lists)])
+    def _cut(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct parts of normalised texts, which of them each part is, and each text's first part
+        plus the end. No merge crosses the border of two parts."""
+        joined = "".join(texts)
+        borders = np.cumsum([0, *map(len, texts)])
+        if not joined:
+            return [], np.zeros(0, np.int64), np.zeros(len(borders), np.int64)
+        points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        side = self.side[points]
+        starts = np.ones(len(points), bool)
+        np.logical_not(self.beside[side[:-1], side[1:]], out=starts[1:])
+        starts[borders[borders < len(points)]] = True
+        starts = np.flatnonzero(starts)
+        # Where each character begins in UTF-8.
+        sizes = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        offsets = at[np.append(starts, len(points))]
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(joined.encode())]
+        coded = pa.Array.from_buffers(pa.large_string(), len(starts), buffers).dictionary_encode()
+        return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), np.searchsorted(starts, borders)
 
     def encode_batch(self, texts: list[str | None], check: bool = False) -> tuple[np.ndarray, np.ndarray, set[int]]:
         """Ids of all texts end to end, and where each one's begin, plus the end.
 
         An empty or null text has none. With ``check`` the library encodes all
-        parts of words that were not in the cache; the places of texts with
-        parts on which it differs are returned too.
+        parts that were not in the cache; the places of texts with parts on
+        which it differs are returned too.
         """
-        words, which, first = self._split(texts)
-        if len(self.young) >= CACHE_WORDS:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        missing = [w for w in words if w not in young]
-        found = {w: old[w] for w in missing if w in old}
-        young.update(found)
-        new = [w for w in missing if w not in found]
-        encoded, wrong = self._encode_words(new, check)
-        young.update(zip(new, encoded))
-        ids, ends = gathered([young[w] for w in words], which, first, "<i4")
+        parts, which, first = self._cut([self.library.normalize(t) if t else "" for t in texts])
+        if len(self.parts) >= CACHE_PARTS:
+            # What this batch needs goes on.
+            self.parts = {p: self.parts[p] for p in parts if p in self.parts}
+        known = self.parts
+        new = [p for p in parts if p not in known]
+        known.update(zip(new, self._encode_segments(new)))
+        wrong = self._wrong(new) if check and new else set()
+        ids, ends = gathered([known[p] for p in parts], which, first, "<i4")
         texts_wrong: set[int] = set()
         if wrong:
-            is_wrong = np.array([w in wrong for w in words])[which]
+            is_wrong = np.array([p in wrong for p in parts])[which]
             texts_wrong = {i for i in range(len(texts)) if is_wrong[first[i] : first[i + 1]].any()}
-        for w in new:
-            if len(w) > _WIDTHS[-1] or w in wrong:
-                del young[w]
+        for p in new:
+            if len(p) > _WIDTHS[-1] or p in wrong:
+                del known[p]
         return ids, ends, texts_wrong
 
     def _wrong(self, parts: list[str]) -> set[str]:
