@@ -24,8 +24,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_podium_scratch"
-        fs, _ = hadoop_path(spark, root)
-        if fs.getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+        if root.startswith("file:") and not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return root.rstrip("/")
 

@@ -525,14 +525,18 @@ def test_true_size_tables_are_not_broadcast_when_large(spark):
 def test_scratch_follows_the_session(spark):
     assert src.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
-    def session(checkpoint, warehouse="hdfs:///w"):
+    def session(checkpoint, warehouse="hdfs:///w", master="yarn"):
         settings = {"spark.checkpoint.dir": checkpoint, "spark.sql.warehouse.dir": warehouse}
-        context = SimpleNamespace(getCheckpointDir=lambda: None)
+        context = SimpleNamespace(getCheckpointDir=lambda: None, master=master)
         conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
         return SimpleNamespace(sparkContext=context, conf=conf)
 
     assert src.scratch_root(session("hdfs:///shared/")) == "hdfs:///shared"
     assert src.scratch_root(session(None)) == "hdfs:///w/_podium_scratch"
+    assert src.scratch_root(session(None, "file:/w", "local[4]")) == "file:/w/_podium_scratch"
+    # Each executor would write to a disk of its own.
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        src.scratch_root(session(None, "file:/w"))
 
 
 def test_scratch_scope_deletes_its_folder(spark):
