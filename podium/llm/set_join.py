@@ -10,6 +10,12 @@ with one leader each; sets so linked need no pairs among themselves, and the
 overlap of two followers of one leader is bounded by their overlaps with it, so
 many of their answers follow without reading either set (answer-level
 skipping). All other candidates are verified on whole sets.
+
+A list of more than ``HOT`` sets, as a large group of near copies has, gives no
+pairs. Its members are compared with one of them, the reference, and indexed
+anew by what they have and it lacks, or the reverse: the symmetric difference
+of two sets is that of their differences from the reference, so the same
+prefix bounds hold there, where near copies share little.
 """
 
 from __future__ import annotations
@@ -39,6 +45,12 @@ FREQUENT = 500_000
 # Entries of an index list that one cell of its self-join holds from each side.
 CELL = 4096
 _LEADERS = 3
+# Entries of an index list that are paired at most; the members of longer ones are
+# indexed by their differences from one of them, and so on, ``ROUNDS`` times at most.
+HOT = 64
+ROUNDS = 3
+# Stands for the empty set, the first reference, among the classes' numbers.
+_NO_REFERENCE = -1
 
 _SET = (
     "doc_id bigint, row_key bigint, n_shingles int, s1 bigint, s2 bigint, n_rare int,"
@@ -149,14 +161,11 @@ def describe_sets(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
     return rows.mapInArrow(describe, _SET)
 
 
-def verified(
-    pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, frequent
-) -> DataFrame:
-    """(a, b, n_a, overlap, linked) of class pairs (a, b), counted on whole sets.
+def _sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame, n: int, frequent) -> DataFrame:
+    """(cid, keys) of the classes ``ids`` (cid), a written table.
 
-    Only documents that stand for a class of some pair are read into sets again.
+    Only documents that stand for one of these classes are read into sets again.
     """
-    ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid")))
     wanted = classes.join(ids.distinct(), "cid").select("cid", "s1", "s2", "n_shingles", "doc_id")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +186,15 @@ def verified(
     # A repeated id brings texts that no pair needs: they meet no class, or one twice.
     sets = texts.mapInArrow(read, "s1 bigint, s2 bigint, n_shingles int, keys binary")
     sets = wanted.join(sets, ["s1", "s2", "n_shingles"]).select("cid", "keys")
-    sets = materialize(sets.dropDuplicates(["cid"]), "sets")
+    return materialize(sets.dropDuplicates(["cid"]), "sets")
+
+
+def verified(
+    pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, frequent
+) -> DataFrame:
+    """(a, b, n_a, overlap, linked) of class pairs (a, b), counted on whole sets."""
+    ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid")))
+    sets = _sets_of(ids, classes, docs, n, frequent)
 
     def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,26 +219,25 @@ def verified(
     return joined.mapInArrow(overlap, "a bigint, b bigint, n_a bigint, overlap bigint, linked boolean")
 
 
-def _index(classes: DataFrame) -> DataFrame:
+def _index(entries: DataFrame) -> DataFrame:
     """Prefix entries dealt to cells: a list longer than ``CELL`` is cut into
     groups, and each pair of groups meets in a cell of its own."""
-    entries = classes.select(
-        "cid", "n_shingles", "component", F.posexplode("prefix").alias("pos", "gram")
-    )
-    lists = entries.groupBy("gram").agg(F.count("*").alias("entries")).where(F.col("entries") > CELL)
+    key = ["reference", "gram"]
+    lists = entries.groupBy(*key).agg(F.count("*").alias("entries")).where(F.col("entries") > CELL)
     long_lists = materialize(lists, "long-lists", true_size=True)
-    entries = entries.join(long_lists, "gram", "left")
+    entries = entries.join(long_lists, key, "left")
     groups = F.coalesce(F.ceil(F.col("entries") / CELL), F.lit(1)).cast("int")
     return (
         entries.withColumn("groups", groups)
         .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("groups")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
         .select(
-            "gram",
+            *key,
             F.least("own", "other").alias("cell_a"),
             F.greatest("own", "other").alias("cell_b"),
             "own",
-            F.col("n_shingles").alias("n"),
+            "n",
+            "size",
             "pos",
             "cid",
             "component",
@@ -229,18 +245,27 @@ def _index(classes: DataFrame) -> DataFrame:
     )
 
 
+_CELL_KEY = ["reference", "gram", "cell_a", "cell_b"]
+
+
 def _block_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Candidate pairs within the cells of ``rows``, which is sorted by cell, size, position."""
+    """Candidate pairs within the cells of ``rows``, which is sorted by cell, n, size, position.
+
+    Of two sets whose first common entry stands at the given positions of their
+    differences from the reference, all entries before it are in one set only,
+    and so are those that the longer rest has more. Sets that are so near to the
+    reference that they are linked for certain are both linked with it already.
+    """
     cell = np.zeros(len(rows), np.int64)
-    for c in ("gram", "cell_a", "cell_b"):
+    for c in _CELL_KEY:
         cell[1:] |= np.diff(rows[c].to_numpy(np.int64)) != 0
     cell = np.cumsum(cell)
-    n, pos = rows["n"].to_numpy(np.int64), rows["pos"].to_numpy(np.int64)
+    n, size, pos = (rows[c].to_numpy(np.int64) for c in ("n", "size", "pos"))
     new = np.ones(len(rows), bool)
-    new[1:] = (np.diff(cell) != 0) | (np.diff(n) != 0) | (np.diff(pos) != 0)
+    new[1:] = (np.diff(cell) != 0) | (np.diff(n) != 0) | (np.diff(size) != 0) | (np.diff(pos) != 0)
     start = np.flatnonzero(new)
-    size = np.diff(np.append(start, len(rows)))
-    bc, bn, bp = cell[start], n[start], pos[start]
+    count = np.diff(np.append(start, len(rows)))
+    bc, bn, bs, bp = cell[start], n[start], size[start], pos[start]
     firsts, seconds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     active, d = np.arange(len(start)), 0
     while len(active):
@@ -250,14 +275,16 @@ def _block_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
         # Sizes ascend in a list: past the first that is too large, all are.
         going = (bc[active] == bc[other]) & (100 * bn[active] >= percent * bn[other])
         active, other = active[going], other[going]
-        need = needed(bn[active], bn[other], percent)
-        open_ = (bn[active] - bp[active] >= need) & (bn[other] - bp[other] >= need)
+        apart = (100 - percent) * (bn[active] + bn[other])
+        rests = bs[active] - bp[active] - bs[other] + bp[other]
+        open_ = (100 + percent) * (bp[active] + bp[other] + np.abs(rests)) <= apart
+        open_ &= (100 + percent) * (bs[active] + bs[other]) > apart
         for a, b in zip(active[open_], other[open_]):
             if a != b:
-                firsts.append(np.repeat(np.arange(start[a], start[a] + size[a]), size[b]))
-                seconds.append(np.tile(np.arange(start[b], start[b] + size[b]), size[a]))
-            elif size[a] > 1:
-                i, j = np.triu_indices(size[a], 1)
+                firsts.append(np.repeat(np.arange(start[a], start[a] + count[a]), count[b]))
+                seconds.append(np.tile(np.arange(start[b], start[b] + count[b]), count[a]))
+            elif count[a] > 1:
+                i, j = np.triu_indices(count[a], 1)
                 firsts.append(start[a] + i)
                 seconds.append(start[a] + j)
         d += 1
@@ -269,9 +296,9 @@ def _block_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(i, j), "b": np.maximum(i, j)}).drop_duplicates()
 
 
-def _candidates(classes: DataFrame, percent: int) -> DataFrame:
+def _candidates(entries: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of classes in different components that may be linked."""
-    order = ["gram", "cell_a", "cell_b", "n", "pos", "cid"]
+    order = [*_CELL_KEY, "n", "size", "pos", "cid"]
 
     def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -279,7 +306,7 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
             # The last cell may go on in the next frame.
             other = np.zeros(len(frame), bool)
-            for c in order[:3]:
+            for c in _CELL_KEY:
                 values = frame[c].to_numpy()
                 other |= values != values[-1]
             whole = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
@@ -289,10 +316,99 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
         if rest is not None and len(rest):
             yield _block_pairs(rest, percent)
 
-    cells = _index(classes).repartition(*order[:3]).sortWithinPartitions(*order)
+    cells = _index(entries).repartition(*_CELL_KEY).sortWithinPartitions(*order)
     return cells.mapInPandas(pair, "a bigint, b bigint").distinct()
 
 
+def _differences(
+    spokes: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, frequent
+) -> DataFrame:
+    """(reference, cid, n, size, prefix, linked) of (reference, cid): how each class differs from its
+    reference, on whole sets; a written table.
+
+    ``size`` counts what one of the two sets has and the other lacks; ``prefix`` holds
+    the first of that. Rare n-grams that the reference lacks come first, frequent
+    ones that only it has follow: a copy's own changes. What the reference itself
+    has changed, which all others share, comes last. The order affects speed only.
+    """
+    ids = spokes.select("cid").unionByName(spokes.select(F.col("reference").alias("cid")))
+    sets = _sets_of(ids, classes, docs, n, frequent)
+    of_references = spokes.select(F.col("reference").alias("cid")).distinct().join(sets, "cid")
+    of_references = of_references.select(F.col("cid").alias("reference"), F.col("keys").alias("y"))
+    of_references = materialize(of_references, "references", true_size=True)
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reference, cid, x, y = (batch.column(i) for i in range(4))
+            sizes, counts, prefixes, linked = [], [], [], []
+            for i in range(batch.num_rows):
+                p = np.frombuffer(x[i].as_buffer(), np.uint64)
+                q = np.frombuffer(y[i].as_buffer(), np.uint64)
+                more = np.setdiff1d(p, q, assume_unique=True)
+                less = np.setdiff1d(q, p, assume_unique=True)
+                a, b = (int(np.searchsorted(side, np.uint64(1 << 63))) for side in (more, less))
+                apart = np.concatenate([more[:a], less[b:], more[a:], less[:b]])
+                counts.append(len(p))
+                sizes.append(len(apart))
+                linked.append((100 + percent) * len(apart) <= (100 - percent) * (len(p) + len(q)))
+                # Linked sets differ in no more than this, whatever the other's size.
+                most = len(p) * (100 - percent) // percent + 1
+                prefixes.append(apart[:most].view(np.int64))
+            types = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.bool_()]
+            yield pa.RecordBatch.from_arrays(
+                [reference, cid, *[pa.array(v, t) for v, t in zip((counts, sizes, prefixes, linked), types)]],
+                names=["reference", "cid", "n", "size", "prefix", "linked"],
+            )
+
+    joined = spokes.join(sets, "cid").join(of_references, "reference")
+    schema = "reference bigint, cid bigint, n int, size int, prefix array<bigint>, linked boolean"
+    return materialize(
+        joined.select("reference", "cid", F.col("keys").alias("x"), "y").mapInArrow(differ, schema), "differences"
+    )
+
+
+def _open_pairs(
+    grouped: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, frequent
+) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of pairs that may be linked, and (a, b) of links with references; written tables.
+
+    ``grouped`` has (cid, n_shingles, n_rare, prefix, component). Pairs within a
+    component are left out, and lists that lie within one.
+    """
+    key = ["reference", "gram"]
+    rows = grouped.select(
+        F.lit(_NO_REFERENCE).cast("bigint").alias("reference"),
+        "cid",
+        F.col("n_shingles").alias("n"),
+        F.col("n_shingles").alias("size"),
+        "n_rare",
+        "component",
+        "prefix",
+    )
+    no_pairs = rows.sparkSession.createDataFrame([], "a bigint, b bigint")
+    pairs, links = no_pairs, no_pairs
+    for last in [*[False] * (ROUNDS - 1), True]:
+        entries = rows.select("*", F.posexplode("prefix").alias("pos", "gram")).drop("prefix")
+        if last:
+            return materialize(pairs.unionByName(_candidates(entries, percent)).distinct(), "pairs"), links
+        counts = entries.groupBy(*key).agg(F.count("*").alias("entries")).where(F.col("entries") > HOT)
+        counts = materialize(counts.select(*key), "hot-counts", true_size=True)
+        hot = entries.join(counts, key).groupBy(*key).agg(
+            F.min(F.struct("n_rare", "cid")).alias("l"), F.min("component").alias("low"), F.max("component").alias("high")
+        )
+        hot = hot.where("low < high").select(*key, F.col("l.cid").alias("next"))
+        hot = materialize(hot, "hot-lists", true_size=True)
+        cold = _candidates(entries.join(counts, key, "left_anti"), percent)
+        pairs = materialize(pairs.unionByName(cold), "cold-pairs")
+        if hot.isEmpty():
+            return materialize(pairs.distinct(), "pairs"), links
+        spokes = entries.join(hot, key).where("cid <> next").select(F.col("next").alias("reference"), "cid")
+        spokes = materialize(spokes.distinct(), "spokes")
+        apart = _differences(spokes, classes, docs, n, percent, frequent)
+        links = links.unionByName(apart.where("linked").select(F.col("reference").alias("a"), F.col("cid").alias("b")))
+        rows = apart.drop("linked").join(grouped.select("cid", "n_rare", "component"), "cid")
+
+
 def _judged(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Pairs that may still be linked; ``derived`` ones are for certain, since two
     sets share at least |x & L| + |y & L| - |L|, and at most what they can share
@@ -363,9 +479,9 @@ def _links(
         F.min(F.struct(F.col("a").alias("leader"), F.col("n_a").alias("n_leader"), "overlap")).alias("l")
     )
     grouped = full.join(component, "cid", "left").select(
-        "cid", "n_shingles", "prefix", F.coalesce("component", "cid").alias("component")
+        "cid", "n_shingles", "n_rare", "prefix", F.coalesce("component", "cid").alias("component")
     )
-    pairs = materialize(_candidates(grouped, percent), "pairs")
+    pairs, spokes = _open_pairs(grouped, classes, docs, n, percent, frequent)
     known = classes.join(leader, "cid", "left").select("cid", F.col("n_shingles").alias("n"), "l.*")
     # Pairs of a leader are verified already.
     done = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -373,7 +489,7 @@ def _links(
     found = materialize(found, "candidates")
     open_pairs = materialize(_prefix_checked(found.where("not derived"), full, percent), "open-pairs")
     more = verified(open_pairs, classes, docs, n, percent, frequent)
-    every = first_links.unionByName(found.where("derived").select("a", "b")).unionByName(
+    every = first_links.unionByName(spokes).unionByName(found.where("derived").select("a", "b")).unionByName(
         more.where("linked").select("a", "b")
     )
     return materialize(every, "links")

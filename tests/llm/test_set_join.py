@@ -58,6 +58,39 @@ def test_long_lists_are_cut_into_cells(spark, monkeypatch):
     assert got(frame(spark, rows), 3, 90) == expected(rows, 3, 90)
 
 
+@pytest.mark.parametrize("n, percent, seed", [(3, 90, 6), (5, 80, 7), (3, 100, 8)])
+def test_long_lists_are_indexed_by_differences(spark, monkeypatch, n, percent, seed):
+    monkeypatch.setattr(set_join, "HOT", 2)
+    monkeypatch.setattr(set_join, "_LEADERS", 0)
+    rows = near_copies(seed, bases=3, copies=20) + [(i + 500 if i is not None else None, t) for i, t in awkward()]
+    assert got(frame(spark, rows), n, percent) == expected(rows, n, percent)
+
+
+@pytest.mark.parametrize("with_base", [True, False])
+def test_pairs_of_a_large_group_just_under_the_limit(spark, monkeypatch, with_base):
+    rng = random.Random(9)
+    base = prose(rng, 100, 900).split()
+    texts = [" ".join(base)] * with_base
+    for k in range(400):
+        words = list(base)
+        for at in rng.sample(range(100), rng.choice([1, 2, 2, 3])):
+            words[at] = f"n{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    made, write = Counter(), set_join.materialize
+
+    def counted(df, name, **options):
+        out = write(df, name, **options)
+        made[name] = max(made[name], out.count())
+        return out
+
+    monkeypatch.setattr(set_join, "materialize", counted)
+    assert got(frame(spark, rows), 3, 90) == expected(rows, 3, 90)
+    # A group of 400 has 79800 pairs.
+    assert made["pairs"] < 4000
+    assert made["candidates"] < 4000
+
+
 def test_frequent_grams_change_no_result(spark, monkeypatch):
     monkeypatch.setattr(set_join, "FREQUENT", 3)
     rows = near_copies(4, bases=2)
