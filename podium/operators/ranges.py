@@ -76,12 +76,16 @@ class Ranges:
             return F.lit(False)
         return self._own_key() >= F.get(self.splitters, F.lit(number - 1))
 
-    def deal(self, df: DataFrame, range_name: str, part_name: str) -> DataFrame:
+    def deal(
+        self, df: DataFrame, range_name: str, part_name: str, task_name: str | None = None, tasks: int = 0
+    ) -> DataFrame:
         """``df`` with its ``range_name``, and in one exchange dealt to partitions numbered ``part_name``.
 
         A partition holds a range, or a part of a range of a single key; these
         are dealt by a hash of the whole row and its present partition. A
-        window by ``part_name`` needs no further exchange.
+        window by ``part_name`` needs no further exchange. With a ``task_name``, there
+        are ``tasks`` partitions at most, numbered so; neighbouring parts share one
+        where there are more parts, and a window goes by both names.
         """
         df = df.withColumn(range_name, self.find())
         first = _integers(itertools.accumulate(self.parts[:-1], initial=0))
@@ -93,7 +97,13 @@ class Ranges:
                 F.xxhash64(*hashed, F.spark_partition_id()), F.get(_integers(self.parts), F.col(quoted(range_name)))
             )
             place = place + spread.cast("int")
-        return df.withColumn(part_name, place).repartitionById(sum(self.parts), F.col(quoted(part_name)))
+        n_parts = sum(self.parts)
+        dealt = df.withColumn(part_name, place)
+        if task_name is None:
+            return dealt.repartitionById(n_parts, F.col(quoted(part_name)))
+        tasks = max(1, min(tasks, n_parts))
+        task = F.floor(F.col(quoted(part_name)).cast("bigint") * tasks / n_parts).cast("int")
+        return dealt.withColumn(task_name, task).repartitionById(tasks, F.col(quoted(task_name)))
 
 
 def _integers(numbers: Iterable[int]) -> Column:
@@ -125,6 +135,11 @@ def range_count(df: DataFrame, n_rows: int, rows_per_range: int, least_rows: int
     return max(1, min(wanted, MOST_RANGES))
 
 
+def task_count(df: DataFrame, n_rows: int, rows_per_task: int = 5_000_000) -> int:
+    """Tasks for ``n_rows`` rows: as many as the session shuffles to, more above ``rows_per_task`` rows each."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_rows / rows_per_task))
+
+
 def value_ranges(df: DataFrame, columns: Sequence[str], n_rows: int, ranges: int) -> Ranges:
     """Cut the ``n_rows`` rows of ``df`` to about ``ranges`` ranges of their ``columns``. An action.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from podium.functions.names import free_name, quoted
-from podium.operators.ranges import Ranges, free_names, range_count, splitter_value, value_ranges
+from podium.operators.ranges import Ranges, free_names, range_count, splitter_value, task_count, value_ranges
 from podium.operators.topk import sort_desc, top1
 from podium.sources.scratch import materialize
 
@@ -34,7 +34,8 @@ def rank_in_partition(
     replaced, as ``withColumn`` does.
 
     The rows are dealt once, to ranges of (partition, measure) of about
-    ``rows_per_task`` rows, and ranked there. A partition that goes on in the
+    ``rows_per_task`` rows, and ranked there; a task ranks several ranges, one
+    after the other, where there are more than ``task_count`` says. A partition that goes on in the
     ranges behind adds these ranges' rows of it, which are all better: prefix
     sums over a row for each such range, at most as many as ranges, hence the
     broadcast. A value that fills ranges by itself has one of its own, dealt to
@@ -46,12 +47,12 @@ def rank_in_partition(
     rows = df.drop(name) if name in df.columns and name not in (partition, measure) else df
     n_rows = df.count()
     ranges = value_ranges(df, [partition, measure], n_rows, range_count(df, n_rows, rows_per_task))
-    number, part, inside, own, at, ahead = free_names(
-        df.withColumn(name, F.lit(0)), "_range", "_part", "_inside", "_own", "_at", "_ahead"
+    number, part, task, inside, own, at, ahead = free_names(
+        df.withColumn(name, F.lit(0)), "_range", "_part", "_task", "_inside", "_own", "_at", "_ahead"
     )
     p, best_first = F.col(quoted(partition)), F.desc_nulls_last(quoted(measure))
-    dealt = ranges.deal(rows, number, part)
-    ranked = dealt.withColumn(inside, F.rank().over(Window.partitionBy(part, p).orderBy(best_first)))
+    dealt = ranges.deal(rows, number, part, task, task_count(df, n_rows))
+    ranked = dealt.withColumn(inside, F.rank().over(Window.partitionBy(task, part, p).orderBy(best_first)))
     place = F.col(inside).cast("bigint")
     if ranges.count > 1:
         crossing = _crossing(df, partition, ranges).select(

@@ -120,6 +120,14 @@ def test_rank_exchanges_rows_once(spark, rows_per_task):
     assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
 
 
+def test_many_ranges_share_the_tasks(spark):
+    data = hot_data(600)
+    ranked = op.rank_in_partition(spark.createDataFrame(data, SCHEMA), "p", "m", rows_per_task=4)
+    assert {r.id: r.ranking for r in ranked.collect()} == brute_ranks(data)
+    # Of 150 ranges, not one task each.
+    assert op.partition_count(ranked) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @pytest.mark.parametrize(
     "kind", ["int", "string", "date", "timestamp", "timestamp_ntz", "boolean", "decimal(20,3)", "binary", "float", "struct<a:int,b:string>"]
 )
