@@ -18,29 +18,45 @@ from podium.llm.tables import table
 from podium.sources import materialize
 from pyspark.sql import DataFrame, SparkSession
 
+# Rows that go to a Python worker and back at a time; Spark's own 10,000 are 20 MB of text
+# or more, held several times over by the executor's Arrow buffers and each worker.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Set for the session: the caller writes a stage's result, after the stage has returned it."""
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold go."""
+    _small_batches(spark)
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs go, and documents that had nothing else."""
+    _small_batches(spark)
     return drop_repeated_lines(docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8, one stays."""
+    _small_batches(spark)
     return keep_one(docs, n=5, percent=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage near a benchmark item go."""
+    _small_batches(spark)
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining documents as sequences of at most 1024 tokens."""
+    _small_batches(spark)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 

@@ -96,3 +96,15 @@ def test_run_is_the_stages_row_by_row(spark, stages):
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     got = corpus_pipeline.run(spark, SF_DIR).select(columns).collect()
     assert sorted(map(tuple, got)) == sorted(stages[5][columns].itertuples(index=False, name=None))
+
+
+@pytest.mark.parametrize("before, after", [("10000", "1000"), ("0", "1000"), ("200", "200")])
+def test_stages_send_small_batches_to_python(spark, before, after):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(setting, before)
+    try:
+        docs = frame(spark, [(1, "some words"), (2, None)])
+        dict(corpus_pipeline.STAGES)["best_fit_packing"](spark, docs, "")
+        assert spark.conf.get(setting) == after
+    finally:
+        spark.conf.unset(setting)
