@@ -1,12 +1,15 @@
 """Class-based bigram language model with exchange clustering.
 
-The most frequent words are assigned to classes by exchange: each word moves to
-the class that most raises the likelihood of the class bigrams, round after
-round, a part of the words at a time. All other words form classes by their
-shape. A word's probability is the probability of its class after the class
-before, times its share of its class; both are smoothed. (Brown et al.,
-"Class-Based n-gram Models of Natural Language", 1992; Uszkoreit and Brants,
-"Distributed Word Clustering", 2008.)
+All words are assigned to classes by exchange: each moves to the class that
+most raises the likelihood of the class bigrams. The most frequent words do so
+together, round after round, a part of them at a time, on the driver; each
+other word does so on the executors, against the bigrams of their classes. All
+bigrams count, with text starts and ends; a word that has no class yet counts
+as one of its shape. A word's probability is the probability of its class after
+the class before, times its share of its class. Every word leaves a part of its
+count to unseen words of its shape, which are classes of their own. (Brown et
+al., "Class-Based n-gram Models of Natural Language", 1992; Uszkoreit and
+Brants, "Distributed Word Clustering", 2008.)
 """
 
 from __future__ import annotations
@@ -23,20 +26,27 @@ from pyspark.sql import functions as F
 from podium.llm.frequent import most_frequent
 from podium.llm.nbsvm import fold
 from podium.llm.words import Lookup, chunks, hash_words, lower_bytes, text_bytes, words_of
-from podium.sources import materialize
+from podium.sources import materialize, scratch_scope
 
-# Words whose counts are broadcast, 12 bytes each. The counts of the others are joined.
+# Words whose counts and classes are broadcast, 14 bytes each. Those of the others are joined.
 FREQUENT = 300_000
-# Words that exchange clustering assigns, and their classes.
+# Words that move together, on the driver, and the classes of all words.
 CLUSTERED = 8_192
 CLASSES = 64
 ROUNDS = 12
-# Classes of all other words, by shape.
+# A round moves one of so many parts of a permutation; the next permutation follows the last part.
+_PARTS = 4
+# Classes of unseen words, by shape.
 SHAPES = 16
+# Classes: clusters, shapes, the end; the start of a text is a context of its own.
+_END = CLASSES + SHAPES
+_START = _END + 1
+_N = _END + 2
 _HELD = 4_000_000
 _DISCOUNT = 0.75
-_UNSEEN = 0.5
 _TRANSITION = 0.1
+# Shares of a token are whole multiples of one in so many, so that their sums are exact.
+_UNITS = 1 << 12
 
 
 def shapes_of(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -94,37 +104,102 @@ def count_words(train: DataFrame) -> DataFrame:
     return counts.groupBy("word", "shape").agg(F.sum("c").alias("c"))
 
 
-def _pairs(train: DataFrame, clustered: Lookup) -> DataFrame:
-    """(left, right, c): bigrams of two clustered words, by their places in the list."""
-    shared = train.sparkSession.sparkContext.broadcast(clustered)
+def _packed(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    """The bytes of each text's values, which begin at ``first``."""
+    offsets = (first * values.itemsize).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.Array.from_buffers(pa.binary(), len(first) - 1, buffers)
+
+
+def _unpacked(column: pa.Array, dtype: type) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_packed`` took: all values, and each text's first plus the end."""
+    raw, offsets = text_bytes(column.cast(pa.large_binary()).view(pa.large_string()))
+    size = np.dtype(dtype).itemsize
+    return np.frombuffer(raw.tobytes(), dtype), offsets // size
+
+
+def _code(docs: DataFrame, frequent: Lookup) -> DataFrame:
+    """(doc_id, held_out, places, rare) of each row of ``docs`` (doc_id, held_out, text).
+
+    ``places`` has the place of each word in the list, or -1 less its shape;
+    ``rare`` the hashes of the words that the list lacks.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch):
+                words, shape, first = _words(part.column(part.schema.get_field_index("text")))
+                place = shared.value.find(words)
+                out = place < 0
+                n_out = np.concatenate([[0], np.cumsum(out)])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(part.schema.get_field_index("doc_id")),
+                        part.column(part.schema.get_field_index("held_out")),
+                        _packed(np.where(out, -1 - shape, place).astype(np.int32), first),
+                        _packed(words[out].view(np.int64), n_out[first]),
+                    ],
+                    names=["doc_id", "held_out", "places", "rare"],
+                )
+
+    columns = "doc_id bigint, held_out boolean, places binary, rare binary"
+    return docs.select("doc_id", "held_out", "text").mapInArrow(code, columns)
+
+
+def _sequence(own: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every token with the ends put in, the token before each (``end`` + 1: none), and where words are."""
+    ends = np.cumsum(np.diff(first) + 1) - 1
+    tokens = np.full(len(own) + len(ends), end)
+    is_word = np.ones(len(tokens), bool)
+    is_word[ends] = False
+    tokens[is_word] = own
+    context = np.concatenate([[end + 1], tokens[:-1]])
+    context[ends[:-1] + 1] = end + 1
+    return tokens, context[: len(tokens)], np.flatnonzero(is_word)
+
+
+def _by_shape(places: np.ndarray, values: np.ndarray, shapes: np.ndarray, above: int) -> np.ndarray:
+    """Values of the words that have some, ``above`` and the shape for all others."""
+    known = np.concatenate([values, above + shapes[len(values) :], [0]])
+    return np.where(places >= 0, known[np.maximum(places, -1)], above - 1 - places)
+
+
+def _pairs(train: DataFrame, n_words: int, shapes: np.ndarray) -> DataFrame:
+    """(left, right, c): all bigrams of coded texts.
+
+    Behind the places of the first ``n_words`` frequent words come the shapes
+    of all other words, the end and the start.
+    """
+    shared = train.sparkSession.sparkContext.broadcast(shapes)
+    end = n_words + SHAPES
+    size = end + 2
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n_held = [], 0
 
         def counted() -> pa.RecordBatch:
             pairs, times = np.unique(np.concatenate(held), return_counts=True)
-            left, right = np.divmod(pairs, CLUSTERED)
+            left, right = np.divmod(pairs, size)
             return pa.RecordBatch.from_arrays(
                 [pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)), pa.array(times)],
                 names=["left", "right", "c"],
             )
 
         for batch in batches:
-            for part in chunks(batch):
-                words, _, first = _words(part.column(part.schema.get_field_index("text")))
-                place = shared.value.find(words)
-                follows = np.ones(len(words), bool)
-                follows[first[:-1][first[:-1] < len(words)]] = False
-                both = follows[1:] & (place[1:] >= 0) & (place[:-1] >= 0)
-                held.append(place[:-1][both] * CLUSTERED + place[1:][both])
-                n_held += len(held[-1])
+            for part in chunks(batch, "places"):
+                places, first = _unpacked(part.column(0), np.int32)
+                own = _by_shape(places, np.arange(n_words), shared.value, n_words)
+                tokens, context, _ = _sequence(own, first, end)
+                held.append(context * size + tokens)
+                n_held += len(tokens)
                 if n_held >= _HELD:
                     yield counted()
                     held, n_held = [], 0
         if held:
             yield counted()
 
-    pairs = train.select("text").mapInArrow(count, "left int, right int, c bigint")
+    pairs = train.select("places").mapInArrow(count, "left int, right int, c bigint")
     return pairs.groupBy("left", "right").agg(F.sum("c").alias("c"))
 
 
@@ -135,19 +210,19 @@ def _neighbours(pairs: DataFrame, classes: np.ndarray) -> tuple[np.ndarray, np.n
 
     def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared.value
-        sums = np.zeros(2 * n * CLASSES)
+        sums = np.zeros(2 * n * _N)
         for frame in frames:
             left, right, c = (frame[x].to_numpy(np.int64) for x in ("left", "right", "c"))
-            sums += np.bincount(left * CLASSES + own[right], c, len(sums))
-            sums += np.bincount((n + right) * CLASSES + own[left], c, len(sums))
+            np.add.at(sums, left * _N + own[right], c)
+            np.add.at(sums, (n + right) * _N + own[left], c)
         at = np.flatnonzero(sums)
         yield pd.DataFrame({"at": at, "c": sums[at].astype(np.int64)})
 
     cells = pairs.mapInPandas(add, "at bigint, c bigint").groupBy("at").agg(F.sum("c").alias("c"))
     got = cells.toArrow()
-    sums = np.zeros(2 * n * CLASSES)
+    sums = np.zeros(2 * n * _N)
     sums[got["at"].to_numpy()] = got["c"].to_numpy()
-    before, after = sums.reshape(2, n, CLASSES)
+    before, after = sums.reshape(2, n, _N)
     return before, after
 
 
@@ -155,10 +230,17 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-9))
 
 
+def _table(classes: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """How often each class precedes each class."""
+    member = np.zeros((len(classes), _N))
+    member[np.arange(len(classes)), classes] = 1.0
+    return member.T @ before
+
+
 def _exchange(
     classes: np.ndarray, before: np.ndarray, after: np.ndarray, movable: np.ndarray
 ) -> np.ndarray:
-    """Move each movable word, one after the other, to the class with the largest likelihood.
+    """Move each movable word, one after the other, to the cluster with the largest likelihood.
 
     The likelihood is the sum of n log n over class bigrams less that over the
     classes as left and as right context; a move touches one row and one column
@@ -166,16 +248,18 @@ def _exchange(
     move; what the words' neighbours are counts from the start of the round.
     """
     classes = classes.copy()
-    member = np.zeros((len(classes), CLASSES))
-    member[np.arange(len(classes)), classes] = 1.0
-    table = member.T @ before
+    table = _table(classes, before)
     for w in movable:
         own, out, into = classes[w], before[w], after[w]
         table[own] -= out
         table[:, own] -= into
         table = np.maximum(table, 0.0)
-        rows, columns, held = table.sum(1), table.sum(0), _xlogx(table)
-        gain = (_xlogx(table + out) - held).sum(1) + (_xlogx(table + into[:, None]) - held).sum(0)
+        rows, columns = table[:CLASSES].sum(1), table[:, :CLASSES].sum(0)
+        right, left = np.flatnonzero(out), np.flatnonzero(into)
+        # Cells that the word adds nothing to make no difference.
+        behind, ahead = table[:CLASSES, right], table[left, :CLASSES]
+        gain = (_xlogx(behind + out[right]) - _xlogx(behind)).sum(1)
+        gain += (_xlogx(ahead + into[left, None]) - _xlogx(ahead)).sum(0)
         gain -= _xlogx(rows + out.sum()) - _xlogx(rows)
         gain -= _xlogx(columns + into.sum()) - _xlogx(columns)
         best = int(gain.argmax())
@@ -187,243 +271,326 @@ def _exchange(
     return classes
 
 
-def cluster(pairs: DataFrame, n_words: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Class of each word, by exchange. ``pairs`` is a written table.
+def cluster(pairs: DataFrame, n_words: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each of the first words, by exchange, and the table of class bigrams.
 
-    Each round, the executors count every word's neighbours by class, and a
-    quarter of the words, which is at most ``CLUSTERED`` / 4, moves.
+    ``pairs`` is a written table of ``_pairs``. Each round, the executors count
+    every word's neighbours by class, and a quarter of the words, which is at
+    most ``CLUSTERED`` / 4, moves; four rounds go through all words.
     """
-    classes = np.arange(n_words) % CLASSES
+    classes = np.concatenate([np.arange(n_words) % CLASSES, CLASSES + np.arange(SHAPES + 2)])
     rng = np.random.default_rng(0)
-    for _ in range(rounds if n_words else 0):
+    for i in range(rounds if n_words else 0):
+        if i % _PARTS == 0:
+            order = rng.permutation(n_words)
         before, after = _neighbours(pairs, classes)
-        classes = _exchange(classes, before, after, rng.permutation(n_words)[: -(-n_words // 4)])
-    return classes
+        classes = _exchange(classes, before, after, order[i % _PARTS :: _PARTS])
+    return classes[:n_words], _table(classes, _neighbours(pairs, classes)[0])
+
+
+def _surroundings(train: DataFrame, hashes: np.ndarray, shapes: np.ndarray, classes: np.ndarray) -> DataFrame:
+    """(word, around): the classes before and after each occurrence of all words but the clustered."""
+    shared = train.sparkSession.sparkContext.broadcast((hashes, shapes, classes))
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, shapes, classes = shared.value
+        held, around, n_held = [], [], 0
+
+        def grouped() -> pa.RecordBatch:
+            words, pairs = np.concatenate(held), np.concatenate(around)
+            order = np.argsort(words)
+            words, at = np.unique(words[order], return_index=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words), _packed(pairs[order], np.append(at, len(order)))],
+                names=["word", "around"],
+            )
+
+        for batch in batches:
+            for part in chunks(batch, "places"):
+                places, first = _unpacked(part.column(0), np.int32)
+                tokens, context, at = _sequence(_by_shape(places, classes, shapes, CLASSES), first, _END)
+                words = np.append(hashes.view(np.int64), 0)[np.maximum(places, -1)]
+                words[places < 0] = _unpacked(part.column(1), np.int64)[0]
+                out = (places < 0) | (places >= len(classes))
+                held.append(words[out])
+                around.append((context[at[out]] + 256 * tokens[at[out] + 1]).astype("<u2"))
+                n_held += len(held[-1])
+                if n_held >= _HELD:
+                    yield grouped()
+                    held, around, n_held = [], [], 0
+        if n_held:
+            yield grouped()
+
+    return train.select("places", "rare").mapInArrow(collect, "word bigint, around binary")
+
+
+class _Gains:
+    """What each cluster gains by a word, from how often the word has which class before or after it."""
+
+    FEW = 16  # Gains of up to so many occurrences are looked up.
+    AT_ONCE = 1 << 15  # Pairs of a word and a class that are weighed together.
+
+    def __init__(self, table: np.ndarray) -> None:
+        # Contexts before the word, then those after it.
+        self.cells = np.concatenate([table[:, :CLASSES], table[:CLASSES].T])
+        self.sums = np.stack([table[:CLASSES].sum(1), table[:, :CLASSES].sum(0)])
+        few = np.arange(1, self.FEW + 1)[:, None]
+        self.few = _xlogx(self.cells[:, None] + few) - _xlogx(self.cells)[:, None]
+        # All words that fit nowhere would meet in an empty cluster, as each is weighed on its own.
+        self.empty = self.sums.sum(0) == 0
+
+    def best(self, owner: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The best cluster and the count of each word; ``owner`` is the word of each occurrence, in order."""
+        counts = np.bincount(owner)
+        places = np.concatenate([around & 255, _N + (around >> 8)]).astype(np.int64)
+        keys, times = np.unique(np.tile(owner, 2) * (2 * _N) + places, return_counts=True)
+        word, place = np.divmod(keys, 2 * _N)
+        starts = np.searchsorted(word, np.arange(len(counts) + 1))
+        best = np.empty(len(counts), np.int32)
+        w = 0
+        while w < len(counts):
+            end = max(w + 1, int(np.searchsorted(starts, starts[w] + self.AT_ONCE, "right")) - 1)
+            cut = slice(starts[w], starts[end])
+            own, n = place[cut], times[cut]
+            gain = self.few[own, np.minimum(n, self.FEW) - 1]
+            many = n > self.FEW
+            cells = self.cells[own[many]]
+            gain[many] = _xlogx(cells + n[many, None]) - _xlogx(cells)
+            gain = np.add.reduceat(gain, starts[w:end] - starts[w], axis=0)
+            c, at = np.unique(counts[w:end], return_inverse=True)
+            gain -= (_xlogx(self.sums[:, None] + c[:, None]) - _xlogx(self.sums)[:, None]).sum(0)[at]
+            gain[:, self.empty] = -np.inf
+            best[w:end] = gain.argmax(1)
+            w = end
+        return best, counts
+
+
+def assign(surroundings: DataFrame, table: np.ndarray) -> DataFrame:
+    """(word, class, c) of each word of ``_surroundings``: the cluster that gains most by it, its count.
+
+    ``table`` counts these words by their shapes. Each is weighed against it on
+    its own, so the result does not depend on order or partitions.
+    """
+    shared = surroundings.sparkSession.sparkContext.broadcast(_Gains(table))
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def weighed(words: np.ndarray, own: list[np.ndarray]) -> pa.RecordBatch:
+            distinct, owner = np.unique(words, return_inverse=True)
+            best, counts = shared.value.best(np.repeat(owner, [len(x) for x in own]), np.concatenate(own))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(distinct), pa.array(best), pa.array(counts)], names=["word", "class", "c"]
+            )
+
+        held, around = np.zeros(0, np.int64), []
+        for batch in batches:
+            held = np.concatenate([held, batch.column(0).to_numpy()])
+            values, first = _unpacked(batch.column(1), "<u2")
+            around += np.split(values, first[1:-1])
+            # The last word may go on in the next batch.
+            done = int(np.searchsorted(held, held[-1])) if len(held) else 0
+            if done:
+                yield weighed(held[:done], around[:done])
+                held, around = held[done:], around[done:]
+        if len(held):
+            yield weighed(held, around)
+
+    rows = surroundings.repartition("word").sortWithinPartitions("word")
+    return rows.mapInArrow(weigh, "word bigint, class int, c bigint")
+
+
+def _join_rare(coded: DataFrame, classes: DataFrame) -> DataFrame:
+    """``coded`` with ``joined``: (word, class, c) of all words of ``rare`` that have a class."""
+    coded = coded.withColumn("rid", F.monotonically_increasing_id())
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, first = _unpacked(batch.column(1), np.int64)
+            own = [np.unique(words[a:b]) for a, b in zip(first[:-1], first[1:])]
+            rids = np.repeat(batch.column(0).to_numpy(), [len(x) for x in own])
+            if len(rids):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rids), pa.array(np.concatenate(own))], names=["rid", "word"]
+                )
+
+    rare = coded.where(F.length("rare") > 0).select("rid", "rare")
+    found = rare.mapInArrow(unpack, "rid bigint, word bigint").join(classes, "word")
+    found = found.groupBy("rid").agg(F.collect_list(F.struct("word", "class", "c")).alias("joined"))
+    return coded.join(found, "rid", "left").drop("rid")
+
+
+def _kept(c: np.ndarray) -> np.ndarray:
+    """Units of each token of a word with count ``c`` that its class keeps; all, of an unseen word."""
+    return _UNITS - np.where(c > 0, np.rint(_UNITS * _DISCOUNT / np.maximum(c, 1)), 0).astype(np.int64)
 
 
 @dataclass(frozen=True)
-class Model:
-    """Everything that scoring needs but the counts of rare words."""
+class Words:
+    """Counts, shapes and classes of the frequent words."""
 
-    frequent: Lookup
-    counts: np.ndarray  # of frequent words
+    counts: np.ndarray
     shapes: np.ndarray
-    classes: np.ndarray  # of clustered words, the first of the frequent ones
+    classes: np.ndarray
+
+    def of(self, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Count, shape and class of every word of ``_join_rare``, and each text's first plus the end."""
+        column = lambda name: part.column(part.schema.get_field_index(name))
+        places, first = _unpacked(column("places"), np.int32)
+        known = np.append(self.counts, 0)[np.maximum(places, -1)]
+        shape = _by_shape(places, np.zeros(0, np.int64), self.shapes, 0)
+        own = _by_shape(places, self.classes, self.shapes, CLASSES)
+        rare, _ = _unpacked(column("rare"), np.int64)
+        joined = column("joined").flatten()
+        if len(joined):
+            words, at = np.unique(joined.field("word").to_numpy(), return_index=True)
+            place = np.minimum(np.searchsorted(words, rare), len(words) - 1)
+            hit, at = words[place] == rare, at[place]
+            here = np.flatnonzero(places < 0)[hit]
+            known[here] = joined.field("c").to_numpy()[at[hit]]
+            own[here] = joined.field("class").to_numpy()[at[hit]]
+        return known, shape, own, first
+
+
+@dataclass(frozen=True)
+class Model:
+    """Everything that scoring needs but the classes of rare words."""
+
+    words: Words
     transitions: np.ndarray  # log10, from class to class
-    totals: np.ndarray  # tokens of each class
-    types: np.ndarray  # of each shape, clustered words left out
+    totals: np.ndarray  # tokens of each class, less what they leave to unseen words
+    n_ends: int
     tokens: int  # all training tokens
     vocabulary: int
 
+    counts = property(lambda self: self.words.counts)
+    shapes = property(lambda self: self.words.shapes)
+    classes = property(lambda self: self.words.classes)
+
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.1) / (self.tokens + 0.1 * (self.vocabulary + 1)))
 
-    def emission(self, c: np.ndarray, shape: np.ndarray) -> np.ndarray:
-        """log10 share of a word with count ``c`` (0: unseen) in its shape's class."""
-        total = self.totals[CLASSES + shape] + _UNSEEN
-        unseen = _DISCOUNT * self.types[shape] + _UNSEEN
-        return np.log10(np.where(c > 0, c - _DISCOUNT, unseen) / total)
-
-
-# Classes: clusters, shapes, the end; the start of a text is a context of its own.
-_END = CLASSES + SHAPES
-_START = _END + 1
-_N = _END + 2
-
-
-def _class_sequence(place, shape, first, classes) -> tuple[np.ndarray, np.ndarray]:
-    """Class of every token with the ends put in, and of the token before each."""
-    n_docs = len(first) - 1
-    own = np.where(
-        (place >= 0) & (place < len(classes)),
-        np.concatenate([classes, [0]])[np.clip(place, 0, len(classes))],
-        CLASSES + shape,
-    )
-    lengths = np.diff(first) + 1
-    ends = np.cumsum(lengths) - 1
-    tokens = np.full(len(own) + n_docs, _END)
-    is_word = np.ones(len(tokens), bool)
-    is_word[ends] = False
-    tokens[is_word] = own
-    context = np.concatenate([[_START], tokens[:-1]])
-    context[ends[:-1] + 1] = _START
-    return tokens, context[: len(tokens)]
-
+    def emission(self, c: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """log10 share of a word with count ``c`` in its class; an unseen word is all of its class."""
+        kept = c * _kept(c) / _UNITS
+        return np.log10(np.where(c > 0, kept / np.where(c > 0, self.totals[own], 1), 1.0))
 
-def fit(train: DataFrame) -> tuple[Model, DataFrame]:
-    """The model of ``train`` (text), and the written table of all its word counts."""
-    spark = train.sparkSession
-    counts = materialize(count_words(train), "word-counts")
-    top = most_frequent(counts, "word", FREQUENT)
-    hashes = top["word"].to_numpy().view(np.uint64)
-    frequent, n_clustered = Lookup(hashes), min(CLUSTERED, len(hashes))
-    pairs = materialize(_pairs(train, Lookup(hashes[:n_clustered])), "word-pairs")
-    classes = cluster(pairs, n_clustered)
 
-    shared = spark.sparkContext.broadcast((frequent, classes))
+def _transitions(joined: DataFrame, words: Words) -> np.ndarray:
+    """How often each class follows each; a part of every token counts as an unseen word of its shape."""
+    shared = joined.sparkSession.sparkContext.broadcast(words)
 
     def transit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_known, own = shared.value
         sums = np.zeros(_N * _N, np.int64)
         for batch in batches:
-            for part in chunks(batch):
-                words, shape, first = _words(part.column(part.schema.get_field_index("text")))
-                tokens, context = _class_sequence(words_known.find(words), shape, first, own)
-                sums += np.bincount(context * _N + tokens, minlength=_N * _N)
+            for part in chunks(batch, "places"):
+                c, shape, own, first = shared.value.of(part)
+                tokens, context, at = _sequence(own, first, _END)
+                shapes, before, _ = _sequence(CLASSES + shape, first, _END)
+                kept = np.full(len(tokens), _UNITS)
+                kept[at] = _kept(c)
+                kept_before = np.where(context == _START, _UNITS, np.concatenate([[_UNITS], kept[:-1]]))
+                for left, n in ((context, kept_before), (before, _UNITS - kept_before)):
+                    for right, m in ((tokens, kept), (shapes, _UNITS - kept)):
+                        sums += np.bincount(left * _N + right, n * m, _N * _N).astype(np.int64)
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["at", "c"])
 
-    cells = train.select("text").mapInArrow(transit, "at bigint, c bigint")
-    got = cells.groupBy("at").agg(F.sum("c").alias("c")).toArrow()
+    cells = joined.select("places", "rare", "joined").mapInArrow(transit, "at bigint, c bigint")
+    # Decimals, since the units of a large table are beyond a long.
+    got = cells.groupBy("at").agg(F.sum(F.col("c").cast("decimal(38,0)")).cast("double").alias("c")).toArrow()
     table = np.zeros(_N * _N)
     table[got["at"].to_numpy()] = got["c"].to_numpy()
-    table = table.reshape(_N, _N)
+    return table.reshape(_N, _N) / _UNITS**2
+
+
+def _fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
+    """The model of the rows of ``docs`` (doc_id, held_out, text) that are not held out.
+
+    Also the written table of all its word counts, and that of all rows with
+    their words' classes.
+    """
+    spark = docs.sparkSession
+    counts = materialize(count_words(docs.where(~F.col("held_out"))), "word-counts")
+    top = most_frequent(counts, "word", FREQUENT)
+    if top.num_rows < CLUSTERED:
+        # Many words of about one count: no list of all from some count on is short enough.
+        top = counts.orderBy(F.desc("c"), "word").limit(CLUSTERED).toArrow()
+    hashes = top["word"].to_numpy().view(np.uint64)
+    shapes = top["shape"].to_numpy().astype(np.int64)
+    n_clustered = min(CLUSTERED, len(hashes))
+    with scratch_scope(spark, "brown") as folder:
+        coded = materialize(_code(docs, Lookup(hashes)), "coded", folder=folder)
+        train = coded.where(~F.col("held_out"))
+        with scratch_scope(spark, "brown-pairs") as short:
+            pairs = materialize(_pairs(train, n_clustered, shapes), "word-pairs", folder=short)
+            classes, table = cluster(pairs, n_clustered)
+        rest = assign(_surroundings(train, hashes, shapes, classes), table)
+        rest = materialize(rest, "word-classes", folder=folder)
+        if n_clustered < len(hashes):
+            least = int(top["c"].to_numpy().min())
+            got = rest.where(F.col("c") >= least).toArrow()
+            order = np.argsort(got["word"].to_numpy())
+            at = np.searchsorted(got["word"].to_numpy()[order], hashes[n_clustered:].view(np.int64))
+            classes = np.concatenate([classes, got["class"].to_numpy()[order][at]])
+        joined = materialize(_join_rare(coded, rest), "classed")
+    words = Words(top["c"].to_numpy(), shapes, classes.astype(np.int64))
+    table = _transitions(joined.where(~F.col("held_out")), words)
     smooth = table + _TRANSITION
     smooth[:, _START] = 0
+    size = counts.agg(F.count("*").alias("n"), F.coalesce(F.sum("c"), F.lit(0)).alias("c")).head()
+    n_ends = int(np.rint(table[:, _END].sum()))
     with np.errstate(divide="ignore"):
         transitions = np.log10(smooth / smooth.sum(1, keepdims=True))
+    model = Model(words, transitions, table.sum(0), n_ends, size["c"] + n_ends, size["n"] + (n_ends > 0))
+    return model, counts, joined
 
-    by_shape = counts.groupBy("shape").agg(F.count("*").alias("n")).toArrow()
-    types = np.zeros(SHAPES)
-    types[by_shape["shape"].to_numpy()] = by_shape["n"].to_numpy()
-    shape = top["shape"].to_numpy().astype(np.int64)
-    types -= np.bincount(shape[:n_clustered], minlength=SHAPES)
-    n_ends = int(table[:, _END].sum())
-    return Model(
-        frequent=frequent,
-        counts=top["c"].to_numpy(),
-        shapes=shape,
-        classes=classes,
-        transitions=transitions,
-        totals=table.sum(0),
-        types=types,
-        tokens=int(table.sum()),
-        vocabulary=counts.count() + (n_ends > 0),
-    ), counts
+
+def fit(train: DataFrame) -> tuple[Model, DataFrame]:
+    """The model of ``train`` (text), and the written table of all its word counts."""
+    rows = train.select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(False).alias("held_out"), "text")
+    return _fit(rows)[:2]
 
 
 _SCORED = (
-    "doc_id bigint, n_tokens bigint, known bigint, base double, score double, rare binary"
+    "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint,"
+    " base_score double, score double"
 )
 
 
-def _local_scores(docs: DataFrame, shared) -> DataFrame:
-    """Each document's sums over all that the broadcast model knows, and its rare words."""
+def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row.
+
+    The model learns from the rows of ``docs`` (doc_id, text) outside of fold 0.
+    A null text is an empty one, and an empty one is its end. A null id is in
+    the fold of the empty string. Without training rows all words are unseen.
+    Other columns are not read. The counts and classes of all words but the
+    most frequent are joined to their occurrences, so nothing grows on the driver.
+    """
+    held_out = (fold(F.col("doc_id"), folds) == 0).alias("held_out")
+    model, _, joined = _fit(docs.select("doc_id", held_out, "text"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        n_clustered = len(model.classes)
-        class_of = np.concatenate([model.classes, [0]])
         for batch in batches:
-            for part in chunks(batch):
-                words, shape, first = _words(part.column(part.schema.get_field_index("text")))
-                place = model.frequent.find(words)
-                tokens, context = _class_sequence(place, shape, first, model.classes)
+            for part in chunks(batch, "places"):
+                c, _, own, first = model.words.of(part)
+                tokens, context, _ = _sequence(own, first, _END)
+                n, lengths = part.num_rows, np.diff(first)
+                of = np.repeat(np.arange(n), lengths)
+                of_token = np.repeat(np.arange(n), lengths + 1)
                 moves = model.transitions[context, tokens]
-                emit, base = np.zeros(len(words)), np.zeros(len(words))
-                known = place >= 0
-                c = model.counts[place[known]] if known.any() else np.zeros(0)
-                base[known] = model.base(c)
-                inner = place[known] < n_clustered
-                total = model.totals[class_of[np.clip(place[known], 0, n_clustered)]]
-                emit[known] = np.where(
-                    inner,
-                    np.log10(c / np.where(inner, total, 1)),
-                    model.emission(c, shape[known]),
-                )
-                n_ends = int(model.totals[_END])
-                end_base = float(model.base(np.array(n_ends)))
-                lengths = np.diff(first)
-                of = np.repeat(np.arange(len(lengths)), lengths)
-                of_token = np.repeat(np.arange(len(lengths)), lengths + 1)
-                n = len(lengths)
-                rare = []
-                for i in range(n):
-                    cut = slice(first[i], first[i + 1])
-                    out = ~known[cut]
-                    pair = np.stack([words[cut][out].view(np.int64), shape[cut][out]], 1)
-                    rare.append(pair.tobytes())
+                end = model.base(np.array(model.n_ends))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(part.schema.get_field_index("doc_id")),
+                        part.column(part.schema.get_field_index("held_out")),
                         pa.array(lengths + 1),
-                        pa.array(
-                            np.bincount(of, known, n).astype(np.int64) + (1 if n_ends else 0)
-                        ),
-                        pa.array(np.bincount(of, base, n) + end_base),
-                        pa.array(np.bincount(of, emit, n) + np.bincount(of_token, moves, n)),
-                        pa.array(rare, pa.binary()),
+                        pa.array(np.bincount(of, c > 0, n).astype(np.int64) + (model.n_ends > 0)),
+                        pa.array(np.full(n, model.tokens)),
+                        pa.array(np.bincount(of, model.base(c), n) + end),
+                        pa.array(np.bincount(of, model.emission(c, own), n) + np.bincount(of_token, moves, n)),
                     ],
-                    names=["doc_id", "n_tokens", "known", "base", "score", "rare"],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(score, _SCORED)
-
-
-def _rare_words(rows: DataFrame) -> DataFrame:
-    """(rid, word, shape, times) of the words that the broadcast model lacks."""
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rids, words, shapes, times = [], [], [], []
-            for rid, rare in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                pair = np.frombuffer(rare, np.int64).reshape(-1, 2)
-                own, at, n = np.unique(pair[:, 0], return_index=True, return_counts=True)
-                rids.append(np.full(len(own), rid))
-                words.append(own)
-                shapes.append(pair[at, 1].astype(np.int32))
-                times.append(n)
-            if rids:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (rids, words, shapes, times)],
-                    names=["rid", "word", "shape", "times"],
-                )
-
-    rare = rows.where(F.length("rare") > 0).select("rid", "rare")
-    return rare.mapInArrow(unpack, "rid bigint, word bigint, shape int, times bigint")
-
-
-def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row.
-
-    The model learns from the rows of ``docs`` (doc_id, text) outside of fold 0.
-    A null text is an empty one, and an empty one is its end. A null id is in
-    the fold of the empty string. Without training rows all words are unseen.
-    Other columns are not read. The counts of all words but the most frequent
-    are joined to their occurrences, so nothing grows on the driver.
-    """
-    docs = docs.select("doc_id", "text")
-    held_out = fold(F.col("doc_id"), folds) == 0
-    model, counts = fit(docs.where(~held_out))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = _local_scores(docs, shared).withColumn("rid", F.monotonically_increasing_id())
-    rows = materialize(rows, "scored")
-
-    z = model.tokens + 0.1 * (model.vocabulary + 1)
-    totals = model.totals[CLASSES : CLASSES + SHAPES] + _UNSEEN
-    unseen = _DISCOUNT * model.types + _UNSEEN
-    of_shape = lambda values: F.element_at(
-        F.array(*[F.lit(float(v)) for v in values]), F.col("shape") + 1
-    )
-    c = F.coalesce("c", F.lit(0))
-    share = F.when(c > 0, c - _DISCOUNT).otherwise(of_shape(unseen)) / of_shape(totals)
-    rare = _rare_words(rows).join(counts.select("word", "c"), "word", "left")
-    rest = rare.groupBy("rid").agg(
-        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * F.log10((c + 0.1) / z)).alias("rare_base"),
-        F.sum(F.col("times") * F.log10(share)).alias("rare_score"),
-    )
-    zero = F.lit(0.0)
-    return (
-        rows.drop("rare")
-        .join(rest, "rid", "left")
-        .select(
-            "doc_id",
-            held_out.alias("held_out"),
-            "n_tokens",
-            (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-            F.lit(model.tokens).cast("bigint").alias("train_tokens"),
-            (F.col("base") + F.coalesce("rare_base", zero)).alias("base_score"),
-            (F.col("score") + F.coalesce("rare_score", zero)).alias("score"),
-        )
-    )
+    return joined.mapInArrow(score, _SCORED)

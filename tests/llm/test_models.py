@@ -142,6 +142,97 @@ def test_probabilities_of_a_context_sum_to_one(spark):
         assert (10 ** model.emission(c, np.full(len(c), shape))).sum() == pytest.approx(1)
 
 
+def held_out_gain(spark, rows):
+    got = [r for r in brown.score_documents(frame(spark, rows)).collect() if r.held_out]
+    return sum(r.score - r.base_score for r in got) / sum(r.n_tokens for r in got)
+
+
+@pytest.mark.parametrize("frequent", [250, 300_000])
+def test_words_beyond_the_clustered_ones_get_classes_by_exchange(spark, monkeypatch, frequent):
+    """Kinds alternate and all words have one shape: only exchange tells a rarer word's kind."""
+    monkeypatch.setattr(brown, "CLUSTERED", 180)
+    monkeypatch.setattr(brown, "FREQUENT", frequent)
+    rng = random.Random(0)
+    pick = lambda: rng.randrange(10, 100) if rng.random() < 0.6 else rng.randrange(100, 400)
+    rows = [(i, " ".join(f"{'ab'[k % 2]}{pick()}" for k in range(80))) for i in range(400)]
+    assert held_out_gain(spark, rows) > 0.2
+
+
+def test_clusters_sum_to_one_with_words_of_all_counts(spark, monkeypatch):
+    monkeypatch.setattr(brown, "CLUSTERED", 30)
+    monkeypatch.setattr(brown, "FREQUENT", 100)
+    rows = [(i, prose(random.Random(i), 60) + f" once{i}") for i in range(30)]
+    model, _, joined = brown._fit(frame(spark, rows).selectExpr("doc_id", "false held_out", "text"))
+    share, seen = Counter(), {}
+    for batch in joined.toArrow().to_batches():
+        c, _, own, first = model.words.of(batch)
+        texts = dict(rows)
+        for k, i in enumerate(batch.column(0).to_pylist()):
+            for j, w in zip(range(first[k], first[k + 1]), words(texts[i])):
+                seen[w] = (c[j], own[j])
+    assert Counter({w: c for w, (c, _) in seen.items()}) == Counter(w for _, t in rows for w in words(t))
+    for c, own in seen.values():
+        assert own < brown.CLASSES
+        share[own] += 10 ** model.emission(np.array(c), np.array(own))
+    assert all(v == pytest.approx(1) for v in share.values())
+
+
+def test_the_best_cluster_of_a_word_is_that_of_the_whole_likelihood():
+    rng = np.random.default_rng(1)
+    table = rng.integers(0, 30, (brown._N, brown._N)).astype(float)
+
+    def likelihood(t):
+        x = lambda v: (v * np.log(np.maximum(v, 1e-9))).sum()
+        return x(t) - x(t.sum(1)) - x(t.sum(0))
+
+    owner = np.repeat(np.arange(30), rng.integers(1, 60, 30))
+    before, after = rng.integers(0, brown._END, (2, len(owner))) // rng.integers(1, 20, (2, len(owner)))
+    want = []
+    for w in range(30):
+        own = owner == w
+        scores = []
+        for k in range(brown.CLASSES):
+            t = table.copy()
+            np.add.at(t, (before[own], k), 1)
+            np.add.at(t, (k, after[own]), 1)
+            scores.append(likelihood(t) - likelihood(table))
+        want.append(np.array(scores))
+    # Rows and columns of the word's own neighbours grow alike for all clusters, but for those among them.
+    gains = brown._Gains(table)
+    gains.AT_ONCE = 64
+    best, counts = gains.best(owner, (before + 256 * after).astype("<u2"))
+    assert list(counts) == list(np.bincount(owner))
+    for w, k in enumerate(best):
+        own = owner == w
+        margin = np.zeros(brown.CLASSES)
+        # The neighbours' own margins, which the move of one word does not change.
+        for side, axis in ((before[own], 1), (after[own], 0)):
+            sums = table.sum(axis)
+            for j in range(brown.CLASSES):
+                grown = sums.copy()
+                np.add.at(grown, side, 1)
+                own_sums = sums.copy()
+                own_sums[j] += own.sum()
+                both = grown.copy()
+                both[j] += own.sum()
+                f = lambda v: (v * np.log(np.maximum(v, 1e-9))).sum()
+                margin[j] += f(both) - f(own_sums)
+        fixed = want[w] + margin
+        assert fixed[k] >= fixed.max() - 1e-6
+
+
+def test_words_of_one_count_beyond_the_list_are_clustered(spark, monkeypatch):
+    """No list of all words from some count on is short enough; the first ones still move together."""
+    monkeypatch.setattr(brown, "CLUSTERED", 150)
+    monkeypatch.setattr(brown, "FREQUENT", 160)
+    rng = random.Random(0)
+    rows = []
+    for i in range(200):
+        kinds = [rng.sample(range(10, 100), 90) for _ in "ab"]
+        rows.append((i, " ".join(f"a{x} b{y}" for x, y in zip(*kinds))))
+    assert held_out_gain(spark, rows) > 0.2
+
+
 def test_no_training_rows(spark):
     assert brown.score_documents(frame(spark, [])).count() == 0
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
