@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,6 +148,22 @@ def _logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(max(beta[0], 1e-3)), float(beta[1])
 
 
+def _views(flat: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    """Views of so many values each. One large array goes back to the system as soon as it is
+    free; thousands of small ones stay with the driver's process for good."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    return [flat[end - size : end] for end, size in zip(ends, sizes)]
+
+
+def _indicators(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The distinct feature indices of each document, copied out of Arrow's buffers."""
+    sizes = (pc.binary_length(column).to_numpy() // 4).tolist()
+    views = _views(np.empty(sum(sizes), np.int32), sizes)
+    for view, own in zip(views, column):
+        view[:] = np.frombuffer(own.as_buffer(), np.int32)
+    return views
+
+
 def fit(indicators: list[np.ndarray], labels: np.ndarray) -> Model:
     """Fit on distinct feature indices per document and labels 0 and 1.
 
@@ -175,10 +192,11 @@ def fit(indicators: list[np.ndarray], labels: np.ndarray) -> Model:
     cost = _COST * 0.5 / share[labels]
     weights, bias = np.zeros(FEATURES), 0.0
     alpha = np.zeros(len(labels))
-    rows = {}
+    rows = _views(np.empty(sum(len(indicators[i]) for i in train)), [len(indicators[i]) for i in train])
+    rows = dict(zip(train, rows))
     for i in train:
         x = ratios[indicators[i]]
-        rows[i] = x / (np.sqrt(x @ x) or 1.0)
+        np.divide(x, np.sqrt(x @ x) or 1.0, out=rows[i])
     rng = np.random.default_rng(0)
     for _ in range(_EPOCHS):
         for i in rng.permutation(train):
@@ -245,8 +263,9 @@ def train(
     # Rows that repeat an id are in the sample as often; it is cut again below.
     sample = rows.mapInArrow(indicate, "doc_id bigint, quality int, own binary")
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("own")).limit(most).toArrow()
-    indicators = [np.frombuffer(x.as_buffer(), np.int32) for x in sample["own"]]
-    return fit(indicators, (sample["quality"].to_numpy() > 0).astype(np.int64))
+    indicators, marks = _indicators(sample["own"]), (sample["quality"].to_numpy() > 0).astype(np.int64)
+    del sample
+    return fit(indicators, marks)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

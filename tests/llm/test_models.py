@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import math
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from podium.llm import brown, nbsvm
 
@@ -81,6 +85,49 @@ def test_descent_reaches_the_hinge_optimum():
     assert np.mean((np.array(margin) > 0) == labels) > 0.97
 
 
+_LEFT_BEHIND = """
+import io
+import re
+import numpy as np
+import pyarrow as pa
+from podium.llm import nbsvm
+
+def held():
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"Pss_Anon:\\s+(\\d+)", f.read())[1]) / 1024
+
+rng = np.random.default_rng(0)
+labels = rng.integers(0, 2, 8000)
+stream = io.BytesIO()
+with pa.ipc.new_stream(stream, pa.schema({"own": pa.binary()})) as writer:
+    for _ in range(16):
+        own = [rng.integers(0, nbsvm.FEATURES, 1000, np.int32).tobytes() for _ in range(500)]
+        writer.write_batch(pa.record_batch({"own": pa.array(own, pa.binary())}))
+stream = stream.getvalue()
+del own, writer
+before = held()
+sample = pa.ipc.open_stream(io.BytesIO(stream)).read_all()
+indicators = nbsvm._indicators(sample["own"])
+assert all(a.tobytes() == b.as_py() for a, b in zip(indicators, sample["own"]))
+del sample
+nbsvm.fit(indicators, labels)
+del indicators
+print(held() - before)
+"""
+
+
+def test_fitting_leaves_no_memory_with_the_driver():
+    """The pipeline's later stages run in the same driver process."""
+    run = subprocess.run([sys.executable, "-c", _LEFT_BEHIND], capture_output=True, text=True, cwd=os.path.dirname(os.path.dirname(nbsvm.__file__)) + "/..", check=True)
+    assert float(run.stdout) < 16
+
+
+def test_indicators_of_empty_documents_and_tables():
+    column = pa.chunked_array([pa.array([b"", np.arange(3, dtype=np.int32).tobytes(), b""], pa.binary())])
+    assert [x.tolist() for x in nbsvm._indicators(column)] == [[], [0, 1, 2], []]
+    assert nbsvm._indicators(pa.chunked_array([], pa.binary())) == []
+
+
 # --- language model ----------------------------------------------------------
 
 
