@@ -22,12 +22,21 @@ from pyspark.sql import DataFrame, SparkSession
 # or more, held several times over by the executor's Arrow buffers and each worker.
 BATCH_ROWS = 1_000
 _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# Bytes of such a batch, about: the sets of 1,000 pairs of long documents are over 100 MB.
+BATCH_BYTES = 4 << 20
+_BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+# Rows that a Parquet reader holds decoded; Spark's own 4,096 are 10 MB of text or more in each task.
+_READER_SETTING = "spark.sql.parquet.columnarReaderBatchSize"
 
 
 def _small_batches(spark: SparkSession) -> None:
     """Set for the session: the caller writes a stage's result, after the stage has returned it."""
     if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
         spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    if int(spark.conf.get(_READER_SETTING)) > BATCH_ROWS:
+        spark.conf.set(_READER_SETTING, str(BATCH_ROWS))
+    if spark.conf.get(_BYTES_SETTING, None) is None:
+        spark.conf.set(_BYTES_SETTING, str(BATCH_BYTES))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,9 +36,15 @@ from podium.operators import free_name
 from podium.sources import materialize, scratch_scope
 
 # N-grams that one task counts at a time; those it meets at least ``_REPEATS``
-# times go into the count of all documents.
-_COUNTED = 4_000_000
+# times go into the count of all documents. 32 MB: so large a block goes back to
+# the system when it is free, a smaller one may stay with the worker.
+_COUNTED = 1 << 22
 _REPEATS = 3
+# Bytes of text that are made sets of together: about a hundred times that are held
+# in all, by each worker of an executor.
+SLICE_BYTES = 1 << 18
+# Pairs of one task that are held at a time, 16 bytes each and as much again to filter them.
+PAIRS = 1 << 18
 # Most frequent n-grams that have a place of their own in the order: 12 bytes
 # each, broadcast. The order decides only how long the index lists are.
 FREQUENT = 500_000
@@ -79,25 +85,30 @@ def frequent_grams(docs: DataFrame, n: int, most: int = FREQUENT) -> np.ndarray:
     ``_REPEATS`` times in ``_COUNTED`` n-grams, so what it sends stays small.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n_held = [], 0
-
-        def frequent() -> pa.RecordBatch:
-            grams, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times >= _REPEATS
-            return pa.RecordBatch.from_arrays(
-                [pa.array(grams[often].view(np.int64)), pa.array(times[often])], names=["g", "c"]
-            )
+    def often(grams: np.ndarray) -> pa.RecordBatch:
+        """What is met ``_REPEATS`` times or more, and how often; sorts the array in place."""
+        grams.sort()
+        last = max(0, len(grams) - _REPEATS + 1)
+        at = np.flatnonzero(grams[:last] == grams[_REPEATS - 1 :])
+        found = np.unique(grams[at])
+        times = np.searchsorted(grams, found, "right") - np.searchsorted(grams, found)
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], names=["g", "c"])
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n_held = np.empty(_COUNTED, np.uint64), 0
         for batch in batches:
-            for part in chunks(batch):
-                held.append(_grams(part, n)[0])
-                n_held += len(held[-1])
-                if n_held >= _COUNTED:
-                    yield frequent()
-                    held, n_held = [], 0
-        if held:
-            yield frequent()
+            for part in chunks(batch, size=SLICE_BYTES):
+                grams = _grams(part, n)[0]
+                if n_held + len(grams) > len(held):
+                    yield often(held[:n_held])
+                    n_held = 0
+                if len(grams) > len(held):
+                    yield often(grams)
+                    continue
+                held[n_held : n_held + len(grams)] = grams
+                n_held += len(grams)
+        if n_held:
+            yield often(held[:n_held])
 
     counts = docs.select("text").mapInArrow(count, "g bigint, c bigint")
     counts = materialize(counts.groupBy("g").agg(F.sum("c").alias("c")), "gram-counts")
@@ -115,7 +126,7 @@ def _sets(
     batch: pa.RecordBatch, n: int, frequent: Lookup
 ) -> Iterator[tuple[object, np.ndarray]]:
     """(doc_id, sorted distinct keys) of each document of a batch."""
-    for part in chunks(batch):
+    for part in chunks(batch, size=SLICE_BYTES):
         grams, first = _grams(part, n)
         keys = _keys(grams, frequent)
         ids = part.column(part.schema.get_field_index("doc_id")).to_pylist()
@@ -248,8 +259,9 @@ def _index(entries: DataFrame) -> DataFrame:
 _CELL_KEY = ["reference", "gram", "cell_a", "cell_b"]
 
 
-def _block_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Candidate pairs within the cells of ``rows``, which is sorted by cell, n, size, position.
+def _block_pairs(rows: pd.DataFrame, percent: int) -> Iterator[pd.DataFrame]:
+    """Candidate pairs within the cells of ``rows``, which is sorted by cell, n, size, position,
+    about ``PAIRS`` at a time.
 
     Of two sets whose first common entry stands at the given positions of their
     differences from the reference, all entries before it are in one set only,
@@ -266,7 +278,16 @@ def _block_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     start = np.flatnonzero(new)
     count = np.diff(np.append(start, len(rows)))
     bc, bn, bs, bp = cell[start], n[start], size[start], pos[start]
-    firsts, seconds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    own, comp, cid = (rows[c].to_numpy(np.int64) for c in ("own", "component", "cid"))
+    diagonal = rows["cell_a"].to_numpy() == rows["cell_b"].to_numpy()
+
+    def wanted(firsts: list[np.ndarray], seconds: list[np.ndarray]) -> pd.DataFrame:
+        i, j = np.concatenate(firsts), np.concatenate(seconds)
+        open_ = (comp[i] != comp[j]) & ((own[i] != own[j]) | diagonal[i])
+        i, j = cid[i[open_]], cid[j[open_]]
+        return pd.DataFrame({"a": np.minimum(i, j), "b": np.maximum(i, j)}).drop_duplicates()
+
+    firsts, seconds, held = [], [], 0
     active, d = np.arange(len(start)), 0
     while len(active):
         other = active + d
@@ -280,20 +301,26 @@ def _block_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
         open_ = (100 + percent) * (bp[active] + bp[other] + np.abs(rests)) <= apart
         open_ &= (100 + percent) * (bs[active] + bs[other]) > apart
         for a, b in zip(active[open_], other[open_]):
-            if a != b:
-                firsts.append(np.repeat(np.arange(start[a], start[a] + count[a]), count[b]))
-                seconds.append(np.tile(np.arange(start[b], start[b] + count[b]), count[a]))
-            elif count[a] > 1:
-                i, j = np.triu_indices(count[a], 1)
-                firsts.append(start[a] + i)
-                seconds.append(start[a] + j)
+            if a == b and count[a] == 1:
+                continue
+            # A large block goes by so many of its rows that their pairs are held at once.
+            step, end_a = max(1, PAIRS // int(count[b])), start[a] + count[a]
+            for begin in range(start[a], end_a, step):
+                end = min(begin + step, end_a)
+                if a != b:
+                    firsts.append(np.repeat(np.arange(begin, end), count[b]))
+                    seconds.append(np.tile(np.arange(start[b], start[b] + count[b]), end - begin))
+                else:
+                    i, j = np.triu_indices(end - begin, 1, end_a - begin)
+                    firsts.append(begin + i)
+                    seconds.append(begin + j)
+                held += len(firsts[-1])
+                if held >= PAIRS:
+                    yield wanted(firsts, seconds)
+                    firsts, seconds, held = [], [], 0
         d += 1
-    i, j = np.concatenate(firsts), np.concatenate(seconds)
-    own, comp, cid = (rows[c].to_numpy(np.int64) for c in ("own", "component", "cid"))
-    diagonal = rows["cell_a"].to_numpy() == rows["cell_b"].to_numpy()
-    wanted = (comp[i] != comp[j]) & ((own[i] != own[j]) | diagonal[i])
-    i, j = cid[i[wanted]], cid[j[wanted]]
-    return pd.DataFrame({"a": np.minimum(i, j), "b": np.maximum(i, j)}).drop_duplicates()
+    if held:
+        yield wanted(firsts, seconds)
 
 
 def _candidates(entries: DataFrame, percent: int) -> DataFrame:
@@ -312,9 +339,9 @@ def _candidates(entries: DataFrame, percent: int) -> DataFrame:
             whole = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
             rest = frame.iloc[whole:]
             if whole:
-                yield _block_pairs(frame.iloc[:whole], percent)
+                yield from _block_pairs(frame.iloc[:whole], percent)
         if rest is not None and len(rest):
-            yield _block_pairs(rest, percent)
+            yield from _block_pairs(rest, percent)
 
     cells = _index(entries).repartition(*_CELL_KEY).sortWithinPartitions(*order)
     return cells.mapInPandas(pair, "a bigint, b bigint").distinct()

@@ -108,3 +108,29 @@ def test_stages_send_small_batches_to_python(spark, before, after):
         assert spark.conf.get(setting) == after
     finally:
         spark.conf.unset(setting)
+
+
+def test_stages_bound_what_is_held_by_bytes_and_rows(spark):
+    in_batch, read = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize"
+    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"]
+    # Ten texts of 1 MB: by rows alone they are one batch.
+    docs = frame(spark, [(i, f"w{i} " * 250_000) for i in range(10)]).coalesce(1)
+    try:
+        for name in (in_batch, read):
+            spark.conf.unset(name)
+        stage(spark, frame(spark, [(1, "some words"), (2, None)]), "")
+        assert int(spark.conf.get(read)) == corpus_pipeline.BATCH_ROWS
+        def rows_of_batches(batches):
+            import pyarrow as pa
+
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+        assert max(r.n for r in docs.select("text").mapInArrow(rows_of_batches, "n bigint").collect()) < 10
+        spark.conf.set(in_batch, "1000")
+        spark.conf.set(read, "10")
+        stage(spark, frame(spark, [(1, "some words")]), "")
+        assert (spark.conf.get(in_batch), spark.conf.get(read)) == ("1000", "10")
+    finally:
+        for name in (in_batch, read, "spark.sql.execution.arrow.maxRecordsPerBatch"):
+            spark.conf.unset(name)

@@ -1,8 +1,12 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from podium.llm import set_join
 from podium.llm.components import components
@@ -116,6 +120,62 @@ def test_one_of_each_group_stays(spark):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in out if shingles(r.text, 5)) == firsts
 
 
+def peak_mb(fn):
+    tracemalloc.start()
+    try:
+        fn()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def cell_of(sizes):
+    """One cell of sets in different components; a block for each size, of so many sets."""
+    n = np.concatenate([np.full(count, size) for size, count in sizes.items()])
+    ids = np.arange(len(n))
+    same = {c: 0 for c in ("reference", "gram", "cell_a", "cell_b", "own", "pos")}
+    return pd.DataFrame({**same, "n": n, "size": n, "cid": ids, "component": ids})
+
+
+@pytest.mark.parametrize("held", [1, 7, 50, 1 << 18])
+def test_pairs_of_a_cell_come_in_parts(monkeypatch, held):
+    monkeypatch.setattr(set_join, "PAIRS", held)
+    frames = list(set_join._block_pairs(cell_of({100: 9, 101: 1, 104: 30, 300: 2}), 80))
+    got = Counter((a, b) for f in frames for a, b in zip(f["a"], f["b"]))
+    want = [(a, b) for b in range(40) for a in range(b)] + [(40, 41)]
+    assert got == Counter(want)
+    # A row is not cut: its pairs are at most those of the largest block.
+    assert max(map(len, frames)) < 2 * max(held, 30)
+
+
+def test_pairs_of_a_long_list_are_not_held_together():
+    rows, count = cell_of({100: 2000, 101: 1500}), []
+    assert peak_mb(lambda: count.extend(map(len, set_join._block_pairs(rows, 80)))) < 60
+    assert sum(count) == 3500 * 3499 // 2
+
+
+def test_workers_hold_little_beside_a_batch():
+    rng = random.Random(11)
+    texts = [prose(rng, 400, 10**6) for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1500)), pa.array(texts)], names=["doc_id", "text"])
+    frequent, seen = set_join.Lookup(np.zeros(0, np.uint64)), []
+    assert peak_mb(lambda: seen.extend(len(k) for _, k in set_join._sets(batch, 5, frequent))) < 30
+    assert seen == [396] * 1500
+
+
+def test_counted_grams_are_those_met_often_enough(spark, monkeypatch):
+    texts = ["a b c", "a b c d", "x a b c", "b c d", "b c d b c d", "q r s", "q r s", None, ""]
+    df = frame(spark, enumerate(texts)).coalesce(1)
+    words, first = set_join.word_hashes(pa.array(["a b c", "b c d", "q r s"]))
+    a, b, _ = set_join.ngram_hashes(words, first, 3)[0]
+    assert set_join.frequent_grams(df, 3).tolist()[0] == b and set(set_join.frequent_grams(df, 3)) == {a, b}
+    # All are held apart, and a text that has more is counted by itself.
+    monkeypatch.setattr(set_join, "_COUNTED", 1)
+    monkeypatch.setattr(set_join, "SLICE_BYTES", 1)
+    again = frame(spark, [(1, "a b c " * 4), (2, "b c d"), (3, "b c d"), (4, "b c d")]).coalesce(1)
+    assert a in set_join.frequent_grams(again, 3) and b not in set_join.frequent_grams(again, 3)
+
+
 def test_empty_table(spark):
     assert set_join.set_components(frame(spark, [])).count() == 0
     assert set_join.keep_one(frame(spark, [])).count() == 0
