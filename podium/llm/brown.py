@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,10 +120,10 @@ def _unpacked(column: pa.Array, dtype: type) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _code(docs: DataFrame, frequent: Lookup) -> DataFrame:
-    """(doc_id, held_out, places, rare) of each row of ``docs`` (doc_id, held_out, text).
+    """(rid, doc_id, held_out, places, rare) of each row of ``docs`` (doc_id, held_out, text).
 
-    ``places`` has the place of each word in the list, or -1 less its shape;
-    ``rare`` the hashes of the words that the list lacks.
+    ``rid`` numbers the rows; ``places`` has the place of each word in the list,
+    or -1 less its shape; ``rare`` the hashes of the words that the list lacks.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -135,16 +136,16 @@ def _code(docs: DataFrame, frequent: Lookup) -> DataFrame:
                 n_out = np.concatenate([[0], np.cumsum(out)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(part.schema.get_field_index("doc_id")),
-                        part.column(part.schema.get_field_index("held_out")),
+                        *(part.column(part.schema.get_field_index(c)) for c in ("rid", "doc_id", "held_out")),
                         _packed(np.where(out, -1 - shape, place).astype(np.int32), first),
                         _packed(words[out].view(np.int64), n_out[first]),
                     ],
-                    names=["doc_id", "held_out", "places", "rare"],
+                    names=["rid", "doc_id", "held_out", "places", "rare"],
                 )
 
-    columns = "doc_id bigint, held_out boolean, places binary, rare binary"
-    return docs.select("doc_id", "held_out", "text").mapInArrow(code, columns)
+    columns = "rid bigint, doc_id bigint, held_out boolean, places binary, rare binary"
+    rid = F.monotonically_increasing_id().alias("rid")
+    return docs.select(rid, "doc_id", "held_out", "text").mapInArrow(code, columns)
 
 
 def _sequence(own: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -398,24 +399,41 @@ def assign(surroundings: DataFrame, table: np.ndarray) -> DataFrame:
     return rows.mapInArrow(weigh, "word bigint, class int, c bigint")
 
 
-def _join_rare(coded: DataFrame, classes: DataFrame) -> DataFrame:
-    """``coded`` with ``joined``: (word, class, c) of all words of ``rare`` that have a class."""
-    coded = coded.withColumn("rid", F.monotonically_increasing_id())
+def _rare_classes(coded: DataFrame, classes: DataFrame) -> DataFrame:
+    """(rid, joined) of rows of ``coded``: (at, class, c) of all words of ``rare`` that have a class.
+
+    ``at`` has all places of the word in ``rare``.
+    """
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, first = _unpacked(batch.column(1), np.int64)
-            own = [np.unique(words[a:b]) for a, b in zip(first[:-1], first[1:])]
-            rids = np.repeat(batch.column(0).to_numpy(), [len(x) for x in own])
-            if len(rids):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rids), pa.array(np.concatenate(own))], names=["rid", "word"]
-                )
+            row = np.repeat(np.arange(batch.num_rows), np.diff(first))
+            order = np.lexsort((words, row))
+            own, words = row[order], words[order]
+            new = np.flatnonzero((np.diff(words, prepend=0) != 0) | (np.diff(own, prepend=-1) != 0))
+            at = (order - first[own]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(own[new])),
+                    pa.array(words[new]),
+                    _packed(at, np.append(new, len(at))),
+                ],
+                names=["rid", "word", "at"],
+            )
 
     rare = coded.where(F.length("rare") > 0).select("rid", "rare")
-    found = rare.mapInArrow(unpack, "rid bigint, word bigint").join(classes, "word")
-    found = found.groupBy("rid").agg(F.collect_list(F.struct("word", "class", "c")).alias("joined"))
-    return coded.join(found, "rid", "left").drop("rid")
+    found = rare.mapInArrow(unpack, "rid bigint, word bigint, at binary").join(classes, "word")
+    return found.groupBy("rid").agg(F.collect_list(F.struct("at", "class", "c")).alias("joined"))
+
+
+def _classed(coded: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, held_out, places, joined) of each row of ``coded``; the hashes of its words stay behind.
+
+    Hashes are half of what a rare word takes, and rows are moved and written
+    again here. The size of the files of ``found`` says too little for a broadcast.
+    """
+    return coded.drop("rare").join(found.hint("merge"), "rid", "left").drop("rid")
 
 
 def _kept(c: np.ndarray) -> np.ndarray:
@@ -432,21 +450,23 @@ class Words:
     classes: np.ndarray
 
     def of(self, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Count, shape and class of every word of ``_join_rare``, and each text's first plus the end."""
+        """Count, shape and class of every word of ``_classed``, and each text's first plus the end."""
         column = lambda name: part.column(part.schema.get_field_index(name))
         places, first = _unpacked(column("places"), np.int32)
         known = np.append(self.counts, 0)[np.maximum(places, -1)]
         shape = _by_shape(places, np.zeros(0, np.int64), self.shapes, 0)
         own = _by_shape(places, self.classes, self.shapes, CLASSES)
-        rare, _ = _unpacked(column("rare"), np.int64)
         joined = column("joined").flatten()
         if len(joined):
-            words, at = np.unique(joined.field("word").to_numpy(), return_index=True)
-            place = np.minimum(np.searchsorted(words, rare), len(words) - 1)
-            hit, at = words[place] == rare, at[place]
-            here = np.flatnonzero(places < 0)[hit]
-            known[here] = joined.field("c").to_numpy()[at[hit]]
-            own[here] = joined.field("class").to_numpy()[at[hit]]
+            n_joined = pc.list_value_length(column("joined")).fill_null(0).to_numpy(zero_copy_only=False)
+            at, starts = _unpacked(joined.field("at"), np.int32)
+            times = np.diff(starts)
+            rare = np.flatnonzero(places < 0)
+            # Each row's first rare word.
+            before = np.repeat(np.searchsorted(rare, first[:-1]), n_joined)
+            here = rare[np.repeat(before, times) + at]
+            known[here] = np.repeat(joined.field("c").to_numpy(), times)
+            own[here] = np.repeat(joined.field("class").to_numpy(), times)
         return known, shape, own, first
 
 
@@ -494,7 +514,7 @@ def _transitions(joined: DataFrame, words: Words) -> np.ndarray:
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["at", "c"])
 
-    cells = joined.select("places", "rare", "joined").mapInArrow(transit, "at bigint, c bigint")
+    cells = joined.select("places", "joined").mapInArrow(transit, "at bigint, c bigint")
     # Decimals, since the units of a large table are beyond a long.
     got = cells.groupBy("at").agg(F.sum(F.col("c").cast("decimal(38,0)")).cast("double").alias("c")).toArrow()
     table = np.zeros(_N * _N)
@@ -518,7 +538,7 @@ def _fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
     shapes = top["shape"].to_numpy().astype(np.int64)
     n_clustered = min(CLUSTERED, len(hashes))
     with scratch_scope(spark, "brown") as folder:
-        coded = materialize(_code(docs, Lookup(hashes)), "coded", folder=folder)
+        coded = materialize(_code(docs, Lookup(hashes)), "coded", folder=folder, compact=True)
         train = coded.where(~F.col("held_out"))
         with scratch_scope(spark, "brown-pairs") as short:
             pairs = materialize(_pairs(train, n_clustered, shapes), "word-pairs", folder=short)
@@ -531,7 +551,9 @@ def _fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
             order = np.argsort(got["word"].to_numpy())
             at = np.searchsorted(got["word"].to_numpy()[order], hashes[n_clustered:].view(np.int64))
             classes = np.concatenate([classes, got["class"].to_numpy()[order][at]])
-        joined = materialize(_join_rare(coded, rest), "classed")
+        # One join after the other, so that the shuffle files of the two are not there together.
+        found = materialize(_rare_classes(coded, rest), "rare-classes", folder=folder)
+        joined = materialize(_classed(coded, found), "classed", compact=True)
     words = Words(top["c"].to_numpy(), shapes, classes.astype(np.int64))
     table = _transitions(joined.where(~F.col("held_out")), words)
     smooth = table + _TRANSITION

@@ -84,7 +84,12 @@ _CLEAN_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "t
 
 
 def materialize(
-    df: DataFrame, name: str, *, true_size: bool = False, folder: str | None = None
+    df: DataFrame,
+    name: str,
+    *,
+    true_size: bool = False,
+    folder: str | None = None,
+    compact: bool = False,
 ) -> DataFrame:
     """Write ``df`` to the shared folder and return a reader of the written table.
 
@@ -92,13 +97,16 @@ def materialize(
     the application ends. With ``true_size`` the files are neither compressed
     nor dictionary-encoded, so their size, which Catalyst takes for the
     table's, is that of the values. Use it for a table that may be broadcast:
-    well-compressed files would hide a table too large for that.
+    well-compressed files would hide a table too large for that. ``compact``
+    takes less disk for numbers packed into bytes, at about the same time.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name) + "/table" if folder is None else f"{folder}/{name}"
     writer = df.write
     if true_size:
         writer = writer.options(**{"compression": "none", "parquet.enable.dictionary": "false"})
+    elif compact:
+        writer = writer.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": "1"})
     with session_settings(spark, _CLEAN_SHUFFLES):
         writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

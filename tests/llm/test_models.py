@@ -164,6 +164,46 @@ def test_rare_counts_are_joined_alike(spark, monkeypatch):
         assert r.base_score == pytest.approx(b[i].base_score) and r.score == pytest.approx(b[i].score)
 
 
+def test_rare_words_of_awkward_texts_are_joined_alike(spark, monkeypatch):
+    """Empty texts, repeated ids and rare words that occur often in one text."""
+    rows = awkward() + [(100 + i, f"once{i} w1 twice{i} once{i} w2 " * 3) for i in range(40)]
+    monkeypatch.setattr(brown, "CLUSTERED", 20)
+
+    def scored():
+        got = brown.score_documents(frame(spark, rows)).collect()
+        return sorted(
+            (r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6))
+            for r in got
+        )
+
+    want = scored()
+    monkeypatch.setattr(brown, "FREQUENT", 60)
+    assert scored() == want and len(want) == len(rows)
+
+
+def test_rows_are_joined_to_classes_without_the_hashes_of_their_words(spark, monkeypatch):
+    """The rows' join moves places and classes only, and no other join runs beside it."""
+    rows = [(i, prose(random.Random(i), 60) + f" once{i}") for i in range(30)]
+    monkeypatch.setattr(brown, "CLUSTERED", 30)
+    monkeypatch.setattr(brown, "FREQUENT", 100)
+    written, keep = {}, brown.materialize
+
+    def spy(df, name, **options):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        out = keep(df, name, **options)
+        written[name] = (df.columns, plan, out.inputFiles())
+        return out
+
+    monkeypatch.setattr(brown, "materialize", spy)
+    assert brown.score_documents(frame(spark, rows)).count() == 30
+    columns, plan, _ = written["classed"]
+    assert columns == ["doc_id", "held_out", "places", "joined"]
+    # Once, in the list of the file's columns.
+    assert plan.count("rare#") == 1 and plan.count("Join ") == 1 and "Aggregate" not in plan
+    for name in ("coded", "classed"):
+        assert written[name][2] and all(".zstd." in f for f in written[name][2])
+
+
 def test_classes_beat_single_words_on_held_out_text(spark):
     """Two kinds of words that alternate: their classes predict each other."""
     rng = random.Random(0)
