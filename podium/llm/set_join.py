@@ -15,7 +15,11 @@ A list of more than ``HOT`` sets, as a large group of near copies has, gives no
 pairs. Its members are compared with one of them, the reference, and indexed
 anew by what they have and it lacks, or the reverse: the symmetric difference
 of two sets is that of their differences from the reference, so the same
-prefix bounds hold there, where near copies share little.
+prefix bounds hold there, where near copies share little. Only members that may
+be near the reference, by a bit sketch of each set, are compared; a large corpus
+has many lists of sets that share just a common n-gram. Those stay in the list,
+which gets another reference in the next round and at last gives the pairs that
+the sketches leave open.
 """
 
 from __future__ import annotations
@@ -55,12 +59,18 @@ _LEADERS = 3
 # indexed by their differences from one of them, and so on, ``ROUNDS`` times at most.
 HOT = 64
 ROUNDS = 3
+# Members leave a list that differ from its reference by up to so many times
+# what linked sets of its size may differ by, halved: two copies of a set may each
+# be at the limit from it.
+NEAR = 4
+# Bytes of a set's sketch in an index entry; ``describe_sets`` makes none shorter.
+ENTRY_SKETCH = 64
 # Stands for the empty set, the first reference, among the classes' numbers.
 _NO_REFERENCE = -1
 
 _SET = (
     "doc_id bigint, row_key bigint, n_shingles int, s1 bigint, s2 bigint, n_rare int,"
-    " prefix array<bigint>, leads array<bigint>"
+    " prefix array<bigint>, leads array<bigint>, bits binary"
 )
 
 
@@ -141,12 +151,30 @@ def _signature(keys: np.ndarray) -> tuple[int, int]:
         return int(a.sum(dtype=np.uint64).view(np.int64)), int(b.sum(dtype=np.uint64).view(np.int64))
 
 
+def _sketch(keys: np.ndarray) -> np.ndarray:
+    """Which of some bits, two or more for each key, an odd number of a set's keys falls on, packed.
+
+    Two sets' sketches differ in no more bits than the sets differ in keys. A
+    sketch of half the bits is one half xor the other.
+    """
+    n_bits = max(8 * ENTRY_SKETCH, 1 << (2 * len(keys) - 1).bit_length())
+    at = (mix(keys) & np.uint64(n_bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=n_bits) & 1, bitorder="little")
+
+
+def _folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """A sketch as one of ``size`` bytes."""
+    while len(bits) > size:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
 def describe_sets(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
-    """Size, signature, prefix and leader hashes of each document's set."""
+    """Size, signature, prefix, leader hashes and sketch of each document's set."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: tuple[list, ...] = ([], [], [], [], [], [], [], [])
+            columns: tuple[list, ...] = ([], [], [], [], [], [], [], [], [])
             row_keys = batch.column(batch.schema.get_field_index("row_key")).to_pylist()
             for row_key, (doc_id, keys) in zip(row_keys, _sets(batch, n, frequent.value)):
                 size = len(keys)
@@ -157,23 +185,24 @@ def describe_sets(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
                     for k in range(_LEADERS if size else 0)
                 ]
                 n_rare = int(np.searchsorted(keys, np.uint64(1 << 63)))
-                row = (doc_id, row_key, size, *_signature(keys), n_rare, prefix.view(np.int64), leads)
+                bits = _sketch(keys).tobytes() if size else b""
+                row = (doc_id, row_key, size, *_signature(keys), n_rare, prefix.view(np.int64), leads, bits)
                 for column, value in zip(columns, row):
                     column.append(value)
             lists = pa.list_(pa.int64())
             i32, i64 = pa.int32(), pa.int64()
-            types = [i64, i64, i32, i64, i64, i32, lists, lists]
+            types = [i64, i64, i32, i64, i64, i32, lists, lists, pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types)],
-                names=["doc_id", "row_key", "n_shingles", "s1", "s2", "n_rare", "prefix", "leads"],
+                names=["doc_id", "row_key", "n_shingles", "s1", "s2", "n_rare", "prefix", "leads", "bits"],
             )
 
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
     return rows.mapInArrow(describe, _SET)
 
 
-def _sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame, n: int, frequent) -> DataFrame:
-    """(cid, keys) of the classes ``ids`` (cid), a written table.
+def _sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame, n: int, frequent, folder: str) -> DataFrame:
+    """(cid, keys) of the classes ``ids`` (cid), a table written to ``folder``.
 
     Only documents that stand for one of these classes are read into sets again.
     """
@@ -197,15 +226,15 @@ def _sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame, n: int, freque
     # A repeated id brings texts that no pair needs: they meet no class, or one twice.
     sets = texts.mapInArrow(read, "s1 bigint, s2 bigint, n_shingles int, keys binary")
     sets = wanted.join(sets, ["s1", "s2", "n_shingles"]).select("cid", "keys")
-    return materialize(sets.dropDuplicates(["cid"]), "sets")
+    return materialize(sets.dropDuplicates(["cid"]), "sets", folder=folder)
 
 
 def verified(
-    pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, frequent
+    pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, frequent, folder: str
 ) -> DataFrame:
-    """(a, b, n_a, overlap, linked) of class pairs (a, b), counted on whole sets."""
+    """(a, b, n_a, overlap, linked) of class pairs (a, b), counted on whole sets, which are in ``folder``."""
     ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid")))
-    sets = _sets_of(ids, classes, docs, n, frequent)
+    sets = _sets_of(ids, classes, docs, n, frequent, folder)
 
     def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,6 +281,7 @@ def _index(entries: DataFrame) -> DataFrame:
             "pos",
             "cid",
             "component",
+            "bits",
         )
     )
 
@@ -267,6 +297,7 @@ def _block_pairs(rows: pd.DataFrame, percent: int) -> Iterator[pd.DataFrame]:
     differences from the reference, all entries before it are in one set only,
     and so are those that the longer rest has more. Sets that are so near to the
     reference that they are linked for certain are both linked with it already.
+    Entries with sketches (``bits``) give no pair that these rule out.
     """
     cell = np.zeros(len(rows), np.int64)
     for c in _CELL_KEY:
@@ -280,11 +311,22 @@ def _block_pairs(rows: pd.DataFrame, percent: int) -> Iterator[pd.DataFrame]:
     bc, bn, bs, bp = cell[start], n[start], size[start], pos[start]
     own, comp, cid = (rows[c].to_numpy(np.int64) for c in ("own", "component", "cid"))
     diagonal = rows["cell_a"].to_numpy() == rows["cell_b"].to_numpy()
+    drawn = rows["bits"].notna().to_numpy() if "bits" in rows else np.zeros(len(rows), bool)
+    if drawn.any():
+        bits = np.zeros((ENTRY_SKETCH // 8, len(rows)), np.uint64)
+        bits[:, drawn] = np.frombuffer(b"".join(rows["bits"][drawn]), np.uint64).reshape(-1, len(bits)).T
 
     def wanted(firsts: list[np.ndarray], seconds: list[np.ndarray]) -> pd.DataFrame:
         i, j = np.concatenate(firsts), np.concatenate(seconds)
         open_ = (comp[i] != comp[j]) & ((own[i] != own[j]) | diagonal[i])
-        i, j = cid[i[open_]], cid[j[open_]]
+        i, j = i[open_], j[open_]
+        if drawn.any():
+            least = np.zeros(len(i), np.int64)
+            for part in bits:
+                least += np.bitwise_count(part[i] ^ part[j])
+            open_ = ~(drawn[i] & drawn[j]) | ((100 + percent) * least <= (100 - percent) * (n[i] + n[j]))
+            i, j = i[open_], j[open_]
+        i, j = cid[i], cid[j]
         return pd.DataFrame({"a": np.minimum(i, j), "b": np.maximum(i, j)}).drop_duplicates()
 
     firsts, seconds, held = [], [], 0
@@ -347,27 +389,67 @@ def _candidates(entries: DataFrame, percent: int) -> DataFrame:
     return cells.mapInPandas(pair, "a bigint, b bigint").distinct()
 
 
+def _near_distance(reference, percent: int):
+    """Members that differ from a reference of this size by no more leave its list."""
+    return NEAR * (100 - percent) * reference // (100 + percent)
+
+
+def _reach(n: np.ndarray, reference: np.ndarray, percent: int) -> np.ndarray:
+    """How much a set of ``n`` may differ from a reference that is linked with it, or
+    that is so near to a member linked with it that the member leaves the list."""
+    inner = _near_distance(reference, percent)
+    # Such a member has up to ``inner`` more n-grams than the reference.
+    return inner + (100 - percent) * (reference + inner + n) // (100 + percent)
+
+
+def _spokes(candidates: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """(reference, cid) of those of (reference, cid, n, m), with their sizes, that may
+    be within reach of their reference by sizes and sketches; a written table."""
+
+    def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3))
+            yield batch.filter(pa.array(np.abs(n - m) <= _reach(n, m, percent)))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reference, cid, n, m, x, y = (batch.column(i) for i in range(6))
+            least = np.zeros(batch.num_rows, np.int64)
+            for i in range(batch.num_rows):
+                p = np.frombuffer(x[i].as_buffer(), np.uint8)
+                q = np.frombuffer(y[i].as_buffer(), np.uint8)
+                size = min(len(p), len(q))
+                least[i] = np.bitwise_count(_folded(p, size) ^ _folded(q, size)).sum(dtype=np.int64)
+            n, m = (side.to_numpy().astype(np.int64) for side in (n, m))
+            pairs = pa.RecordBatch.from_arrays([reference, cid], names=["reference", "cid"])
+            yield pairs.filter(pa.array(least <= _reach(n, m, percent)))
+
+    sized_ones = candidates.mapInArrow(sized, candidates.schema).distinct()
+    sized_ones = materialize(sized_ones, "sized-spokes")
+    sketches = full.select("cid", F.col("bits").alias("x"))
+    centres = full.select(F.col("cid").alias("reference"), F.col("bits").alias("y"))
+    centres = centres.join(sized_ones.select("reference").distinct(), "reference")
+    centres = materialize(centres, "centres", true_size=True)
+    joined = sized_ones.join(sketches, "cid").join(centres, "reference").select("reference", "cid", "n", "m", "x", "y")
+    return materialize(joined.mapInArrow(near, "reference bigint, cid bigint"), "spokes")
+
+
 def _differences(
     spokes: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, frequent
 ) -> DataFrame:
-    """(reference, cid, n, size, prefix, linked) of (reference, cid): how each class differs from its
-    reference, on whole sets; a written table.
+    """(reference, cid, n, size, prefix, linked, near) of (reference, cid): how each class differs from
+    its reference, on whole sets; a written table.
 
     ``size`` counts what one of the two sets has and the other lacks; ``prefix`` holds
     the first of that. Rare n-grams that the reference lacks come first, frequent
     ones that only it has follow: a copy's own changes. What the reference itself
     has changed, which all others share, comes last. The order affects speed only.
     """
-    ids = spokes.select("cid").unionByName(spokes.select(F.col("reference").alias("cid")))
-    sets = _sets_of(ids, classes, docs, n, frequent)
-    of_references = spokes.select(F.col("reference").alias("cid")).distinct().join(sets, "cid")
-    of_references = of_references.select(F.col("cid").alias("reference"), F.col("keys").alias("y"))
-    of_references = materialize(of_references, "references", true_size=True)
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             reference, cid, x, y = (batch.column(i) for i in range(4))
-            sizes, counts, prefixes, linked = [], [], [], []
+            sizes, counts, prefixes, linked, near = [], [], [], [], []
             for i in range(batch.num_rows):
                 p = np.frombuffer(x[i].as_buffer(), np.uint64)
                 q = np.frombuffer(y[i].as_buffer(), np.uint64)
@@ -378,31 +460,51 @@ def _differences(
                 counts.append(len(p))
                 sizes.append(len(apart))
                 linked.append((100 + percent) * len(apart) <= (100 - percent) * (len(p) + len(q)))
+                near.append(len(apart) <= _near_distance(len(q), percent))
                 # Linked sets differ in no more than this, whatever the other's size.
                 most = len(p) * (100 - percent) // percent + 1
                 prefixes.append(apart[:most].view(np.int64))
-            types = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.bool_()]
+            types = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.bool_(), pa.bool_()]
+            columns = (counts, sizes, prefixes, linked, near)
             yield pa.RecordBatch.from_arrays(
-                [reference, cid, *[pa.array(v, t) for v, t in zip((counts, sizes, prefixes, linked), types)]],
-                names=["reference", "cid", "n", "size", "prefix", "linked"],
+                [reference, cid, *[pa.array(v, t) for v, t in zip(columns, types)]],
+                names=["reference", "cid", "n", "size", "prefix", "linked", "near"],
             )
 
-    joined = spokes.join(sets, "cid").join(of_references, "reference")
-    schema = "reference bigint, cid bigint, n int, size int, prefix array<bigint>, linked boolean"
-    return materialize(
-        joined.select("reference", "cid", F.col("keys").alias("x"), "y").mapInArrow(differ, schema), "differences"
-    )
+    ids = spokes.select("cid").unionByName(spokes.select(F.col("reference").alias("cid")))
+    with scratch_scope(spokes.sparkSession, "differences") as temp:
+        sets = _sets_of(ids, classes, docs, n, frequent, temp)
+        of_references = spokes.select(F.col("reference").alias("cid")).distinct().join(sets, "cid")
+        of_references = of_references.select(F.col("cid").alias("reference"), F.col("keys").alias("y"))
+        of_references = materialize(of_references, "references", true_size=True, folder=temp)
+        joined = spokes.join(sets, "cid").join(of_references, "reference")
+        schema = "reference bigint, cid bigint, n int, size int, prefix array<bigint>, linked boolean, near boolean"
+        joined = joined.select("reference", "cid", F.col("keys").alias("x"), "y")
+        return materialize(joined.mapInArrow(differ, schema), "differences")
+
+
+def _sketched(entries: DataFrame, full: DataFrame) -> DataFrame:
+    """Index entries with sketches of ``ENTRY_SKETCH`` bytes."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("bits")
+            bits = [_folded(np.frombuffer(x.as_buffer(), np.uint8), ENTRY_SKETCH).tobytes() for x in batch.column(at)]
+            yield batch.set_column(at, "bits", pa.array(bits, pa.binary()))
+
+    drawn = entries.drop("bits").join(full.select("cid", "bits"), "cid")
+    return drawn.mapInArrow(fold, drawn.schema)
 
 
 def _open_pairs(
-    grouped: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, frequent
+    full: DataFrame, component: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, frequent
 ) -> tuple[DataFrame, DataFrame]:
     """(a, b) of pairs that may be linked, and (a, b) of links with references; written tables.
 
-    ``grouped`` has (cid, n_shingles, n_rare, prefix, component). Pairs within a
-    component are left out, and lists that lie within one.
+    Pairs within a ``component`` of (cid, component) are left out, and lists that lie within one.
     """
     key = ["reference", "gram"]
+    grouped = full.join(component, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     rows = grouped.select(
         F.lit(_NO_REFERENCE).cast("bigint").alias("reference"),
         "cid",
@@ -413,27 +515,35 @@ def _open_pairs(
         "prefix",
     )
     no_pairs = rows.sparkSession.createDataFrame([], "a bigint, b bigint")
-    pairs, links = no_pairs, no_pairs
+    pairs, links, left = no_pairs, no_pairs, None
     for last in [*[False] * (ROUNDS - 1), True]:
         entries = rows.select("*", F.posexplode("prefix").alias("pos", "gram")).drop("prefix")
+        entries = entries.withColumn("bits", F.lit(None).cast("binary"))
+        entries = entries if left is None else entries.unionByName(left)
         if last:
             return materialize(pairs.unionByName(_candidates(entries, percent)).distinct(), "pairs"), links
         counts = entries.groupBy(*key).agg(F.count("*").alias("entries")).where(F.col("entries") > HOT)
         counts = materialize(counts.select(*key), "hot-counts", true_size=True)
-        hot = entries.join(counts, key).groupBy(*key).agg(
-            F.min(F.struct("n_rare", "cid")).alias("l"), F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        hot = hot.where("low < high").select(*key, F.col("l.cid").alias("next"))
-        hot = materialize(hot, "hot-lists", true_size=True)
         cold = _candidates(entries.join(counts, key, "left_anti"), percent)
         pairs = materialize(pairs.unionByName(cold), "cold-pairs")
+        members = materialize(entries.join(counts, key), "hot-entries")
+        hot = members.groupBy(*key).agg(
+            F.min(F.struct("n_rare", "cid", "n")).alias("l"), F.min("component").alias("low"), F.max("component").alias("high")
+        )
+        hot = hot.where("low < high").select(*key, F.col("l.cid").alias("next"), F.col("l.n").alias("m"))
+        hot = materialize(hot, "hot-lists", true_size=True)
         if hot.isEmpty():
             return materialize(pairs.distinct(), "pairs"), links
-        spokes = entries.join(hot, key).where("cid <> next").select(F.col("next").alias("reference"), "cid")
-        spokes = materialize(spokes.distinct(), "spokes")
+        members = members.join(hot, key).where("cid <> next")
+        spokes = _spokes(members.select(F.col("next").alias("reference"), "cid", "n", "m"), full, percent)
         apart = _differences(spokes, classes, docs, n, percent, frequent)
         links = links.unionByName(apart.where("linked").select(F.col("reference").alias("a"), F.col("cid").alias("b")))
-        rows = apart.drop("linked").join(grouped.select("cid", "n_rare", "component"), "cid")
+        # A set that is linked with a near member is compared with the reference too, so the next
+        # rounds have the pair by their differences.
+        gone = apart.where("near").select(F.col("reference").alias("next"), "cid")
+        left = members.join(gone, ["next", "cid"], "left_anti").drop("next", "m")
+        left = materialize(_sketched(left, full), "left-entries")
+        rows = apart.drop("linked", "near").join(grouped.select("cid", "n_rare", "component"), "cid")
 
 
 def _judged(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
@@ -498,28 +608,27 @@ def _links(
     stars = stars.where((F.col("l.cid") != F.col("cid")) & near)
     stars = stars.groupBy(F.col("l.cid").alias("a"), F.col("cid").alias("b")).count()
     stars = materialize(_prefix_checked(stars.where("count > 1"), full, percent), "stars")
-    led = materialize(verified(stars, classes, docs, n, percent, frequent), "led")
+    with scratch_scope(full.sparkSession, "led-sets") as temp:
+        led = materialize(verified(stars, classes, docs, n, percent, frequent, temp), "led")
     first_links = led.where("linked").select("a", "b")
 
     component = components(first_links).withColumnRenamed("node", "cid")
     leader = led.groupBy(F.col("b").alias("cid")).agg(
         F.min(F.struct(F.col("a").alias("leader"), F.col("n_a").alias("n_leader"), "overlap")).alias("l")
     )
-    grouped = full.join(component, "cid", "left").select(
-        "cid", "n_shingles", "n_rare", "prefix", F.coalesce("component", "cid").alias("component")
-    )
-    pairs, spokes = _open_pairs(grouped, classes, docs, n, percent, frequent)
+    pairs, spokes = _open_pairs(full, component, classes, docs, n, percent, frequent)
     known = classes.join(leader, "cid", "left").select("cid", F.col("n_shingles").alias("n"), "l.*")
     # Pairs of a leader are verified already.
     done = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     found = _judged(pairs, known, percent).join(done, ["a", "b"], "left_anti")
     found = materialize(found, "candidates")
     open_pairs = materialize(_prefix_checked(found.where("not derived"), full, percent), "open-pairs")
-    more = verified(open_pairs, classes, docs, n, percent, frequent)
-    every = first_links.unionByName(spokes).unionByName(found.where("derived").select("a", "b")).unionByName(
-        more.where("linked").select("a", "b")
-    )
-    return materialize(every, "links")
+    with scratch_scope(full.sparkSession, "open-sets") as temp:
+        more = verified(open_pairs, classes, docs, n, percent, frequent, temp)
+        every = first_links.unionByName(spokes).unionByName(found.where("derived").select("a", "b")).unionByName(
+            more.where("linked").select("a", "b")
+        )
+        return materialize(every, "links")
 
 
 def _labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -530,23 +639,25 @@ def _labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
     frequent = spark.sparkContext.broadcast(Lookup(frequent_grams(docs, n)))
     key = ["s1", "s2", "n_shingles"]
     with scratch_scope(spark, "set-join") as temp:
-        described = materialize(describe_sets(docs, n, percent, frequent), "described", folder=temp)
-        rows = materialize(described.select("doc_id", "row_key", *key), "rows")
-        # Rows of a class have the same lists: any of them will do.
-        grouped = (
-            described.where("n_shingles > 0")
-            .groupBy(*key)
-            .agg(
-                F.min("doc_id").alias("doc_id"),
-                F.count("*").alias("rows"),
-                F.first("n_rare").alias("n_rare"),
-                F.first("prefix").alias("prefix"),
-                F.first("leads").alias("leads"),
+        with scratch_scope(spark, "described-sets") as rows_temp:
+            described = materialize(describe_sets(docs, n, percent, frequent), "described", folder=rows_temp)
+            rows = materialize(described.select("doc_id", "row_key", *key), "rows")
+            # Rows of a class have the same lists: any of them will do.
+            grouped = (
+                described.where("n_shingles > 0")
+                .groupBy(*key)
+                .agg(
+                    F.min("doc_id").alias("doc_id"),
+                    F.count("*").alias("rows"),
+                    F.first("n_rare").alias("n_rare"),
+                    F.first("prefix").alias("prefix"),
+                    F.first("leads").alias("leads"),
+                    F.first("bits").alias("bits"),
+                )
+                .withColumn("cid", F.monotonically_increasing_id())
             )
-            .withColumn("cid", F.monotonically_increasing_id())
-        )
-        full = materialize(grouped, "full", folder=temp)
-        classes = materialize(full.drop("n_rare", "prefix", "leads"), "classes")
+            full = materialize(grouped, "full", folder=temp)
+        classes = materialize(full.drop("n_rare", "prefix", "leads", "bits"), "classes")
         links = _links(full, classes, docs, n, percent, frequent)
     linked = components(links)
 

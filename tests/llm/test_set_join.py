@@ -95,6 +95,48 @@ def test_pairs_of_a_large_group_just_under_the_limit(spark, monkeypatch, with_ba
     assert made["candidates"] < 4000
 
 
+def test_unrelated_sets_of_a_long_list_are_not_compared(spark, monkeypatch):
+    monkeypatch.setattr(set_join, "HOT", 8)
+    monkeypatch.setattr(set_join, "_LEADERS", 0)
+    # No n-gram counts as frequent, so all sets have some of the common ones in their prefixes.
+    monkeypatch.setattr(set_join, "frequent_grams", lambda docs, n: np.zeros(0, np.uint64))
+    rng = random.Random(12)
+    common, texts = prose(rng, 30, 900), []
+    for k in range(120):
+        # Some are twenty times as long as others.
+        own = [f"w{rng.randrange(10**9)}" for _ in range(60 if k % 10 else 1200)]
+        texts.append(" ".join([common, *own]))
+        if k % 4 == 0:
+            own[30] = "other"
+            texts.append(" ".join([common, *own]))
+    rows = list(enumerate(texts))
+    made, write = Counter(), set_join.materialize
+
+    def counted(df, name, **options):
+        out = write(df, name, **options)
+        made[name] += out.count()
+        return out
+
+    monkeypatch.setattr(set_join, "materialize", counted)
+    assert got(frame(spark, rows), 3, 90) == expected(rows, 3, 90)
+    # Each list has 150 sets, of which one is near the reference at most.
+    assert made["hot-lists"] > 0 and made["differences"] < 30
+    assert made["candidates"] < 100
+
+
+@pytest.mark.parametrize("n, m, shared", [(90, 90, 88), (700, 650, 600), (3000, 40, 30), (5, 1, 0)])
+def test_sketches_differ_no_more_than_sets(n, m, shared):
+    keys = np.random.default_rng(n).integers(0, 1 << 63, n + m, dtype=np.uint64)
+    a, b = keys[:n], np.concatenate([keys[:shared], keys[n : n + m - shared]])
+    x, y = set_join._sketch(a), set_join._sketch(b)
+    for size in (min(len(x), len(y)), set_join.ENTRY_SKETCH):
+        differ = np.bitwise_count(set_join._folded(x, size) ^ set_join._folded(y, size)).sum()
+        assert differ <= n + m - 2 * shared
+    assert len(set_join._folded(x, set_join.ENTRY_SKETCH)) == set_join.ENTRY_SKETCH
+    # Sets that share nothing are told apart.
+    assert np.bitwise_count(x ^ set_join._sketch(keys[:n] ^ np.uint64(1))).sum() > 0.7 * n
+
+
 def test_frequent_grams_change_no_result(spark, monkeypatch):
     monkeypatch.setattr(set_join, "FREQUENT", 3)
     rows = near_copies(4, bases=2)
